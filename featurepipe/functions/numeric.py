@@ -9,10 +9,11 @@ from pyspark.sql.types import NumericType
 # Decimal grammar accepted by the lenient cast: optional ASCII whitespace, sign, digits with an
 # optional fraction or a bare fraction, optional exponent; or inf/infinity in any case.
 # Spark's own cast also takes Java suffixes (1d, 1f), hex floats and NaN; the guard rejects them.
-NUMBER_PATTERN = (
-    r"^[ \t\n\r\f\x0B]*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))"
-    r"[ \t\n\r\f\x0B]*$"
+NUMBER_BODY = (
+    r"[ \t\n\r\f\x0B]*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))"
+    r"[ \t\n\r\f\x0B]*"
 )
+NUMBER_PATTERN = r"^(?:" + NUMBER_BODY + r")\z"
 
 
 def _col(c: str | Column) -> Column:
@@ -26,7 +27,7 @@ def to_number(c: str | Column, dtype=None) -> Column:
         d = col.cast("double")
     else:
         s = col.cast("string")
-        d = F.when(s.rlike(NUMBER_PATTERN), F.trim(s).try_cast("double"))
+        d = F.when(s.rlike(NUMBER_PATTERN), F.btrim(s, F.lit(" \t\n\r\f\x0b")).try_cast("double"))
     return F.when(~F.isnan(d), d)
 
 

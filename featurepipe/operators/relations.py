@@ -18,7 +18,7 @@ _DOC_TYPE_RECORDS = "array<map<string,string>>"
 def _pick_alias(keys: Column, aliases: Sequence[str]) -> Column:
     """The last header whose lower-cased, trimmed form is an alias (a later match wins)."""
     hits = F.filter(keys, lambda k: F.lower(F.trim(k)).isin(*aliases))
-    return F.try_element_at(hits, -1)
+    return F.try_element_at(hits, F.lit(-1))
 
 
 def clean_relation(df: DataFrame, key: str = "key", member: str = "member",
