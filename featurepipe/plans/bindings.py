@@ -85,23 +85,32 @@ ENTITY_COLS: dict[str, str] = {
 }
 
 
+# Row order of the entity rows. Line numbers repeat within an order in this data, so the order
+# key takes every line column needed to make it unique.
+ENTITY_ORDER: dict[str, str] = {
+    "_ok": "l_orderkey", "_ln": "l_linenumber", "_pk": "l_partkey", "_sk": "l_suppkey",
+    "_qt": "l_quantity", "_px": "l_extendedprice", "_sd": "l_shipdate",
+}
+
+
 def entity_bronze_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw entity rows (before sentinel cleaning) with order columns ``_ok``, ``_ln``."""
+    """Raw entity rows (before sentinel cleaning) with the row-order columns of ENTITY_ORDER."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
-                                                 "l_extendedprice")
+                                                 "l_extendedprice", "l_partkey", "l_suppkey", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                               "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
          .join(c, o.o_custkey == c.c_custkey, "inner"))
-    return j.select(F.col("l_orderkey").alias("_ok"), F.col("l_linenumber").alias("_ln"),
+    return j.select(*[F.col(c).alias(a) for a, c in ENTITY_ORDER.items()],
                     F.expr(ENTITY_SPLIT).alias("split"),
                     *[F.expr(e).alias(n) for n, e in ENTITY_COLS.items()])
 
 
 def entity_bronze_sql() -> str:
     cols = ",\n      ".join(f"{e} AS {n}" for n, e in ENTITY_COLS.items())
-    return (f"SELECT l_orderkey AS _ok, l_linenumber AS _ln, {ENTITY_SPLIT} AS split,\n      {cols}\n"
+    order = ", ".join(f"{c} AS {a}" for a, c in ENTITY_ORDER.items())
+    return (f"SELECT {order}, {ENTITY_SPLIT} AS split,\n      {cols}\n"
             "    FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
             "JOIN customer ON o_custkey = c_custkey")
 

@@ -23,7 +23,7 @@ from featurepipe.operators import (
     relation_summary, repair_swap, strip_accents_cols, with_row_id,
 )
 from featurepipe.plans.bindings import (
-    BS_BS_N, BS_N, entity_bronze_sql, sql_number, sql_sentinel_exact, sql_sentinel_trim, table,
+    BS_BS_N, BS_N, ENTITY_ORDER, entity_bronze_sql, sql_number, sql_sentinel_exact, sql_sentinel_trim, table,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -493,3 +493,90 @@ def q_gate_report(spark: SparkSession, sf: str) -> DataFrame:
                                           F.expr(GT_YEAR).alias("yr"))
     return gate_report(g, "orders", required=["k", "label", "yr", "runtime"], key="k", label="label",
                        year="yr", lo=DEFAULT.year_min, hi=DEFAULT.year_max)
+
+
+# --- J1 J2 B16 J3 J5 and the flagship J4 --------------------------------------------------------
+def _num(x: str) -> str:
+    return sql_number(x)
+
+
+def _rng(x: str, lo: float | None, hi: float | None) -> str:
+    conds = [c for c in ((f"{x} >= {lo}" if lo is not None else None),
+                         (f"{x} <= {hi}" if hi is not None else None)) if c]
+    return f"(CASE WHEN {' AND '.join(conds)} THEN {x} END)"
+
+
+_ORD = ", ".join(ENTITY_ORDER)
+_BRONZE_COLS = ("tconst", "primaryTitle", "originalTitle", "startYear", "endYear", "runtimeMinutes",
+                "numVotes")
+HOOKED_SQL = f"""
+raw AS ({entity_bronze_sql()}),
+bronze AS (SELECT {_ORD}, split, {", ".join(f"{sql_sentinel_trim(c)} AS {c}" for c in _BRONZE_COLS)}, label
+           FROM raw),
+s1 AS (SELECT *, strip_accents(primaryTitle) AS pt, {_num('startYear')} AS ns, {_num('endYear')} AS ne
+       FROM bronze),
+s2 AS (SELECT {_ORD}, split, tconst, pt AS primaryTitle, originalTitle,
+         CASE WHEN ns IS NULL AND ne BETWEEN 1880 AND 2030 THEN endYear ELSE startYear END AS sy,
+         CASE WHEN ns IS NULL AND ne BETWEEN 1880 AND 2030 THEN NULL ELSE endYear END AS ey,
+         runtimeMinutes, numVotes, label FROM s1),
+s3 AS (SELECT {_ORD}, split, tconst, primaryTitle, originalTitle,
+         {_rng(_num('sy'), 1880, 2030)} AS startYear,
+         {_rng(_num('ey'), 1880, 2030)} AS endYear,
+         {_rng(_num('runtimeMinutes'), 1, 600)} AS runtimeMinutes,
+         {_rng(_num('numVotes'), 0, None)} AS numVotes,
+         CAST(CASE WHEN label IN ('True', 'true', '1') THEN 1 WHEN label IN ('False', 'false', '0') THEN 0 END
+              AS INTEGER) AS label
+       FROM s2),
+s4 AS (SELECT * FROM s3 QUALIFY row_number() OVER (PARTITION BY split, tconst ORDER BY {_ORD}) = 1),
+s5 AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY {_ORD}) - 1 AS _row_id FROM s4),
+h1 AS (SELECT *, COALESCE(numVotes, MEDIAN(numVotes) OVER (PARTITION BY split)) AS nv,
+         CAST(runtimeMinutes > 600 AS INTEGER) AS is_long_film FROM s5),
+hooked AS (SELECT split, _row_id, tconst, primaryTitle, originalTitle, startYear,
+         COALESCE(runtimeMinutes, MEDIAN(runtimeMinutes) OVER (PARTITION BY split)) AS runtimeMinutes,
+         nv AS numVotes, label, is_long_film,
+         CAST(startYear < 1930 AS INTEGER) AS is_old_film,
+         CAST(nv > 1000000 AS INTEGER) AS is_blockbuster,
+         CAST(originalTitle IS NOT NULL AND (primaryTitle IS NULL OR trim(primaryTitle) <> trim(originalTitle))
+              AS INTEGER) AS is_foreign_title,
+         CAST(CASE WHEN primaryTitle IS NULL THEN NULL ELSE len(regexp_extract_all(primaryTitle, '[^ ]+')) END
+              AS INTEGER) AS title_word_count,
+         CAST(COALESCE(regexp_matches(primaryTitle, '[0-9]'), false) AS INTEGER) AS title_has_number
+       FROM h1)"""
+
+
+def _entity_stages(spark: SparkSession, sf: str, gates: bool = True):
+    from featurepipe.plans.bindings import entity_bronze_raw, entity_relations
+    from featurepipe.plans.build import build_frames
+    return build_frames(entity_bronze_raw(spark, sf), entity_relations(spark, sf), list(ENTITY_ORDER),
+                        DEFAULT, split_col="split", gates=gates)
+
+
+@register("hooks_chain", f"""
+WITH {HOOKED_SQL}
+SELECT * FROM hooked
+""")
+def q_hooks_chain(spark: SparkSession, sf: str) -> DataFrame:
+    return _entity_stages(spark, sf, gates=False).hooked
+
+
+_FLAGS_SQL = ",\n  ".join(f"COALESCE({f}, 0) AS {f}" for f in DEFAULT.flags)
+
+
+@register("gold_features", f"""
+WITH {HOOKED_SQL},
+d AS (SELECT key, COUNT(DISTINCT member) AS n_directors FROM
+        (SELECT 'tt' || CAST(l_orderkey AS STRING) AS key, CAST(l_suppkey AS STRING) AS member FROM lineitem)
+      GROUP BY key),
+w AS (SELECT key, COUNT(DISTINCT member) AS n_writers FROM
+        (SELECT 'tt' || CAST(l_orderkey AS STRING) AS key, CAST(l_partkey AS STRING) AS member FROM lineitem)
+      GROUP BY key)
+SELECT split, _row_id, tconst, primaryTitle, originalTitle, startYear, runtimeMinutes, numVotes, label,
+  CAST(COALESCE(d.n_directors, 0) AS BIGINT) AS n_directors, CAST(COALESCE(w.n_writers, 0) AS BIGINT) AS n_writers,
+  ROUND(LN(numVotes + 1), 6) AS log_numVotes, CAST(LENGTH(primaryTitle) AS BIGINT) AS len_primaryTitle,
+  FLOOR(startYear / 10) * 10 AS decade,
+  {_FLAGS_SQL}
+FROM hooked LEFT JOIN d ON hooked.tconst = d.key LEFT JOIN w ON hooked.tconst = w.key
+""")
+def q_gold_features(spark: SparkSession, sf: str) -> DataFrame:
+    gold = _entity_stages(spark, sf).gold
+    return gold.withColumn("log_numVotes", F.round("log_numVotes", 6))
