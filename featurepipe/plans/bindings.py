@@ -121,3 +121,27 @@ def entity_relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     key = F.concat(F.lit("tt"), F.col("l_orderkey").cast("string")).alias("key")
     return {"n_directors": li.select(key, F.col("l_suppkey").cast("string").alias("member")),
             "n_writers": li.select(key, F.col("l_partkey").cast("string").alias("member"))}
+
+
+# ---------------------------------------------------------------------------------------------
+# Model binding: documents with their labels. Labelled documents are the train split, the rest
+# is the hidden split to predict; n_chars gets NULLs so the imputer has work.
+# ---------------------------------------------------------------------------------------------
+DOC_FEATURES = ("n_chars", "log_chars", "len_text", "word_count", "has_number", "is_en")
+
+
+def doc_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, split, label (quality, NULL when hidden) and the DOC_FEATURES columns."""
+    from featurepipe.operators.features import add_length, add_log, add_word_count, flag_matches
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    j = d.join(lab, "doc_id", "left").select(
+        "doc_id", "text", "lang", "label",
+        F.when(F.col("label").isNull(), "hidden").otherwise("train").alias("split"),
+        F.when(F.col("doc_id") % 9 == 0, None).otherwise(F.col("n_chars")).cast("double").alias("n_chars"))
+    j = add_log(j, "n_chars", "log_chars")
+    j = add_length(j, "text", "len_text")
+    j = add_word_count(j, "text", "word_count")
+    j = flag_matches(j, "text", "has_number")
+    j = j.withColumn("is_en", (F.col("lang") == "en").cast("int"))
+    return j.select("doc_id", "split", "label", *DOC_FEATURES)

@@ -580,3 +580,76 @@ FROM hooked LEFT JOIN d ON hooked.tconst = d.key LEFT JOIN w ON hooked.tconst =
 def q_gold_features(spark: SparkSession, sf: str) -> DataFrame:
     gold = _entity_stages(spark, sf).gold
     return gold.withColumn("log_numVotes", F.round("log_numVotes", 6))
+
+
+# --- I1 I2: exact-median imputer + population scaler fitted on train ----------------------------
+@register("standardize", f"""
+WITH d AS (SELECT doc_id, {DOCS_SPLIT} AS split, CAST({DOCS_CHARS} AS DOUBLE) AS x FROM {DOCS_FROM}),
+m AS (SELECT MEDIAN(x) AS med FROM d WHERE split = 'train'),
+i AS (SELECT doc_id, split, COALESCE(x, med) AS xi FROM d, m),
+st AS (SELECT AVG(xi) AS mu, STDDEV_POP(xi) AS sd FROM i WHERE split = 'train')
+SELECT doc_id, ROUND((xi - mu) / (CASE WHEN sd = 0 OR sd IS NULL THEN 1 ELSE sd END), 6) AS z FROM i, st
+""")
+def q_standardize(spark: SparkSession, sf: str) -> DataFrame:
+    from featurepipe.operators.model import fit_preprocess
+    d = _docs(spark, sf).select("doc_id", F.expr(DOCS_SPLIT).alias("split"),
+                                F.expr(DOCS_CHARS).cast("double").alias("z"))
+    pre = fit_preprocess(d.where(F.col("split") == "train"), ["z"])
+    return pre.transform(d).select("doc_id", F.round("z", 6).alias("z"))
+
+
+# --- I4: stratified folds ------------------------------------------------------------------------
+@register("stratified_folds", """
+WITH cls AS (SELECT quality, MIN(doc_id) AS first, COUNT(*) AS n FROM labels GROUP BY quality),
+c2 AS (SELECT quality, n, COALESCE(SUM(n) OVER (ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+         AS o FROM cls),
+sz AS (SELECT quality,
+         n // 5 + CASE WHEN ((0 - o) % 5 + 5) % 5 < n % 5 THEN 1 ELSE 0 END AS s0,
+         n // 5 + CASE WHEN ((1 - o) % 5 + 5) % 5 < n % 5 THEN 1 ELSE 0 END AS s1,
+         n // 5 + CASE WHEN ((2 - o) % 5 + 5) % 5 < n % 5 THEN 1 ELSE 0 END AS s2,
+         n // 5 + CASE WHEN ((3 - o) % 5 + 5) % 5 < n % 5 THEN 1 ELSE 0 END AS s3 FROM c2),
+r AS (SELECT doc_id, quality, toxic, row_number() OVER (PARTITION BY quality ORDER BY doc_id) - 1 AS r FROM labels)
+SELECT doc_id, quality, toxic,
+  CAST(r >= s0 AS INTEGER) + CAST(r >= s0 + s1 AS INTEGER) + CAST(r >= s0 + s1 + s2 AS INTEGER)
+  + CAST(r >= s0 + s1 + s2 + s3 AS INTEGER) AS fold
+FROM r JOIN sz USING (quality)
+""")
+def q_stratified_folds(spark: SparkSession, sf: str) -> DataFrame:
+    from featurepipe.operators.model import stratified_folds
+    return stratified_folds(table(spark, sf, "labels"), "quality", ["doc_id"], 5)
+
+
+# --- I3 I5 I6 I7 I8 I9 A9 B19: candidates, CV, best, refit, predict, importances (rows-only) -----
+_TRAINED: dict = {}
+
+
+def _trained(spark: SparkSession, sf: str):
+    """One training run per (session, tables), shared by the three model queries."""
+    key = (id(spark), sf)
+    if key not in _TRAINED:
+        from featurepipe.operators.model import ModelSettings
+        from featurepipe.plans.bindings import DOC_FEATURES, doc_features
+        from featurepipe.plans.train import train_and_predict
+        docs = doc_features(spark, sf).persist()
+        train = docs.where(F.col("split") == "train").drop("split")
+        hidden = {"hidden": docs.where(F.col("split") == "hidden").drop("split", "label")}
+        _TRAINED[key] = train_and_predict(train, hidden, DOC_FEATURES, "label", ["doc_id"],
+                                          ModelSettings.quick())
+    return _TRAINED[key]
+
+
+@register("cv_scores")
+def q_cv_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _trained(spark, sf).scores
+
+
+@register("importances")
+def q_importances(spark: SparkSession, sf: str) -> DataFrame:
+    return _trained(spark, sf).importances
+
+
+@register("fit_predict")
+def q_fit_predict(spark: SparkSession, sf: str) -> DataFrame:
+    from featurepipe.sources.sinks import prediction_text
+    pred = _trained(spark, sf).predictions["hidden"]
+    return pred.select("doc_id", prediction_text(F.col("prediction")).alias("prediction"))
