@@ -32,26 +32,27 @@ def clean_relation(df: DataFrame, key: str = "key", member: str = "member",
 
 def relation_from_column_docs(docs: DataFrame, text_col: str, key_aliases: Sequence[str],
                               member_aliases: Sequence[str], key: str = "key", member: str = "member",
-                              sentinels: Sequence[str] = (), doc_id: str | None = None) -> DataFrame:
+                              sentinels: Sequence[str] = ()) -> DataFrame:
     """A4 + D2 + B17: dict-of-columns JSON documents ``{"movie": {idx: k}, "director": {idx: m}}``.
 
-    Each document's two column maps are aligned on ``idx``; an index present on one side only
-    gives a NULL, which C1 drops (the net effect of the reference's outer join + dropna).
-    Every document is parsed in the task that holds it, so many documents scale out.
+    Each document's two column maps are aligned on ``idx`` with ``map_zip_with`` (an index on
+    one side only gives a NULL, which C1 drops: the net effect of the reference's outer join and
+    dropna) -- one pass, no join. A document without a key or member header fails the job with
+    the headers it has (A5), raised inside the same pass.
     """
-    parsed = docs.select(
-        (F.col(doc_id) if doc_id else F.monotonically_increasing_id()).alias("_fp_doc"),
-        F.from_json(F.col(text_col), _DOC_TYPE_COLUMNS).alias("_fp_m"))
+    m = F.from_json(F.col(text_col), _DOC_TYPE_COLUMNS)
+    parsed = docs.select(m.alias("_fp_m"))
     heads = F.map_keys("_fp_m")
-    parsed = parsed.select("_fp_doc", "_fp_m", _pick_alias(heads, key_aliases).alias("_fp_kh"),
-                           _pick_alias(heads, member_aliases).alias("_fp_mh"))
-    bad = parsed.where(F.col("_fp_kh").isNull() | F.col("_fp_mh").isNull())
-    _raise_if_any(bad, "dict shape unrecognised: no key or member column among the headers",
-                  F.map_keys("_fp_m"))
-    kv = parsed.select("_fp_doc", F.explode(F.try_element_at("_fp_m", F.col("_fp_kh"))).alias("_fp_i", key))
-    mv = parsed.select("_fp_doc", F.explode(F.try_element_at("_fp_m", F.col("_fp_mh"))).alias("_fp_i", member))
-    # Inner join on (doc, idx): the outer join's one-sided rows would only be dropped by C1.
-    pairs = kv.join(mv, ["_fp_doc", "_fp_i"], "inner").select(key, member)
+    kh, mh = _pick_alias(heads, key_aliases), _pick_alias(heads, member_aliases)
+    checked = F.when(F.col("_fp_m").isNotNull() & (kh.isNull() | mh.isNull()), F.raise_error(
+        F.concat(F.lit("dict shape unrecognised. Keys found: "), F.array_join(heads, ", "))))
+    km = F.try_element_at("_fp_m", kh)
+    mm = F.try_element_at("_fp_m", mh)
+    zipped = F.map_zip_with(km, mm, lambda _i, a, b: F.struct(a.alias(key), b.alias(member)))
+    pairs = (parsed.select(F.coalesce(checked.cast("map<string,struct<key:string,member:string>>"),
+                                      zipped).alias("_fp_z"))
+             .select(F.explode(F.map_values("_fp_z")).alias("_fp_p"))
+             .select(F.col("_fp_p")[key].alias(key), F.col("_fp_p")[member].alias(member)))
     return clean_relation(pairs, key, member, sentinels)
 
 
@@ -67,12 +68,6 @@ def relation_from_record_docs(docs: DataFrame, text_col: str, key_aliases: Seque
     return clean_relation(recs, key, member, sentinels)
 
 
-def _raise_if_any(bad: DataFrame, message: str, detail: Column) -> None:
-    row = bad.select(detail.alias("d")).limit(1).collect()
-    if row:
-        raise ValueError(f"{message}. Keys found: {row[0]['d']}")
-
-
 def count_members(rel: DataFrame, key: str = "key", member: str = "member",
                   dst: str = "n_members") -> DataFrame:
     """COUNT(DISTINCT member) per key.

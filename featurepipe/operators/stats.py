@@ -27,7 +27,7 @@ from featurepipe.session import stable
 
 _GRID = 1000          # quantile grid per narrowing round
 _ACCURACY = 20_000    # sketch accuracy; rank error <= n / accuracy, below one grid step
-_CAP = 100_000        # candidates per group sorted in the final step
+_CAP = 500_000        # values per group an exact in-task median may hold
 
 
 def _valid(x: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurepipe.functions.numeric import NUMBER_BODY
+from featurepipe.session import spread
 
 BS_N = "(chr(92) || 'N')"          # the two-character text backslash-N
 BS_BS_N = "(chr(92) || chr(92) || 'N')"
@@ -23,8 +24,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """A driver table; ``spread_rows`` for scans that feed heavy per-row work (see ``spread``)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 def sql_number(x: str) -> str:
@@ -95,8 +98,8 @@ ENTITY_ORDER: dict[str, str] = {
 
 def entity_bronze_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw entity rows (before sentinel cleaning) with the row-order columns of ENTITY_ORDER."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
-                                                 "l_extendedprice", "l_partkey", "l_suppkey", "l_shipdate")
+    li = table(spark, sf_dir, "lineitem", spread_rows=True).select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_partkey", "l_suppkey", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                               "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
@@ -133,7 +136,7 @@ DOC_FEATURES = ("n_chars", "log_chars", "len_text", "word_count", "has_number",
 def doc_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, split, label (quality, NULL when hidden) and the DOC_FEATURES columns."""
     from featurepipe.operators.features import add_length, add_log, add_word_count, flag_matches
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    d = table(spark, sf_dir, "documents", spread_rows=True).select("doc_id", "text", "lang", "n_chars")
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     j = d.join(lab, "doc_id", "left").select(
         "doc_id", "text", "lang", "label",

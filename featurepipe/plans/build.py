@@ -19,6 +19,7 @@ from featurepipe.operators.hooks import HookRegistry, default_hooks
 from featurepipe.operators.relations import clean_relation
 from featurepipe.plans.gold import crew_counts, gold_build
 from featurepipe.plans.silver import bronze_clean, silver_clean
+from featurepipe.session import materialize
 
 
 @dataclass
@@ -33,7 +34,8 @@ class Stages:
 
 def build_frames(bronze_raw: DataFrame, relations: Mapping[str, DataFrame], order: Sequence[str],
                  cfg: PipelineConfig = DEFAULT, split_col: str | None = "split",
-                 hooks: HookRegistry | None = None, gates: bool = True) -> Stages:
+                 hooks: HookRegistry | None = None, gates: bool = True,
+                 materialize_cleaned: bool = True) -> Stages:
     """Run every stage. ``bronze_raw`` holds the raw text columns, the unique row-order columns
     ``order`` and (optionally) ``split_col``; ``relations`` maps a count name (e.g. n_directors)
     to a raw (key, member) frame."""
@@ -42,6 +44,10 @@ def build_frames(bronze_raw: DataFrame, relations: Mapping[str, DataFrame], orde
     silver = silver_clean(bronze, order, cfg, split_col)
     registry = hooks if hooks is not None else default_hooks(cfg)
     hooked = registry.apply(silver, split=split_col or "all")
+    if materialize_cleaned:
+        # The cleaned stage is read by the gates job and by gold: write it once (the reference
+        # checkpoints this stage too) instead of re-running the hook chain for each reader.
+        hooked = materialize(hooked, "cleaned")
     report = None
     if gates:
         report = run_all_gates(hooked, "all", cfg.required, cfg.key, cfg.label, cfg.start_year,

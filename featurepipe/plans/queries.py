@@ -65,7 +65,7 @@ def q_null_sentinels(spark: SparkSession, sf: str) -> DataFrame:
 SELECT doc_id, strip_accents(text) AS text_clean FROM documents
 """)
 def q_strip_accents(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents").select("doc_id", F.col("text").alias("text_clean"))
+    d = table(spark, sf, "documents", spread_rows=True).select("doc_id", F.col("text").alias("text_clean"))
     return strip_accents_cols(d, ["text_clean"])
 
 
@@ -73,7 +73,7 @@ def q_strip_accents(spark: SparkSession, sf: str) -> DataFrame:
 SELECT conv_id, turn, strip_accents(text) AS text_clean FROM conversations
 """)
 def q_strip_accents_turns(spark: SparkSession, sf: str) -> DataFrame:
-    c = table(spark, sf, "conversations").select("conv_id", "turn", F.col("text").alias("text_clean"))
+    c = table(spark, sf, "conversations", spread_rows=True).select("conv_id", "turn", F.col("text").alias("text_clean"))
     return strip_accents_cols(c, ["text_clean"])
 
 
@@ -84,7 +84,7 @@ FROM documents WHERE text <> strip_accents(text)
 ORDER BY text DESC, doc_id DESC LIMIT 10
 """)
 def q_changed_rows_topk(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = table(spark, sf, "documents", spread_rows=True).select("doc_id", "text")
     return before_after(d, "text", 10, strip_accents, tiebreak=["doc_id"], keep=["doc_id"])
 
 
@@ -251,8 +251,8 @@ FROM lineitem WHERE l_linenumber NOT IN (3, 5)
 """)
 def q_relation_from_columns(spark: SparkSession, sf: str) -> DataFrame:
     # Line numbers repeat within an order in this data, so the JSON index is a row-unique id.
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey",
-                                             F.monotonically_increasing_id().cast("string").alias("idx"))
+    li = table(spark, sf, "lineitem", spread_rows=True).select(
+        "l_orderkey", "l_linenumber", "l_suppkey", F.monotonically_increasing_id().cast("string").alias("idx"))
     idx = F.col("idx")
     # One small document per (order, block of 4 lines): bounded size whatever the key skew.
     member = (F.when(F.col("l_linenumber") == 5, F.lit("NA"))
@@ -273,7 +273,7 @@ SELECT DISTINCT CAST(l_orderkey AS STRING) AS key, CAST(l_partkey AS STRING) AS
 FROM lineitem WHERE l_linenumber NOT IN (2, 6)
 """)
 def q_relation_from_records(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    li = table(spark, sf, "lineitem", spread_rows=True).select("l_orderkey", "l_linenumber", "l_partkey")
     k = F.col("l_orderkey").cast("string")
     m = F.when(F.col("l_linenumber") == 2, F.lit("null")).otherwise(F.col("l_partkey").cast("string"))
     rec = (F.when(F.col("l_linenumber") == 6, F.create_map(F.lit("movie"), k))

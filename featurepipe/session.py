@@ -72,3 +72,14 @@ def stable(df: DataFrame) -> DataFrame:
     """Reliable (shared-folder) checkpoint of a small frame, eager."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_fraction: float = 0.5) -> DataFrame:
+    """Round-robin repartition to the cluster's parallelism when ``df`` (typically a fresh scan)
+    has far fewer partitions than there are cores -- e.g. a small file written as one row
+    group, which would otherwise run all its per-row work in one task. A large input already
+    scans into many splits, so this is a no-op at scale."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < max(1, int(target * min_fraction)):
+        return df.repartition(target)
+    return df

@@ -5,7 +5,7 @@
 * JSON Lines, one record per line (the shape that splits across tasks)
 
 ``read_relation`` dispatches on the first non-blank character of each file (``[`` records,
-``{`` columns) and rejects anything else with a ``ValueError``; ``shape="lines"`` reads JSON
+``{`` columns) and fails the reading job for anything else (checked in the same pass); ``shape="lines"`` reads JSON
 Lines with the ordinary splittable JSON reader. A whole-file JSON document is parsed by the one
 task that reads the file: that is a limit of the format, not of the reader.
 """
@@ -38,17 +38,16 @@ def read_relation(spark: SparkSession, path: str | Sequence[str], key_aliases: S
                               key, member, sentinels)
     docs = spark.read.text(path, wholetext=True).select(
         F.col("value").alias("json"), F.col("_metadata.file_path").alias("file"))
-    docs = docs.withColumn("_lead", F.substring(F.ltrim(F.regexp_replace("json", r"^\s+", "")), 1, 1))
-    bad = docs.where(~F.col("_lead").isin("[", "{")).select("file", "_lead").limit(1).collect()
-    if bad:
-        raise ValueError(f"{bad[0]['file']}: unexpected top-level JSON type "
-                         f"(starts with {bad[0]['_lead']!r}; expected a list or a dict)")
+    lead = F.substring(F.regexp_replace("json", r"^\s+", ""), 1, 1)
+    # A5, checked inside the reading pass: any other top-level type fails the job.
+    docs = docs.withColumn("_lead", F.when(lead.isin("[", "{"), lead).otherwise(F.raise_error(F.concat(
+        F.col("file"), F.lit(": unexpected top-level JSON type (expected a list or a dict)")))).cast("string"))
     cols = docs.where(F.col("_lead") == "{")
     recs = docs.where(F.col("_lead") == "[")
     parts = []
     if shape in ("auto", "columns"):
         parts.append(relation_from_column_docs(cols, "json", key_aliases, member_aliases, key, member,
-                                               sentinels, doc_id="file"))
+                                               sentinels))
     if shape in ("auto", "records"):
         parts.append(relation_from_record_docs(recs, "json", key_aliases, member_aliases, key, member,
                                                sentinels))
