@@ -3,8 +3,9 @@
 A hook is any ``DataFrame -> DataFrame`` function. ``HookRegistry.apply`` chains them with
 ``DataFrame.transform`` in registration order, so the whole chain stays one lazy plan. The audit
 (J2) records the columns each hook added from the schemas (free) and, when asked, the rows it
-dropped through ``DataFrame.observe`` -- filled by whatever action runs on the result, with no
-extra job.
+dropped (one count per hook boundary, so off by default). ``DataFrame.observe`` would avoid the
+extra jobs, but in this Spark version an observed session makes later RDD-based evaluators fail
+to serialize their tasks, so plain counts are used.
 """
 
 from __future__ import annotations
@@ -12,8 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from featurepipe.config import DEFAULT, PipelineConfig
 from featurepipe.operators.cleaning import drop_if_present
@@ -28,8 +28,7 @@ class _Audit:
     hook: str
     split: str
     cols_added: list[str]
-    before: Observation | None
-    after: Observation | None
+    rows_dropped: int | None
 
 
 @dataclass
@@ -46,32 +45,21 @@ class HookRegistry:
 
     def apply(self, df: DataFrame, split: str = "all") -> DataFrame:
         """Run every hook in registration order."""
+        rows = df.count() if self.count_rows else None
         for name, fn in self.hooks:
             before_cols = set(df.columns)
-            obs_in = obs_out = None
-            if self.count_rows:
-                obs_in = Observation(f"{name}-{split}-in-{len(self._audit)}")
-                df = df.observe(obs_in, F.count(F.lit(1)).alias("rows"))
             df = fn(df)
+            dropped = None
             if self.count_rows:
-                obs_out = Observation(f"{name}-{split}-out-{len(self._audit)}")
-                df = df.observe(obs_out, F.count(F.lit(1)).alias("rows"))
+                after = df.count()
+                dropped, rows = rows - after, after
             added = sorted(set(df.columns) - before_cols)
-            self._audit.append(_Audit(name, split, added, obs_in, obs_out))
+            self._audit.append(_Audit(name, split, added, dropped))
         return df
 
     def audit(self, spark) -> DataFrame:
-        """(hook, split, rows_dropped, cols_added); rows_dropped is NULL until an action ran
-        on the hooked frame (or when row counting is off)."""
-        rows = []
-        for a in self._audit:
-            dropped = None
-            if a.before is not None and a.after is not None:
-                try:
-                    dropped = int(a.before.get["rows"]) - int(a.after.get["rows"])
-                except Exception:  # observation not filled yet
-                    dropped = None
-            rows.append((a.hook, a.split, dropped, a.cols_added))
+        """(hook, split, rows_dropped, cols_added); rows_dropped is NULL when counting is off."""
+        rows = [(a.hook, a.split, a.rows_dropped, a.cols_added) for a in self._audit]
         return spark.createDataFrame(
             rows, "hook string, split string, rows_dropped long, cols_added array<string>")
 
