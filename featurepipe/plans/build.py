@@ -61,3 +61,59 @@ def split_frames(df: DataFrame, split_col: str = "split",
                  names: Sequence[str] = ("train", "val", "test")) -> dict[str, DataFrame]:
     """One frame per split (predicate pushed to each scan), without the split column."""
     return {n: df.where(F.col(split_col) == n).drop(split_col) for n in names}
+
+
+# The reference's raw file names.
+TRAIN_GLOB = "train-*.csv"
+VAL_FILE = "validation_hidden.csv"
+TEST_FILE = "test_hidden.csv"
+DIRECTING_FILE = "directing.json"
+WRITING_FILE = "writing.json"
+
+
+def read_raw(spark, raw_dir: str, cfg: PipelineConfig = DEFAULT) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Bronze input from the raw folder: train shards (strict, label kept), validation and test
+    (tolerant), one frame with a ``split`` column and scan-order columns; plus the relations."""
+    from featurepipe.sources.csv import read_csv_union
+    from featurepipe.sources.json_relations import read_relation
+    cols = list(cfg.bronze_cols)
+    parts = [
+        read_csv_union(spark, f"{raw_dir}/{TRAIN_GLOB}", [*cols, cfg.label], on_error="fail")
+        .withColumn(cfg.split, F.lit("train")),
+        read_csv_union(spark, f"{raw_dir}/{VAL_FILE}", cols, on_error="drop").withColumn(cfg.split, F.lit("val")),
+        read_csv_union(spark, f"{raw_dir}/{TEST_FILE}", cols, on_error="drop").withColumn(cfg.split, F.lit("test")),
+    ]
+    bronze_raw = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2],
+                                                                                  allowMissingColumns=True)
+    rels = {
+        "n_directors": read_relation(spark, f"{raw_dir}/{DIRECTING_FILE}", cfg.key_aliases, cfg.director_aliases,
+                                     sentinels=cfg.sentinels),
+        "n_writers": read_relation(spark, f"{raw_dir}/{WRITING_FILE}", cfg.key_aliases, cfg.writer_aliases,
+                                   sentinels=cfg.sentinels),
+    }
+    return bronze_raw, rels
+
+
+def run_build(spark, raw_dir: str, out_dir: str, cfg: PipelineConfig = DEFAULT, fmt: str = "csv",
+              profiles: bool = True, approx_profile: bool = False) -> Stages:
+    """J5 end to end from files: merged / cleaned / processed stages (one folder per split) and
+    one profile per stage and split, as the reference's build writes them."""
+    from featurepipe.operators.stats import profile
+    from featurepipe.sources.csv import ORDER_COLS
+    from featurepipe.sources.stages import write_profile, write_stage
+    bronze_raw, rels = read_raw(spark, raw_dir, cfg)
+    st = build_frames(bronze_raw, rels, list(ORDER_COLS), cfg, split_col=cfg.split)
+    merged = st.bronze.drop(*ORDER_COLS)
+    outputs = {"merged": merged, "cleaned": st.hooked, "processed": st.gold}
+    for stage, df in outputs.items():
+        write_stage(df, f"{out_dir}/{stage}", fmt, order_by=None, partition_by=cfg.split)
+    if profiles:
+        layer = {"merged": "bronze", "cleaned": "silver", "processed": "gold"}
+        for stage, df in outputs.items():
+            for split in ("train", "val", "test"):
+                part = df.where(F.col(cfg.split) == split).drop(cfg.split)
+                if split != "train" and cfg.label in part.columns and stage != "processed":
+                    part = part.drop(cfg.label)     # the hidden splits carry no label column
+                name = f"{layer[stage]}_{split}"
+                write_profile(profile(part, name, approx=approx_profile), f"{out_dir}/profiles/profile_{name}")
+    return st

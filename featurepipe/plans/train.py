@@ -49,3 +49,24 @@ def train_and_predict(train: DataFrame, hidden: Mapping[str, DataFrame], feature
     best = pick_best(scores)
     model, preds = fit_predict(folded, hidden, candidates(n, settings, label)[best], feats)
     return TrainResult(scores, best, model, preds, importances(model, feats), feats)
+
+
+def run_train(spark, processed_dir: str, out_dir: str, cfg=None, settings: ModelSettings = ModelSettings(),
+              fmt: str = "csv") -> TrainResult:
+    """J6 end to end from the processed stage: predictions for val and test (True/False lines in
+    row order) and the model report."""
+    from featurepipe.config import DEFAULT
+    from featurepipe.sources.sinks import model_report, write_predictions, write_report
+    from featurepipe.sources.stages import read_stage
+    cfg = cfg or DEFAULT
+    if fmt == "csv":   # typed by inference (an extra pass); parquet keeps the gold types
+        gold = spark.read.option("header", True).option("inferSchema", True).csv(processed_dir)
+    else:
+        gold = read_stage(spark, processed_dir, "parquet")
+    parts = {s: gold.where(F.col(cfg.split) == s).drop(cfg.split) for s in ("train", "val", "test")}
+    res = train_and_predict(parts["train"], {"val": parts["val"], "test": parts["test"]}, cfg.features,
+                            cfg.label, [cfg.row_id], settings)
+    for split, pred in res.predictions.items():
+        write_predictions(pred, cfg.row_id, f"{out_dir}/predictions_{split}")
+    write_report(model_report(spark, res.report_lines()), f"{out_dir}/model_report")
+    return res
