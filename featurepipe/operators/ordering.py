@@ -56,14 +56,17 @@ def dense_index(df: DataFrame, order: Sequence[str | Column], partition_by: Sequ
     # Range partitioning samples its input in a separate job before the shuffle; keeping the
     # input persisted across both saves a second evaluation of everything upstream. (Bounds are
     # fixed on the driver once sampled, so a recomputed block lands in the same partition.)
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    level = df.storageLevel
+    owned = not (level.useMemory or level.useDisk)      # leave a caller's own cache alone
+    src = df.persist(StorageLevel.MEMORY_AND_DISK) if owned else df
     tagged = (src.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_fp_pid", F.spark_partition_id())
               .withColumn("_fp_pos", F.monotonically_increasing_id()))
     # The range bounds come from a sample; a recomputed shuffle could move rows between
     # partitions. Materializing fixes the tags once, and lets the count pass read two columns.
     tagged = materialize(tagged, "dense-index")
-    src.unpersist()
+    if owned:
+        src.unpersist()
     spans = (tagged.groupBy("_fp_pid", *groups)
              .agg(F.count(F.lit(1)).alias("_fp_cnt"), F.min("_fp_pos").alias("_fp_first")))
     before = Window.partitionBy(*groups).orderBy("_fp_pid").rowsBetween(Window.unboundedPreceding, -1)
