@@ -144,13 +144,14 @@ def _missing(c: Column, dtype: str) -> Column:
     return c.isNull()
 
 
-def profile(df: DataFrame, name: str, approx: bool = False) -> DataFrame:
+def profile(df: DataFrame, name: str, approx: bool = False, by: str | None = None) -> DataFrame:
     """E5: per column n_rows, n_missing, pct_missing (2 dp, half-even), n_unique (NULL excluded),
     dtype. One unpivot to (column, value-as-text) and a two-level distinct count, so no single
     task holds all values of a column; ``approx=True`` uses HyperLogLog++ instead.
-    Columns keep their input order (``ordinal``).
+    Columns keep their input order (``ordinal``). With ``by`` (e.g. the split column) every group
+    is profiled in the same job and ``split`` becomes ``name + "_" + group``.
     """
-    dtypes = df.dtypes
+    dtypes = [(c, t) for c, t in df.dtypes if c != by]
     if not dtypes:
         return df.sparkSession.createDataFrame(
             [], "split string, column string, n_rows long, n_missing long, pct_missing double, "
@@ -158,15 +159,17 @@ def profile(df: DataFrame, name: str, approx: bool = False) -> DataFrame:
     cells = [F.struct(F.lit(i).alias("o"), F.lit(c).alias("c"),
                       F.when(~_missing(F.col(c), t), F.col(c).cast("string")).alias("v"))
              for i, (c, t) in enumerate(dtypes)]
-    long = df.select(F.explode(F.array(*cells)).alias("_fp_cell")).select("_fp_cell.*")
+    g = [F.col(by).cast("string").alias("_fp_by")] if by else []
+    gk = ["_fp_by"] if by else []
+    long = df.select(*g, F.explode(F.array(*cells)).alias("_fp_cell")).select(*gk, "_fp_cell.*")
     if approx:
-        per_col = long.groupBy("o", "c").agg(
+        per_col = long.groupBy(*gk, "o", "c").agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.count_if(F.col("v").isNull()).alias("n_missing"),
             F.approx_count_distinct("v").alias("n_unique"))
     else:
-        per_val = long.groupBy("o", "c", "v").agg(F.count(F.lit(1)).alias("_k"))
-        per_col = per_val.groupBy("o", "c").agg(
+        per_val = long.groupBy(*gk, "o", "c", "v").agg(F.count(F.lit(1)).alias("_k"))
+        per_col = per_val.groupBy(*gk, "o", "c").agg(
             F.sum("_k").alias("n_rows"),
             F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("_k"))), F.lit(0)).alias("n_missing"),
             F.count("v").alias("n_unique"))
@@ -174,8 +177,9 @@ def profile(df: DataFrame, name: str, approx: bool = False) -> DataFrame:
                                             "o int, dtype string")
     n_rows = F.col("n_rows").cast("long")
     pct = F.bround(F.col("n_missing") / F.greatest(n_rows, F.lit(1)) * 100, 2)
-    return (per_col.join(F.broadcast(types), "o")
-            .select(F.lit(name).alias("split"), F.col("c").alias("column"), n_rows.alias("n_rows"),
+    split = F.concat(F.lit(name + "_"), F.col("_fp_by")) if by else F.lit(name)
+    return (per_col.join(F.broadcast(types), "o")     # one row per column: bounded by the schema
+            .select(split.alias("split"), F.col("c").alias("column"), n_rows.alias("n_rows"),
                     F.col("n_missing").cast("long").alias("n_missing"), pct.alias("pct_missing"),
                     F.col("n_unique").cast("long").alias("n_unique"), "dtype",
                     F.col("o").alias("ordinal")))

@@ -11,6 +11,7 @@ can restore file order without a global sort at read time.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,9 +59,13 @@ def read_csv_union(spark: SparkSession, pattern: str | Sequence[str], columns: S
     if not files:
         raise FileNotFoundError(f"no file matches {pattern}")
     mode = {"fail": "FAILFAST", "drop": "DROPMALFORMED"}[on_error]
+    # Header reads are a few bytes each; issue them concurrently (object stores have per-request
+    # latency) and group files by header in listing order.
+    with ThreadPoolExecutor(max_workers=min(32, len(files))) as pool:
+        headers = list(pool.map(lambda f: read_header(spark, f, sep), files))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        groups.setdefault(read_header(spark, f, sep), []).append(f)
+    for f, h in zip(files, headers):
+        groups.setdefault(h, []).append(f)
     frames = []
     for header, members in groups.items():
         schema = StructType([StructField(h, StringType(), True) for h in header])

@@ -54,8 +54,10 @@ def test_build_and_train_from_files(spark, tmp_dir):
     assert sorted(r._row_id for r in tr.values()) == list(range(45))
     # file order: train-1 (tt1..tt15), train-2 (tt31..tt45), train-3 (tt16..tt30)
     assert tr["tt1"]._row_id == 0 and tr["tt31"]._row_id == 15 and tr["tt16"]._row_id == 30
-    prof = spark.read.option("header", True).csv(os.path.join(out, "profiles", "profile_gold_train"))
-    assert prof.where(F.col("column") == "label").count() == 1
+    prof = spark.read.option("header", True).csv(os.path.join(out, "profiles", "processed"))
+    assert prof.where((F.col("column") == "label") & (F.col("split") == "gold_train")).count() == 1
+    assert {r.split for r in prof.select("split").distinct().collect()} == {"gold_train", "gold_val", "gold_test"}
+    assert prof.where((F.col("split") == "gold_val") & (F.col("column") == "tconst")).first().n_rows == "10"
     res = run_train(spark, os.path.join(out, "processed"), os.path.join(out, "model"),
                     settings=ModelSettings.quick(), fmt="parquet")
     for split, n in (("val", 10), ("test", 8)):

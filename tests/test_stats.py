@@ -43,6 +43,8 @@ def test_profile_counts(spark):
     assert (p["d"].n_missing, p["d"].n_unique, p["d"].dtype) == (2, 2, "double")
     approx = {r.column: r.n_unique for r in profile(df, "t", approx=True).collect()}
     assert approx["k"] == 3
+    by = {(r.split, r.column): (r.n_rows, r.n_unique) for r in profile(df, "t", by="s").collect()}
+    assert by[("t_x", "k")] == (2, 2) and by[("t_y", "d")] == (1, 1) and ("t_x", "s") not in by
 
 
 def test_coverage_and_label_summary(spark):
