@@ -120,7 +120,7 @@ def entity_bronze_sql() -> str:
 
 def entity_relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """(key, member) relations: directors = suppliers of the order's lines, writers = parts."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread_rows=True).select("l_orderkey", "l_suppkey", "l_partkey")
     key = F.concat(F.lit("tt"), F.col("l_orderkey").cast("string")).alias("key")
     return {"n_directors": li.select(key, F.col("l_suppkey").cast("string").alias("member")),
             "n_writers": li.select(key, F.col("l_partkey").cast("string").alias("member"))}
