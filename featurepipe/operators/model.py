@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from featurepipe.operators.ordering import dense_index
 from featurepipe.operators.stats import exact_median
+from featurepipe.session import broadcast_if_small
 
 
 # ---------------------------------------------------------------- I1 / I2: preprocessing -------
@@ -139,7 +140,7 @@ def stratified_folds(df: DataFrame, label: str, order: Sequence[str], k: int = 5
         bounds.append(cum)
     cls = cls.select(label, *[b.alias(f"_b{i}") for i, b in enumerate(bounds)])
     ranked = dense_index(df, order, partition_by=[label], name="_r")
-    out = ranked.join(cls, label, "inner")   # one row per class on the right
+    out = ranked.join(broadcast_if_small(cls), label, "inner")   # one row per class; a class is a hot key
     fold = sum((F.col("_r") >= F.col(f"_b{i}")).cast("int") for i in range(len(bounds)))
     return out.withColumn(name, F.lit(0) + fold if bounds else F.lit(0)).drop(
         "_r", *[f"_b{i}" for i in range(len(bounds))]).select(*df.columns, name)

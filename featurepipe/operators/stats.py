@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featurepipe.session import stable
+from featurepipe.session import broadcast_if_small, stable
 
 _GRID = 1000          # quantile grid per narrowing round
 _ACCURACY = 20_000    # sketch accuracy; rank error <= n / accuracy, below one grid step
@@ -63,8 +63,8 @@ def exact_median(df: DataFrame, col: str, by: Sequence[str] = (), cap: int = _CA
     bounds = stable(bounds)
 
     def candidates(b: DataFrame) -> DataFrame:
-        # ``b`` has one row per group (AQE broadcasts it when small).
-        j = x.join(b, by, "inner")
+        # ``b`` has one row per group; a group may be a third of the rows, so no shuffle on it.
+        j = x.join(broadcast_if_small(b), by, "inner")
         inside = ((F.col("_lo").isNull() | (F.col("_x") >= F.col("_lo")))
                   & (F.col("_hi").isNull() | (F.col("_x") <= F.col("_hi"))))
         return j.where(inside)
@@ -132,7 +132,8 @@ def impute_median(df: DataFrame, col: str, by: Sequence[str] = (), medians: Data
         row = med.first()
         value = None if row is None else row["median"]
         return df.withColumn(col, F.when(_valid(x), x).otherwise(F.lit(value).cast("double")))
-    med = med.select(*by, F.col("median").alias("_fp_med"))
+    # one row per group, and a group (a split) may hold a third of the rows: broadcast when small
+    med = broadcast_if_small(med.select(*by, F.col("median").alias("_fp_med")))
     out = df.join(med, by, "left")
     out = out.withColumn(col, F.when(_valid(x), x).otherwise(F.col("_fp_med")))
     return out.select(*df.columns)

@@ -83,3 +83,13 @@ def spread(df: DataFrame, min_fraction: float = 0.5) -> DataFrame:
     if df.rdd.getNumPartitions() < max(1, int(target * min_fraction)):
         return df.repartition(target)
     return df
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast ``df`` when a count proves it has at most ``max_rows`` rows (one small job on a
+    per-group table); otherwise return it unchanged and let AQE plan (and de-skew) the join.
+
+    Used where the join key is itself a hot group (a split, a class label): a shuffle join on
+    such a key would send a whole group to one task, a broadcast join sends none."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if df.count() <= max_rows else df
