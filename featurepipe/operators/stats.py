@@ -28,6 +28,7 @@ from featurepipe.session import broadcast_if_small, stable
 _GRID = 1000          # quantile grid per narrowing round
 _ACCURACY = 20_000    # sketch accuracy; rank error <= n / accuracy, below one grid step
 _CAP = 500_000        # values per group an exact in-task median may hold
+_BROADCAST_GROUPS = 100_000   # per-group tables up to this many rows are broadcast
 
 
 def _valid(x: Column) -> Column:
@@ -39,6 +40,13 @@ def exact_median(df: DataFrame, col: str, by: Sequence[str] = (), cap: int = _CA
     """Exact median of ``col`` per ``by`` group (NULL and NaN ignored): one row per group that has
     at least one value, columns ``(*by, median)``. Mean of the two middle values for even n.
     """
+    return _median_table(df, col, by, cap, grid, accuracy, max_rounds)[0]
+
+
+def _median_table(df: DataFrame, col: str, by: Sequence[str] = (), cap: int = _CAP,
+                  grid: int = _GRID, accuracy: int = _ACCURACY, max_rounds: int = 8,
+                  ) -> tuple[DataFrame, int]:
+    """``exact_median`` plus the number of groups (known from its first, one-row job)."""
     out_by = list(by)
     by = out_by or ["_fp_g"]          # one constant group when no grouping is asked for
     src = df if out_by else df.withColumn("_fp_g", F.lit(0))
@@ -52,19 +60,21 @@ def exact_median(df: DataFrame, col: str, by: Sequence[str] = (), cap: int = _CA
                       F.lit(0).cast("long").alias("_below"),
                       F.col("_n").alias("_m"),
                       F.lit(False).alias("_done")))
-    if bounds.where(F.col("_m") > cap).isEmpty():
+    shape = bounds.agg(F.count(F.lit(1)).alias("g"), F.max("_m").alias("m")).first()
+    n_groups, largest = int(shape["g"]), (shape["m"] or 0)
+    if largest <= cap:
         # Every group is proven to hold at most ``cap`` values: Spark's exact percentile keeps
         # them in one buffer per group, which that bound makes safe. Its interpolation
         # 0.5*a + 0.5*b equals (a + b) / 2 bit for bit (halving is exact).
         return (x.groupBy(*by).agg(F.percentile("_x", F.lit(0.5)).alias("median"))
-                .select(*out_by, "median"))
+                .select(*out_by, "median")), n_groups
     # Only narrowing rounds (approximate sketches, whose merge order may vary on recomputation)
     # need their bounds made stable.
     bounds = stable(bounds)
 
     def candidates(b: DataFrame) -> DataFrame:
         # ``b`` has one row per group; a group may be a third of the rows, so no shuffle on it.
-        j = x.join(broadcast_if_small(b), by, "inner")
+        j = x.join(F.broadcast(b) if n_groups <= _BROADCAST_GROUPS else b, by, "inner")
         inside = ((F.col("_lo").isNull() | (F.col("_x") >= F.col("_lo")))
                   & (F.col("_hi").isNull() | (F.col("_x") <= F.col("_hi"))))
         return j.where(inside)
@@ -113,7 +123,7 @@ def exact_median(df: DataFrame, col: str, by: Sequence[str] = (), cap: int = _CA
     start = F.col("_cum") - F.col("_c")
     a = F.max(F.when((start <= r_lo) & (r_lo < F.col("_cum")), F.col("_x")))
     b = F.max(F.when((start <= r_hi) & (r_hi < F.col("_cum")), F.col("_x")))
-    return j.groupBy(*by).agg(((a + b) / 2).alias("median")).select(*out_by, "median")
+    return j.groupBy(*by).agg(((a + b) / 2).alias("median")).select(*out_by, "median"), n_groups
 
 
 def impute_median(df: DataFrame, col: str, by: Sequence[str] = (), medians: DataFrame | None = None,
@@ -126,14 +136,19 @@ def impute_median(df: DataFrame, col: str, by: Sequence[str] = (), medians: Data
     if col not in df.columns:
         return df
     by = list(by)
-    med = medians if medians is not None else exact_median(df, col, by)
+    if medians is not None:
+        med, n_groups = medians, None
+    else:
+        med, n_groups = _median_table(df, col, by)
     x = F.col(col).cast("double")
     if not by:
         row = med.first()
         value = None if row is None else row["median"]
         return df.withColumn(col, F.when(_valid(x), x).otherwise(F.lit(value).cast("double")))
     # one row per group, and a group (a split) may hold a third of the rows: broadcast when small
-    med = broadcast_if_small(med.select(*by, F.col("median").alias("_fp_med")))
+    med = med.select(*by, F.col("median").alias("_fp_med"))
+    med = (F.broadcast(med) if n_groups <= _BROADCAST_GROUPS else med) if n_groups is not None \
+        else broadcast_if_small(med, _BROADCAST_GROUPS)
     out = df.join(med, by, "left")
     out = out.withColumn(col, F.when(_valid(x), x).otherwise(F.col("_fp_med")))
     return out.select(*df.columns)
