@@ -19,7 +19,7 @@ from featurepipe.operators.hooks import HookRegistry, default_hooks
 from featurepipe.operators.relations import clean_relation
 from featurepipe.plans.gold import crew_counts, gold_build
 from featurepipe.plans.silver import bronze_clean, silver_clean
-from featurepipe.session import materialize
+from featurepipe.session import materialize, release_materialized
 
 
 @dataclass
@@ -95,9 +95,11 @@ def read_raw(spark, raw_dir: str, cfg: PipelineConfig = DEFAULT) -> tuple[DataFr
 
 
 def run_build(spark, raw_dir: str, out_dir: str, cfg: PipelineConfig = DEFAULT, fmt: str = "csv",
-              profiles: bool = True, approx_profile: bool = False) -> Stages:
+              profiles: bool = True, approx_profile: bool = False, release: bool = False) -> Stages:
     """J5 end to end from files: merged / cleaned / processed stages (one folder per split) and
-    one profile per stage and split, as the reference's build writes them."""
+    one profile per stage and split, as the reference's build writes them. ``release=True``
+    deletes the intermediates afterwards (the returned frames then read the written outputs
+    only through ``out_dir``)."""
     from featurepipe.operators.stats import profile
     from featurepipe.sources.csv import ORDER_COLS
     from featurepipe.sources.stages import write_profile, write_stage
@@ -116,4 +118,6 @@ def run_build(spark, raw_dir: str, out_dir: str, cfg: PipelineConfig = DEFAULT,
             if stage != "processed":
                 prof = prof.where(~((F.col("column") == cfg.label) & ~F.col("split").endswith("_train")))
             write_profile(prof, f"{out_dir}/profiles/{stage}")
+    if release:
+        release_materialized(spark)   # every output is written; the intermediates can go
     return st

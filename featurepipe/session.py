@@ -55,6 +55,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+_MATERIALIZED: dict[str, list[str]] = {}
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and return the re-read frame.
 
@@ -65,9 +68,22 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     base = checkpoint_dir(spark)
     path = os.path.join(base, "featurepipe", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    _MATERIALIZED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
+def release_materialized(spark: SparkSession) -> int:
+    """Delete this application's materialized intermediates (call once every frame built on them
+    has been written). Returns the number of folders removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _MATERIALIZED.pop(spark.sparkContext.applicationId, [])
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+    return len(paths)
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Reliable (shared-folder) checkpoint of a small frame, eager."""
     checkpoint_dir(df.sparkSession)

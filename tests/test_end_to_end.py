@@ -65,3 +65,5 @@ def test_build_and_train_from_files(spark, tmp_dir):
         lines = [ln for f in sorted(os.listdir(d)) if f.startswith("part-") for ln in open(os.path.join(d, f)).read().splitlines()]
         assert len(lines) == n and set(lines) <= {"True", "False"}
     assert res.report_lines()[0].startswith("Best model: ")
+    from featurepipe.session import release_materialized
+    assert release_materialized(spark) >= 2     # row-id and cleaned-stage intermediates
