@@ -49,17 +49,18 @@ def dense_index(df: DataFrame, order: Sequence[str | Column], partition_by: Sequ
     Equivalent to ``row_number() OVER (PARTITION BY g ORDER BY o) - 1`` without collecting a
     group (or the whole frame) into one task. ``order`` must be unique within a group.
     """
-    spark = df.sparkSession
     groups = list(partition_by)
     keys = [*_cols(groups), *_cols(order)]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Range partitioning samples its input in a separate job before the shuffle; keeping the
     # input persisted across both saves a second evaluation of everything upstream. (Bounds are
     # fixed on the driver once sampled, so a recomputed block lands in the same partition.)
     level = df.storageLevel
     owned = not (level.useMemory or level.useDisk)      # leave a caller's own cache alone
     src = df.persist(StorageLevel.MEMORY_AND_DISK) if owned else df
-    tagged = (src.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Without an explicit count AQE may coalesce adjacent ranges for small inputs; a coalesced
+    # partition is a contiguous run of ranges, so (partition id, position) stays the global order.
+    ranged = src.repartitionByRange(num_partitions, *keys) if num_partitions else src.repartitionByRange(*keys)
+    tagged = (ranged.sortWithinPartitions(*keys)
               .withColumn("_fp_pid", F.spark_partition_id())
               .withColumn("_fp_pos", F.monotonically_increasing_id()))
     # The range bounds come from a sample; a recomputed shuffle could move rows between
