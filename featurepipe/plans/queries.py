@@ -250,14 +250,15 @@ SELECT DISTINCT CAST(l_orderkey AS STRING) AS key, CAST(l_suppkey AS STRING) AS
 FROM lineitem WHERE l_linenumber NOT IN (3, 5)
 """)
 def q_relation_from_columns(spark: SparkSession, sf: str) -> DataFrame:
-    # Line numbers repeat within an order in this data, so the JSON index is a row-unique id.
-    li = table(spark, sf, "lineitem", spread_rows=True).select(
-        "l_orderkey", "l_linenumber", "l_suppkey", F.monotonically_increasing_id().cast("string").alias("idx"))
-    idx = F.col("idx")
-    # One small document per (order, block of 4 lines): bounded size whatever the key skew.
+    # Line numbers repeat within an order in this data, so the JSON index is a row-unique id; ids
+    # are consecutive within a partition, so (order, id div 4) caps a document at 4 entries.
+    li = (table(spark, sf, "lineitem", spread_rows=True).select("l_orderkey", "l_linenumber", "l_suppkey")
+          .sortWithinPartitions("l_orderkey")          # local sort: an order's lines get adjacent ids
+          .withColumn("rid", F.monotonically_increasing_id()))
+    idx = F.col("rid").cast("string")
     member = (F.when(F.col("l_linenumber") == 5, F.lit("NA"))
               .otherwise(F.col("l_suppkey").cast("string")))
-    docs = (li.groupBy("l_orderkey", F.floor(F.col("l_linenumber") / 4).alias("blk"))
+    docs = (li.groupBy("l_orderkey", F.floor(F.col("rid") / 4).alias("blk"))
             .agg(F.map_from_entries(F.collect_list(F.struct(idx, F.col("l_orderkey").cast("string"))))
                  .alias("Movie "),
                  F.map_from_entries(F.collect_list(
@@ -273,12 +274,15 @@ SELECT DISTINCT CAST(l_orderkey AS STRING) AS key, CAST(l_partkey AS STRING) AS
 FROM lineitem WHERE l_linenumber NOT IN (2, 6)
 """)
 def q_relation_from_records(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem", spread_rows=True).select("l_orderkey", "l_linenumber", "l_partkey")
+    li = (table(spark, sf, "lineitem", spread_rows=True).select("l_orderkey", "l_linenumber", "l_partkey")
+          .sortWithinPartitions("l_orderkey")
+          .withColumn("rid", F.monotonically_increasing_id()))
     k = F.col("l_orderkey").cast("string")
     m = F.when(F.col("l_linenumber") == 2, F.lit("null")).otherwise(F.col("l_partkey").cast("string"))
     rec = (F.when(F.col("l_linenumber") == 6, F.create_map(F.lit("movie"), k))
            .otherwise(F.create_map(F.lit("movie"), k, F.lit(" Writer_ID"), m)))
-    docs = (li.groupBy("l_orderkey", F.floor(F.col("l_linenumber") / 4).alias("blk"))
+    # at most 4 records per document whatever the key skew (ids are consecutive in a partition)
+    docs = (li.groupBy("l_orderkey", F.floor(F.col("rid") / 4).alias("blk"))
             .agg(F.to_json(F.collect_list(rec)).alias("json")))
     return relation_from_record_docs(docs, "json", DEFAULT.key_aliases, DEFAULT.writer_aliases,
                                      sentinels=DEFAULT.sentinels)
