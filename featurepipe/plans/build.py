@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from featurepipe.operators.hooks import HookRegistry, default_hooks
 from featurepipe.operators.relations import clean_relation
 from featurepipe.plans.gold import crew_counts, gold_build
 from featurepipe.plans.silver import bronze_clean, silver_clean
-from featurepipe.session import materialize, release_materialized
+from featurepipe.session import release_materialized
 
 
 @dataclass
@@ -45,9 +46,10 @@ def build_frames(bronze_raw: DataFrame, relations: Mapping[str, DataFrame], orde
     registry = hooks if hooks is not None else default_hooks(cfg)
     hooked = registry.apply(silver, split=split_col or "all")
     if materialize_cleaned:
-        # The cleaned stage is read by the gates job and by gold: write it once (the reference
-        # checkpoints this stage too) instead of re-running the hook chain for each reader.
-        hooked = materialize(hooked, "cleaned")
+        # The cleaned stage is read by the gates job and by gold. Everything after the row-id
+        # materialization is deterministic (exact medians, flags), so a recomputed block is
+        # identical: persisting on the executors is enough, no second copy on shared storage.
+        hooked = hooked.persist(StorageLevel.MEMORY_AND_DISK)
     report = None
     if gates:
         report = run_all_gates(hooked, "all", cfg.required, cfg.key, cfg.label, cfg.start_year,
@@ -119,5 +121,6 @@ def run_build(spark, raw_dir: str, out_dir: str, cfg: PipelineConfig = DEFAULT,
                 prof = prof.where(~((F.col("column") == cfg.label) & ~F.col("split").endswith("_train")))
             write_profile(prof, f"{out_dir}/profiles/{stage}")
     if release:
+        st.hooked.unpersist()
         release_materialized(spark)   # every output is written; the intermediates can go
     return st
