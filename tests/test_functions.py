@@ -1,6 +1,5 @@
 import math
 
-from pyspark.sql import functions as F
 
 from featurepipe.config import NULL_SENTINELS
 from featurepipe.functions import has_match, null_if_sentinel, py_strip, strip_accents, to_number, word_count

@@ -1,6 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
 
 from featurepipe.operators.model import (
     ExactMedianImputer, ModelSettings, PopulationScaler, fit_preprocess, stratified_folds,

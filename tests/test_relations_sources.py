@@ -2,7 +2,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from featurepipe.config import DIRECTOR_ALIASES, KEY_ALIASES, NULL_SENTINELS, WRITER_ALIASES
 from featurepipe.operators import clean_relation, count_members, join_counts, relation_summary

@@ -1,7 +1,6 @@
 import random
 import statistics
 
-from pyspark.sql import functions as F
 
 from featurepipe.operators import coverage, exact_median, impute_median, label_summary, profile
 
