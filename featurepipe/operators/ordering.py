@@ -6,7 +6,8 @@ None of them pulls all rows, or all rows of one key, into a single task:
   map task before the shuffle, so a key holding a third of the rows costs one row per task.
 * ``dense_index`` range-partitions on (groups, order), materializes the sorted frame with its
   (partition, position) tags under the checkpoint folder, counts rows per (partition, group)
-  -- a table bounded by partitions x groups -- and adds running offsets. Exact ids, one shuffle.
+  -- a table bounded by partitions x groups -- and adds running offsets. Exact ids; the rows
+  are shuffled once (the range partitioning), the rest are small aggregates.
 * ``top_k`` / ``head`` are ``orderBy(...).limit(k)``: Spark plans TakeOrderedAndProject, which
   keeps k rows per partition before merging.
 """

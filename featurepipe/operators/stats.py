@@ -4,7 +4,9 @@ positive counts (E8).
 ``exact_median`` never holds a large group in one task. Spark's exact ``percentile`` keeps every
 distinct value of a group in one aggregation buffer; here each group is narrowed instead:
 
-1. count the non-NULL, non-NaN values per group -> target ranks k_lo = (n-1)//2, k_hi = n//2;
+1. count the non-NULL, non-NaN values per group -> target ranks k_lo = (n-1)//2, k_hi = n//2.
+   If the largest group holds at most ``cap`` values (proven by that count), Spark's exact
+   ``percentile`` runs directly: its buffer is then bounded. Otherwise:
 2. while a group has more than ``cap`` candidates: one pass computes a fixed grid of approximate
    quantiles of the candidates (mergeable sketches, partial aggregation), picks the grid cells
    around the target ranks, and a second pass counts exactly how many candidates fall below the
