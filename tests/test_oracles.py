@@ -42,9 +42,15 @@ def duck():
     return con
 
 
+_DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
+
+
 @pytest.mark.parametrize("name", FAST)
 def test_query_matches_oracle(spark, duck, name):
-    got = E.queries()[name](spark, SF_SMALL).toPandas()
+    sdf = E.queries()[name](spark, SF_SMALL)
+    types = {c: _DUCK_TYPES.get(t, t) for c, t, *_ in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert dict(sdf.dtypes) == types
+    got = sdf.toPandas()
     exp = duck.execute(E.oracle_sql()[name]).df()
     assert _canon(got) == _canon(exp)
 
