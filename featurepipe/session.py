@@ -30,7 +30,6 @@ def local_session(app: str = "featurepipe", cores: int | str = "*", shuffle_part
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.locality.wait", "0s")          # one local executor: nothing to wait for
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
