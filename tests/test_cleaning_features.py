@@ -72,3 +72,14 @@ def test_spread_and_broadcast_if_small(spark):
     small = spark.createDataFrame([(1,)], "k int")
     plan = spark.range(10).join(broadcast_if_small(small), F.col("id") == F.col("k"))._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan
+
+
+def test_compare_stages(spark):
+    from featurepipe.operators import null_sentinels
+    from featurepipe.plans.compare import compare_stages
+    raw = spark.createDataFrame([(1, "Ábc", "NA"), (2, "abc", "1999"), (3, "Öd", None)], "id int, t string, y string")
+    clean = null_sentinels(raw, ["y"], ["NA"])
+    pairs, cov = compare_stages(raw, clean, "t", ["y"], k=5, tiebreak=["id"])
+    assert sorted((r.dirty, r.clean) for r in pairs.collect()) == [("Ábc", "Abc"), ("Öd", "Od")]
+    got = {(r.stage, r.column): round(r.pct_available, 4) for r in cov.collect()}
+    assert got == {("raw", "y"): round(200 / 3, 4), ("clean", "y"): round(100 / 3, 4)}
