@@ -75,8 +75,8 @@ def _batch_of(docs: DataFrame, batches: int) -> Column:
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10,
-                batches: int = 4, fanout: int = 2) -> DataFrame:
-    """``docs`` with repeated lines dropped from ``text_col``, and ``n_lines`` and ``n_dropped``.
+                batches: int = 4, fanout: int = 2, report: bool = True) -> DataFrame:
+    """``docs`` with repeated lines dropped from ``text_col``, and (``report``) ``n_lines`` and ``n_dropped``.
 
     Texts are split at ``\\n`` (null or empty: one empty line). Keys of at least ``min_chars``
     code points keep their lines in the smallest document that holds them and lose them in all
@@ -114,9 +114,9 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     # the lines between one dropped position and the next, each slice copied once
     stay = F.flatten(F.zip_with(F.concat(F.array(F.lit(-1)), "gone"), F.concat(F.col("gone"), F.array(F.size(split))),
                                 lambda p, q: F.slice(split, p + 2, q - p - 1)))
-    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    counts = [F.size(split).cast("long").alias("n_lines"),
+              F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped")] if report else []
+    names = [c for c in docs.columns if not (report and c in ("n_lines", "n_dropped"))]
     return whole.select(
         *[(F.when(F.col("gone").isNull(), F.col("body")).otherwise(F.array_join(stay, "\n")) if c == text_col
-           else F.col("row")[c]).alias(c) for c in names],
-        F.size(split).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"))
+           else F.col("row")[c]).alias(c) for c in names], *counts)

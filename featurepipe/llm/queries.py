@@ -8,10 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from featurepipe.llm.common import ASCII_LOWER, ASCII_UPPER
+from featurepipe.llm.decontam import contamination
+from featurepipe.llm.linededup import dedup_lines
 from featurepipe.llm.neardup import near_duplicates
+from featurepipe.llm.pieces import encode_pieces
+from featurepipe.llm.repetition import RepetitionRules, repetition_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +62,89 @@ LEFT JOIN n ON n.doc_id = d.doc_id
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components over all documents: 4-word shingles, 80 percent."""
     return near_duplicates(_documents(spark, sf_dir), width=4)
+
+
+_SQL_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@_query("op6_line_dedup", f"""
+WITH l AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (SELECT doc_id, pos, line, {_sql_lower(f"trim(line, {_SQL_SPACE})")} AS key FROM l),
+f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+j AS (SELECT k.*, coalesce(f.first < k.doc_id, false) AS gone FROM k LEFT JOIN f ON f.key = k.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+""")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that another document holds already are dropped, over all documents."""
+    return dedup_lines(_documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@_query("op8_sentencepiece")
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids with the end id, and the text decoded from them, of every whole document."""
+    coded = encode_pieces(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+_RULES = RepetitionRules()
+
+
+@_query("op9_repetition", f"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {_SPACED}) AS ws FROM documents),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w),
+dup AS (SELECT doc_id, sum(n - 1)::BIGINT AS n FROM (
+            SELECT doc_id, line, count(*) AS n FROM lines WHERE trim(line, {_SQL_SPACE}) <> '' GROUP BY 1, 2) GROUP BY 1),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1),
+hit AS (SELECT DISTINCT doc_id, i + o AS i FROM rep, (SELECT unnest(range(8)) AS o)),
+cov AS (SELECT h.doc_id, count(*) AS n, sum(length(w.ws[h.i]))::BIGINT AS chars FROM hit h JOIN w ON w.doc_id = h.doc_id GROUP BY 1),
+long AS (SELECT DISTINCT doc_id FROM (
+            SELECT doc_id, md5(array_to_string(ws[i:i + {_RULES.longest_words}], ' ')) AS g
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {_RULES.longest_words - 1})) AS i FROM w WHERE doc_id IN (SELECT doc_id FROM rep)))
+         GROUP BY doc_id, g HAVING count(*) > 1),
+r AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+             coalesce(cov.n, 0) AS n_repeat_words, coalesce(cov.chars, 0) AS chars, long.doc_id IS NOT NULL AS too_long
+      FROM w LEFT JOIN dup ON dup.doc_id = w.doc_id LEFT JOIN cov ON cov.doc_id = w.doc_id LEFT JOIN long ON long.doc_id = w.doc_id),
+b AS (SELECT *, n_words < {_RULES.min_words} OR 100 * n_repeat_words > {_RULES.repeat_percent} * n_words AS base_failed FROM r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * chars <= {_RULES.covered_percent} * word_chars AND NOT too_long AS kept FROM b
+""")
+def op9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition figures and verdict of every document."""
+    return repetition_report(_documents(spark, sf_dir), rules=_RULES).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_WORD10 = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+
+@_query("op10_decontam", f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_sql_lower("coalesce(text, '')")}, {_WORD10}) AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_sql_lower("coalesce(text, '')")}, {_WORD10}) AS ws FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + 9], ' ') AS g
+        FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 8, 2))) AS i FROM b WHERE len(ws) > 0)),
+g AS (SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM (
+        SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win))),
+occ AS (SELECT g.doc_id, g.i, g.n, win.item_id FROM g JOIN win ON win.n = g.n AND win.g = g.g),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM occ) GROUP BY 1),
+it AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+       FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM occ) GROUP BY 1)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(it.n, 0) AS n_items,
+       sha256(coalesce(it.items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN it ON it.doc_id = d.doc_id
+""")
+def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark windows, and the items that they come from."""
+    found = contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
