@@ -15,7 +15,7 @@ size (``block_bytes`` of text, counted first), so neither driver nor task holds
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -194,13 +194,14 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, blo
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // block_bytes)
     sc = benchmark.sparkSession.sparkContext
-    return [sc.broadcast(Phrases.of([tuple(r) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()], window))
+    part = F.pmod(F.xxhash64("item", "text"), F.lit(n))
+    return [sc.broadcast(astuple(Phrases.of([tuple(r) for r in items.where(part == k).collect()], window)))
             for k in range(n)]
 
 
 def _searched(texts: list, blocks: list) -> tuple[list[list[bytes]], list[np.ndarray], list[set]]:
     words = [item_words(t) for t in texts]
-    found = [b.value.search(words) for b in blocks]
+    found = [Phrases(*b.value).search(words) for b in blocks]
     if len(found) == 1:
         return words, *found[0]
     return (words, [_merge([np.empty(0, np.int64), *(s[d] for s, _ in found)]) for d in range(len(words))],
