@@ -6,18 +6,26 @@ full result. ``ORACLES`` holds SQL where SQL can express the operator on whole t
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featurepipe.llm.chat import format_chats
 from featurepipe.llm.common import ASCII_LOWER, ASCII_UPPER
 from featurepipe.llm.decontam import contamination
+from featurepipe.llm.edits import apply_edits, contact_edits, count_tokens
+from featurepipe.llm.langid import held_out, predict_language, train_language_id
 from featurepipe.llm.linededup import dedup_lines
 from featurepipe.llm.neardup import near_duplicates
 from featurepipe.llm.pieces import encode_pieces
 from featurepipe.llm.repetition import RepetitionRules, repetition_report
+from featurepipe.llm.tokenfiles import read_token_files, write_token_files
+from featurepipe.llm.urlfilter import filter_urls
+from featurepipe.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,6 +72,46 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir), width=4)
 
 
+@_query("op2_token_files")
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents written in Huffman-coded files and read back from them."""
+    path = os.path.join(checkpoint_dir(spark), "featurepipe", f"token-files-{uuid.uuid4().hex}")
+    write_token_files(_documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(spark, path, as_bytes=True).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@_query("op3_language")
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents from a network trained on those that are not held out."""
+    docs = _documents(spark, sf_dir)
+    net = train_language_id(docs.where("doc_id IS NOT NULL").where(~held_out()))
+    return predict_language(docs, net).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@_query("op4_chat", r"""
+WITH d AS (
+    SELECT conv_id, turn, role, text,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '\r?\n'), lambda x: NOT regexp_matches(x, '^[ \t]*>')) AS own,
+           len(regexp_split_to_array(coalesce(text, ''), '\r?\n')) AS n FROM conversations)
+SELECT conv_id, turn, role, regexp_replace(array_to_string(own, chr(10)), '^([ \t]*\n)+|(\n[ \t]*)+$', '', 'g') AS text,
+       n - len(own) AS n_quoted, CAST(NULL AS BIGINT) AS parent_turn, turn AS root_turn,
+       row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) - 1 AS place
+FROM d
+""")
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations in reply order, without quotes (the twin covers tables whose quotes link nothing)."""
+    return format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@_query("op5_edit_counts")
+def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents before and after contact data is replaced."""
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    counted = count_tokens(_documents(spark, sf_dir).select("doc_id", "text"), ranks, pattern)
+    edited = apply_edits(contact_edits(counted), ranks, pattern)
+    return edited.select("doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_encoded", F.length("text").cast("long").alias("n_chars"))
+
+
 _SQL_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
@@ -84,6 +132,45 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+             ("block", "com/de/")]
+
+
+def _sql_rule(host: str, path: str) -> str:
+    ordered = sorted(URL_RULES, key=lambda r: -len(r[1]))
+    return "CASE " + " ".join(
+        f"WHEN ({host} = '{r.partition('/')[0]}' OR ends_with({host}, '.{r.partition('/')[0]}')) "
+        f"AND starts_with({path}, '/{r.partition('/')[2]}') THEN '{r}'" for _, r in ordered) + " END"
+
+
+_SQL_VERDICT = "CASE rule " + " ".join(f"WHEN '{r}' THEN '{v}'" for v, r in URL_RULES) + " END"
+
+
+@_query("op7_url_filter", f"""
+WITH RECURSIVE p AS (
+    SELECT page_id, url, regexp_replace(url, '#.*$', '', 's') AS key,
+           {_sql_lower("coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), '')")} AS host,
+           coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path,
+           regexp_extract(html, '<link\\b[^>]*\\brel\\s*=\\s*["'']?\\s*canonical\\b[^>]*>', 0, 'is') AS tag,
+           regexp_extract(html, '<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?\\s*refresh\\b[^>]*>', 0, 'is') AS move FROM pages),
+l AS (SELECT key AS a, unnest([regexp_extract(tag, '\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1, 'is'),
+                               regexp_extract(move, '\\burl\\s*=\\s*''?([^''">\\s]+)', 1, 'is')]) AS b FROM p WHERE key IS NOT NULL),
+e AS (SELECT a, regexp_replace(b, '#.*$', '', 's') AS b FROM l WHERE b LIKE '%://%'),
+s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach(u, v) AS (SELECT a, a FROM s UNION SELECT reach.u, s.b FROM reach JOIN s ON s.a = reach.v),
+n AS (SELECT u, v, {_sql_lower("regexp_extract(v, '^.*?://([^/?#]*)', 1, 's')")} AS host, regexp_extract(v, '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path FROM reach),
+j AS (SELECT u, {_SQL_VERDICT} AS own FROM (SELECT u, {_sql_rule("host", "path")} AS rule FROM n)),
+bad AS (SELECT u FROM j GROUP BY u HAVING bool_or(own = 'block') AND NOT coalesce(bool_or(own = 'allow'), false)),
+r AS (SELECT page_id, host, path, key, {_sql_rule("host", "path")} AS rule FROM p)
+SELECT page_id, host, path, rule, coalesce({_SQL_VERDICT}, CASE WHEN key IN (SELECT u FROM bad) THEN 'block' ELSE 'allow' END) AS verdict
+FROM r
+""")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 @_query("op8_sentencepiece")
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids with the end id, and the text decoded from them, of every whole document."""
