@@ -9,12 +9,16 @@ smallest. Equal sets (equal size and 128-bit digest) form one class, and only cl
    sets and the bound is certain. So a class lists itself only under the k - 20 + 1 rarest
    of its retained values: any two sketches that share 20 meet in one list at least, and values
    of passages that many documents share fill no lists unless they are most of a document.
-2. A list's members are paired with its smallest member first; confirmed links give
-   components. Then only members of *different* components of a list are paired. Groups of
-   thousands of near copies thus cost one pair a member, and no link that could join two
-   components is left out.
-3. Union-sketch estimation drops pairs whose k smallest union values hold fewer than 20/48
-   common ones; exact intersection of the full sets confirms the rest.
+2. A list's pivot is its most central member, the one with the fewest values of its own. All
+   members are paired with their pivots; union-sketch estimation drops pairs whose k smallest
+   union values hold fewer than 20/48 common ones, exact intersection of the full sets confirms
+   the rest, and the links give components.
+3. What two members of a list share besides is a pair inside their pivot's group. Groups in
+   more than one component are cut into pieces of about 512 members, and every two pieces
+   meet in a task that counts common retained values by matrix product, drops pairs with
+   fewer than 20/48, confirms the rest on full sets and returns only the links that join two
+   components. Pieces of the same component never meet, so thousands of near copies
+   around one text cost one pair a member; no pair becomes a row unless it is such a link.
 
 Intermediates (sketches, lists, full sets of listed classes) are tables in the shared folder.
 """
@@ -33,6 +37,7 @@ from featurepipe.llm.common import WordHashes, connected_components, list_array,
 from featurepipe.session import materialize
 
 K = 48            # retained values of a sketch
+PIECE = 512       # members of a group that a task compares with as many others
 SHARED = 20       # of them shared by any linked pair, with probability above 1 - 1e-9
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -103,7 +108,7 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _lists(classes: DataFrame) -> DataFrame:
-    """``(value, id, n)``: each class under the rarest of its retained values that must be met."""
+    """``(value, id, n, alone)``: each class under the rarest of its retained values that must be met."""
     held = classes.select("id", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
     often = held.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     own = Window.partitionBy("id")
@@ -112,7 +117,7 @@ def _lists(classes: DataFrame) -> DataFrame:
             .withColumn("alone", F.col("k") - F.count(F.lit(1)).over(own))      # values no other class holds
             .withColumn("nth", F.row_number().over(own.orderBy("df", "value")))
             .where(F.col("nth") + F.col("alone") <= F.col("k") - need + 1)
-            .select("value", "id", "n"))
+            .select("value", "id", "n", "alone"))
 
 
 def _close_sizes(a: str, b: str, percent: int):
@@ -133,6 +138,80 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))))
 
 
+def _common(rows: list[np.ndarray], cols: list[np.ndarray] | None) -> np.ndarray:
+    """Sizes of the intersections of all ``rows`` with all ``cols`` (or ``rows``), by products of incidence blocks."""
+    sets, first = rows + (cols or []), len(rows) if cols else 0
+    who = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, at, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    held = often[at] > 1
+    at, who = (np.cumsum(often > 1) - 1)[at[held]], who[held]
+    order = np.argsort(at, kind="stable")
+    at, who = at[order], who[order]
+    out = np.zeros((len(rows), len(cols or rows)), np.float32)
+    for low in range(0, int(at[-1]) + 1 if len(at) else 0, 4096):
+        part = slice(*np.searchsorted(at, (low, low + 4096)))
+        block = np.zeros((len(sets), 4096), np.float32)
+        block[who[part], at[part] - low] = 1
+        out += block[: len(rows)] @ block[first:].T
+    return out
+
+
+def _joiner(percent: int):
+    """Links between two pieces of a group that join two components; see the module's text."""
+    def run(table: pa.Table) -> pa.Table:
+        ids, comp, n = (np.asarray(table.column(c)) for c in ("id", "c", "n"))
+        right = np.asarray(table.column("right"))
+        x, y = np.flatnonzero(~right), np.flatnonzero(right)
+        alone = not len(y)                                    # a piece with itself
+        y = x if alone else y
+        sketch = [np.asarray(v.values) for v in table.column("sketch")]
+        need = np.array([-(-len(v) * SHARED // K) for v in sketch])
+        seen = _common([sketch[i] for i in x], None if alone else [sketch[i] for i in y])
+        likely = ((seen >= np.maximum(need[x][:, None], need[y][None, :])) & (comp[x][:, None] != comp[y][None, :])
+                  & (100 * np.minimum(n[x][:, None], n[y][None, :]) >= percent * np.maximum(n[x][:, None], n[y][None, :])))
+        rows, cols = likely.any(1), likely.any(0)             # the same of a piece with itself
+        x, y, likely = x[rows], y[cols], likely[rows][:, cols]
+        links = []
+        if len(x):
+            whole = {i: np.frombuffer(table.column("whole")[int(i)].as_py(), np.int64) for i in {*x.tolist(), *y.tolist()}}
+            both = _common([whole[i] for i in x.tolist()], None if alone else [whole[i] for i in y.tolist()]).astype(np.int64)
+            linked = likely & (100 * both >= percent * (n[x][:, None] + n[y][None, :] - both))
+            root: dict[int, int] = {}
+            for i, j in zip(*np.nonzero(linked), strict=True):
+                a, b = int(comp[x[i]]), int(comp[y[j]])
+                while a in root:
+                    a = root[a]
+                while b in root:
+                    b = root[b]
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    links.append((int(ids[x[i]]), int(ids[y[j]])))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+    return run
+
+
+def _pieces(members: DataFrame) -> DataFrame:
+    """``(p, x, y, id, c, right)``: the members of every two pieces of a group that must meet."""
+    sizes = members.groupBy("p", "c").agg(F.count(F.lit(1)).alias("m"))
+    mixed = (sizes.groupBy("p").agg(F.count(F.lit(1)).alias("parts"), F.sum(F.when(F.col("m") < PIECE, F.col("m")).otherwise(0)).alias("small"))
+             .where("parts > 1").select("p", "small"))
+    big = F.col("m") >= PIECE
+    placed = (members.join(sizes, ["p", "c"]).join(mixed, "p")
+              .withColumn("of", F.when(big, F.col("c")))      # pieces of one large component, or of many small ones
+              .withColumn("piece", F.xxhash64(
+                  "of", F.when(big, F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / PIECE)))
+                  .otherwise(F.pmod(F.xxhash64("c"), F.ceil(F.col("small") / PIECE)))))
+              .select("p", "id", "c", "of", "piece"))
+    placed = materialize(placed, "near-pieces")
+    kinds = placed.groupBy("p", "piece").agg(F.first("of").alias("of"))
+    meet = (kinds.select("p", F.col("piece").alias("x"), F.col("of").alias("ox"))
+            .join(kinds.select("p", F.col("piece").alias("y"), F.col("of").alias("oy")), "p")
+            .where("x <= y AND (ox IS NULL OR oy IS NULL OR ox != oy)").select("p", "x", "y"))
+    left = placed.join(meet.withColumn("piece", F.col("x")), ["p", "piece"]).withColumn("right", F.lit(False))
+    right = placed.join(meet.where("x < y").withColumn("piece", F.col("y")), ["p", "piece"]).withColumn("right", F.lit(True))
+    return left.unionByName(right).select("p", "x", "y", "id", "c", "right")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                     percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs``.
@@ -164,26 +243,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     sets = materialize(whole, "near-sets")
     sets = sets.dropDuplicates(["id"]) if sets.count() > listed.count() else sets
 
-    first = lists.groupBy("value").agg(F.min(F.struct("id", "n")).alias("p"))
-    star = (lists.join(first, "value").where(F.col("id") > F.col("p.id"))
-            .where(_close_sizes("n", "p.n", percent))
-            .select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct())
-    star = materialize(star, "near-star")
-    links = materialize(_confirm(star, sets, percent), "near-links")
+    pivots = lists.groupBy("value").agg(F.min(F.struct("alone", "id", "n")).alias("p"))
+    star = materialize(lists.join(pivots, "value").where(F.col("id") != F.col("p.id"))
+                       .select(F.col("p.id").alias("p"), "id", "n", F.col("p.n").alias("pn")).distinct(), "near-star")
+    pairs = star.where(_close_sizes("n", "pn", percent)).select(F.col("p").alias("a"), F.col("id").alias("b"))
+    links = materialize(_confirm(pairs, sets, percent).select("a", "b"), "near-links")
 
     found = connected_components(links)
-    named = (lists.join(found, F.col("id") == F.col("node"), "left")
-             .select("value", "id", "n", F.coalesce("component", "id").alias("c")))
-    mixed = named.groupBy("value").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-    named = materialize(named.join(mixed.select("value"), "value", "left_semi"), "near-mixed")
-    x, y = named.alias("x"), named.alias("y")
-    rest = (x.join(y, F.col("x.value") == F.col("y.value"))
-            .where((F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c")))
-            .where(_close_sizes("x.n", "y.n", percent))
-            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-            .join(star, ["a", "b"], "left_anti"))
-    more = materialize(_confirm(rest, sets, percent), "near-links")
-    found = connected_components(links.select("a", "b").unionByName(more.select("a", "b")))
+    grouped = star.select("p", "id").unionByName(star.select("p", F.col("p").alias("id")).distinct())
+    named = (grouped.join(found, F.col("id") == F.col("node"), "left")
+             .select("p", "id", F.coalesce("component", "id").alias("c")))
+    more = (_pieces(named).join(sets.select("id", "n", "sketch", "whole"), "id")
+            .groupBy("p", "x", "y").applyInArrow(_joiner(percent), "a long, b long"))
+    found = connected_components(links.unionByName(materialize(more, "near-links")))
 
     named = (speaks.join(reps, key)
              .join(found, F.col("rep") == F.col("node"), "left")

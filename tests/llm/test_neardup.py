@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from featurepipe.llm import neardup
 from featurepipe.llm.common import connected_components
 from featurepipe.llm.neardup import near_duplicates
 
@@ -69,6 +70,21 @@ def test_long_text_and_hot_group(spark):
     assert got(near_duplicates(frame(spark, texts), width=4)) == near_oracle(list(enumerate(texts)), 4)
 
 
+def test_pieces_of_a_group_lose_no_link(spark, monkeypatch):
+    """A group of many pieces: around one text, and pairs that are only alike to one another."""
+    monkeypatch.setattr(neardup, "PIECE", 8)
+    rng = random.Random(9)
+    base = prose(rng, 120, 5000)
+    texts = [" ".join(base)]
+    for k in range(40):
+        far = edited(rng, base, 0.06)
+        texts += [" ".join(far), " ".join(edited(rng, far, 0.01 if k % 2 else 0.05))]
+    rng.shuffle(texts)
+    want = near_oracle(list(enumerate(texts)), 4)
+    assert len({c for _, c in want.values()}) > 10
+    assert got(near_duplicates(frame(spark, texts), width=4)) == want
+
+
 def test_components_of_a_path_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (None, 3), (60, 59)]
     out = {r.node: r.component for r in connected_components(
