@@ -4,6 +4,9 @@ flags (B15). All run inside the JVM; no Python worker is involved.
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,16 +27,56 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+@lru_cache(maxsize=1)
+def _accent_tables() -> tuple[str, str, dict[str, str]]:
+    """From the Unicode data: characters to replace or (without a partner) delete, their
+    replacements, and characters whose stripped decomposition is longer than one character."""
+    one, gone, more = {}, [], {}
+    for cp in [*range(0x80, 0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, 0x30000), *range(0xE0000, 0xE0200)]:
+        c = chr(cp)
+        d = "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn")
+        if not d:
+            gone.append(c)
+        elif len(d) > 1:
+            more[c] = d
+        elif d != c:
+            one[c] = d
+    return "".join([*one, *gone]), "".join(one.values()), more
+
+
+@lru_cache(maxsize=1)
+def _hangul_tables() -> tuple[str, list[tuple[str, str]]]:
+    """All precomposed syllables and, for each of the three jamo places, (matched, jamo)."""
+    syllables = [chr(cp) for cp in range(0xAC00, 0xD7A4)]
+    parts = [unicodedata.normalize("NFD", c) for c in syllables]
+    tables = []
+    for k in range(3):
+        held = [(c, p[k]) for c, p in zip(syllables, parts) if len(p) > k]
+        rest = [c for c, p in zip(syllables, parts) if len(p) <= k]
+        tables.append(("".join([c for c, _ in held] + rest), "".join(j for _, j in held)))
+    return "[\uac00-\ud7a3]", tables
+
+
 def strip_accents(c: str | Column) -> Column:
     """Unicode NFD, then delete every code point of category Mn; stays decomposed; NULL passes.
 
-    NFD comes from ICU (shipped with Spark) through ``reflect``; the Mn deletion is a Java regex.
+    A deterministic expression of ``translate`` over tables made from the Unicode data, so filters
+    pass through it and it may stand in a join condition. ASCII text is returned as it is;
+    Hangul syllables and the few characters that decompose into several take their own branch.
+    (Characters that are combining but not Mn keep their order; NFD would sort adjacent ones.)
     """
     col = _col(c).cast("string")
-    nfd = F.call_function(
-        "reflect", F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"),
-        F.coalesce(col, F.lit("")), F.lit(False))
-    return F.when(col.isNotNull(), F.regexp_replace(nfd, r"\p{Mn}+", ""))
+    matched, stripped, more = _accent_tables()
+    out = F.translate(col, matched, stripped)
+    several = out
+    for char, parts in more.items():
+        several = F.replace(several, F.lit(char), F.lit(parts))
+    pattern, tables = _hangul_tables()
+    plain = F.when(col.rlike("[" + "".join(more) + "]"), several).otherwise(out)
+    jamo = F.array_join(F.transform(F.split(plain, ""), lambda x: F.when(
+        x.rlike(pattern), F.concat(*[F.translate(x, m, r) for m, r in tables])).otherwise(x)), "")
+    return (F.when(F.length(col) == F.octet_length(col), col)
+            .when(col.rlike(pattern), jamo).otherwise(plain))
 
 
 def py_strip(c: str | Column) -> Column:

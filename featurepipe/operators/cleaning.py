@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from featurepipe.functions import null_if_sentinel, null_outside, strip_accents, to_number
 
@@ -79,6 +80,8 @@ def map_label(df: DataFrame, col: str = "label") -> DataFrame:
     dtype = dict(df.dtypes)[col]
     if dtype == "boolean":
         return df.withColumn(col, F.col(col).cast("int"))
+    if isinstance(df.schema[col].dataType, NumericType):      # 1 and 1.0, 0 and 0.0
+        return df.withColumn(col, F.when(F.col(col) == 1, 1).when(F.col(col) == 0, 0).cast("int"))
     return df.withColumn(col, label_value(col))
 
 

@@ -28,9 +28,10 @@ class GateError(RuntimeError):
 
 
 def gate_report(df: DataFrame, split: str, required: Sequence[str], key: str, label: str | None,
-                year: str | None, lo: float, hi: float, split_col: str | None = None) -> DataFrame:
+                year: str | None, lo: float, hi: float, split_col: str | None = None,
+                unlabelled: Sequence[str] = ()) -> DataFrame:
     """One row per gate: (split, gate, ordinal, violations); violations NULL = not applicable
-    (no label column, or a split whose labels are all NULL; no year column).
+    (no label column, or a split named in ``unlabelled``; no year column).
 
     With ``split_col`` the frame holds several splits; each is checked on its own (duplicates
     are counted within a split) and ``split`` is ignored.
@@ -52,17 +53,14 @@ def gate_report(df: DataFrame, split: str, required: Sequence[str], key: str, la
     parts = [split_col] if split_col else []
     per_key = df.groupBy(*parts, key).agg(F.count(F.lit(1)).alias("_n"),
                                           F.count_if(bad_label).alias("_bl"),
-                                          F.count_if(bad_year).alias("_by"),
-                                          F.count_if(F.col(label).isNotNull() if has_label
-                                                     else F.lit(False)).alias("_lp"))
+                                          F.count_if(bad_year).alias("_by"))
     tot = per_key.groupBy(*parts).agg(
         F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("_n"))), F.lit(0)).alias("key_not_null"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("key_unique"),
         F.coalesce(F.sum("_bl"), F.lit(0)).alias("label_values"),
-        F.coalesce(F.sum("_by"), F.lit(0)).alias("year_range"),
-        F.coalesce(F.sum("_lp"), F.lit(0)).alias("_labelled"))
-    # A split whose labels are all NULL is an unlabelled split: the label gate does not apply.
-    label_v = F.when(F.col("_labelled") > 0, F.col("label_values"))
+        F.coalesce(F.sum("_by"), F.lit(0)).alias("year_range"))
+    name = F.col(split_col).cast("string") if split_col else F.lit(split)
+    label_v = F.when(~F.coalesce(name.isin(*unlabelled), F.lit(False)), F.col("label_values"))
     cells = [
         F.struct(F.lit(0).alias("ordinal"), F.lit(GATE_ORDER[0]).alias("gate"),
                  F.lit(len(missing)).cast("long").alias("violations")),
@@ -75,14 +73,22 @@ def gate_report(df: DataFrame, split: str, required: Sequence[str], key: str, la
         F.struct(F.lit(4).alias("ordinal"), F.lit(GATE_ORDER[4]).alias("gate"),
                  (F.col("year_range") if has_year else F.lit(None)).cast("long").alias("violations")),
     ]
-    name = F.col(split_col).cast("string") if split_col else F.lit(split)
     return (tot.select(name.alias("split"), F.explode(F.array(*cells)).alias("_g"))
             .select("split", "_g.gate", "_g.ordinal", "_g.violations"))
 
 
+def first_failure(report: DataFrame) -> DataFrame:
+    """The first failing gate of a report (by gate order, then split), or no row."""
+    return report.where("violations > 0").orderBy("ordinal", "split").limit(1)
+
+
 def enforce(report: DataFrame, df: DataFrame | None = None, label: str | None = None,
-            available: Sequence[str] | None = None) -> None:
-    """Raise ``GateError`` for the first failing gate (report has a handful of rows)."""
+            available: Sequence[str] | None = None, shown: int = 100) -> None:
+    """Raise ``GateError`` for the first failing gate (report has a handful of rows).
+
+    The message of the label gate lists the bad values with their counts, the commonest ``shown``
+    of them, and says how many kinds it leaves out.
+    """
     rows = sorted(report.collect(), key=lambda r: (r["ordinal"], str(r["split"])))
     for r in rows:
         if r["violations"] is None or r["violations"] == 0:
@@ -91,19 +97,23 @@ def enforce(report: DataFrame, df: DataFrame | None = None, label: str | None =
         if r["gate"] == "required_columns" and available is not None:
             msg += f"; available columns: {sorted(available)}"
         if r["gate"] == "label_values" and df is not None and label:
-            bad = (df.where(_bad_label(label))
-                   .select(label).distinct().limit(20).collect())
-            msg += f"; values: {[b[0] for b in bad]}"
+            bad = df.where(_bad_label(label)).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+            top = bad.orderBy(F.col("_n").desc(), F.col(label).cast("string")).limit(shown).collect()
+            msg += f"; values: { {b[0]: b[1] for b in top} }"
+            if len(top) == shown and (more := bad.count() - shown):
+                msg += f" and {more} more"
         raise GateError(msg)
 
 
 def run_all_gates(df: DataFrame, split: str, required: Sequence[str], key: str, label: str | None,
-                  year: str | None, lo: float, hi: float, split_col: str | None = None) -> DataFrame:
+                  year: str | None, lo: float, hi: float, split_col: str | None = None,
+                  unlabelled: Sequence[str] = ()) -> DataFrame:
     """Build the report, raise on the first failure, return the report."""
     missing = sorted(set(required) - set(df.columns))
     if missing:
         raise GateError(f"[{split}] gate required_columns failed: missing {missing}; "
                         f"available columns: {sorted(df.columns)}")
-    report = gate_report(df, split, required, key, label, year, lo, hi, split_col)
-    enforce(report, df, label, df.columns)
+    report = gate_report(df, split, required, key, label, year, lo, hi, split_col, unlabelled)
+    rows = F.lit(True) if not split_col else ~F.coalesce(F.col(split_col).cast("string").isin(*unlabelled), F.lit(False))
+    enforce(report, df.where(rows), label, df.columns)
     return report

@@ -1,24 +1,26 @@
 """User-registered table hooks (J1, J2) and the eight built-in cleaning/feature hooks.
 
-A hook is any ``DataFrame -> DataFrame`` function. ``HookRegistry.apply`` chains them with
-``DataFrame.transform`` in registration order, so the whole chain stays one lazy plan. The audit
-(J2) records the columns each hook added from the schemas (free) and, when asked, the rows it
-dropped (one count per hook boundary, so off by default). ``DataFrame.observe`` would avoid the
-extra jobs, but in this Spark version an observed session makes later RDD-based evaluators fail
-to serialize their tasks, so plain counts are used.
+A hook is any ``DataFrame -> DataFrame`` function. ``HookRegistry.apply`` chains them in
+registration order. The audit (J2) records the columns each hook added from the schemas and,
+when it is asked for, counts the rows of every boundary of the chain in one job; a chain whose
+audit nobody reads costs nothing. The two median hooks share one pass over their input, which
+runs (and is checkpointed) while the chain is composed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from featurepipe.config import DEFAULT, PipelineConfig
 from featurepipe.operators.cleaning import drop_if_present
 from featurepipe.operators.features import add_word_count, flag_differs, flag_matches, flag_threshold
-from featurepipe.operators.stats import impute_median
+from featurepipe.operators.stats import group_medians, impute_median
+from featurepipe.session import stable
 
 Hook = Callable[[DataFrame], DataFrame]
 
@@ -28,7 +30,8 @@ class _Audit:
     hook: str
     split: str
     cols_added: list[str]
-    rows_dropped: int | None
+    before: DataFrame
+    after: DataFrame
 
 
 @dataclass
@@ -36,7 +39,6 @@ class HookRegistry:
     """Ordered hook list with an audit trail."""
 
     hooks: list[tuple[str, Hook]] = field(default_factory=list)
-    count_rows: bool = False
     _audit: list[_Audit] = field(default_factory=list)
 
     def register(self, fn: Hook, name: str | None = None) -> Hook:
@@ -45,46 +47,55 @@ class HookRegistry:
 
     def apply(self, df: DataFrame, split: str = "all") -> DataFrame:
         """Run every hook in registration order."""
-        rows = df.count() if self.count_rows else None
         for name, fn in self.hooks:
-            before_cols = set(df.columns)
-            df = fn(df)
-            dropped = None
-            if self.count_rows:
-                after = df.count()
-                dropped, rows = rows - after, after
-            added = sorted(set(df.columns) - before_cols)
-            self._audit.append(_Audit(name, split, added, dropped))
+            before, df = df, fn(df)
+            self._audit.append(_Audit(name, split, sorted(set(df.columns) - set(before.columns)), before, df))
         return df
 
     def audit(self, spark) -> DataFrame:
-        """(hook, split, rows_dropped, cols_added); rows_dropped is NULL when counting is off."""
-        rows = [(a.hook, a.split, a.rows_dropped, a.cols_added) for a in self._audit]
-        return spark.createDataFrame(
-            rows, "hook string, split string, rows_dropped long, cols_added array<string>")
+        """(hook, split, rows_dropped, cols_added), rows counted in one job."""
+        schema = "hook string, split string, rows_dropped long, cols_added array<string>"
+        if not self._audit:
+            return spark.createDataFrame([], schema)
+        frames: list[DataFrame] = []
+        places: list[tuple[int, int]] = []
+        for a in self._audit:                             # neighbours share their boundary
+            if not frames or frames[-1] is not a.before:
+                frames.append(a.before)
+            frames.append(a.after)
+            places.append((len(frames) - 2, len(frames) - 1))
+        counts = reduce(DataFrame.unionAll, [f.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
+                                             for i, f in enumerate(frames)])
+        n = {r["i"]: r["n"] for r in counts.collect()}
+        return spark.createDataFrame([(a.hook, a.split, n[x] - n[y], a.cols_added)
+                                      for a, (x, y) in zip(self._audit, places)], schema)
 
 
 def _by(df: DataFrame, cfg: PipelineConfig) -> list[str]:
     return [cfg.split] if cfg.split in df.columns else []
 
 
-def default_hooks(cfg: PipelineConfig = DEFAULT, count_rows: bool = False) -> HookRegistry:
+def default_hooks(cfg: PipelineConfig = DEFAULT) -> HookRegistry:
     """The eight built-in hooks, in the order that matters: the long-film flag is taken before
     runtime imputation, and votes are imputed before the blockbuster flag. Medians are per split
     when the frame carries a split column."""
-    reg = HookRegistry(count_rows=count_rows)
+    reg = HookRegistry()
+    fitted: list[DataFrame] = []
 
     def drop_end_year(df: DataFrame) -> DataFrame:
         return drop_if_present(df, [cfg.end_year])
 
     def impute_votes_median(df: DataFrame) -> DataFrame:
-        return impute_median(df, cfg.votes, by=_by(df, cfg))
+        # neither column changes before both are imputed: one pass gives both medians
+        fitted[:] = [stable(group_medians(df, [cfg.votes, cfg.runtime], by=_by(df, cfg)))]
+        return impute_median(df, cfg.votes, by=_by(df, cfg), medians=fitted[0])
 
     def flag_long_film(df: DataFrame) -> DataFrame:
         return flag_threshold(df, cfg.runtime, "is_long_film", ">", cfg.long_min)
 
     def impute_runtime_median(df: DataFrame) -> DataFrame:
-        return impute_median(df, cfg.runtime, by=_by(df, cfg))
+        medians = fitted.pop() if fitted else None
+        return impute_median(df, cfg.runtime, by=_by(df, cfg), medians=medians)
 
     def flag_old_film(df: DataFrame) -> DataFrame:
         return flag_threshold(df, cfg.start_year, "is_old_film", "<", cfg.old_year)

@@ -9,7 +9,7 @@ driver; every pass over rows runs as a Spark job.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -18,7 +18,12 @@ from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.param.shared import HasInputCols, Param, Params, TypeConverters
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector
+from pyspark.ml.param.shared import (
+    HasFeaturesCol, HasInputCols, HasLabelCol, HasPredictionCol, Param, Params, TypeConverters,
+)
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -125,8 +130,12 @@ def stratified_folds(df: DataFrame, label: str, order: Sequence[str], k: int = 5
     Classes are taken in order of first appearance; class c (n_c rows, starting at offset o_c in
     the class-sorted label vector) gives fold i floor(n_c/k) + [(i - o_c) mod k < n_c mod k] of
     its rows, in row order, as contiguous blocks. The per-class rank uses ``dense_index`` (no
-    window over a whole class), the per-class table has one row per class.
+    window over a whole class), the per-class table has one row per class. A NULL label fails the
+    job, as rows cannot be stratified without one.
     """
+    kind = df.schema[label].dataType
+    df = df.withColumn(label, F.coalesce(F.col(label), F.raise_error(
+        F.lit(f"stratified_folds: NULL in {label}")).cast(kind)))
     first = df.groupBy(label).agg(F.min(F.struct(*order)).alias("_first"),
                                   F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
@@ -147,6 +156,7 @@ def stratified_folds(df: DataFrame, label: str, order: Sequence[str], k: int = 5
 
 
 # ---------------------------------------------------------------- I3: candidates --------------
+# Candidate sizes of the reference (defaults below) and candidate names.
 @dataclass(frozen=True)
 class ModelSettings:
     """Candidate sizes. Defaults are the reference's; ``quick()`` for tests and registered queries."""
@@ -188,6 +198,82 @@ def candidates(n_train: int, s: ModelSettings = ModelSettings(), label: str = "l
     }
 
 
+class NearestClassMean(Estimator, HasFeaturesCol, HasLabelCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Closed-form classifier: the class whose mean vector is nearest (the smaller label of equals).
+
+    One grouped pass gives the means; ``coefficients`` is the difference of the second and the
+    first class's means, the normal of the border between two classes.
+    """
+
+    @keyword_only
+    def __init__(self, *, featuresCol: str = "features", labelCol: str = "label"):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> "NearestClassMeanModel":
+        label = self.getLabelCol()
+        rows = dataset.groupBy(F.col(label).cast("double").alias("_l")).agg(Summarizer.mean(F.col(self.getFeaturesCol())).alias("_m")).collect()
+        rows = sorted((r["_l"], [float(v) for v in r["_m"]]) for r in rows if r["_l"] is not None)
+        return NearestClassMeanModel(featuresCol=self.getFeaturesCol(), labels=[r[0] for r in rows], means=[r[1] for r in rows])
+
+
+class NearestClassMeanModel(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
+    labels = Param(Params._dummy(), "labels", "class labels", TypeConverters.toListFloat)
+    means = Param(Params._dummy(), "means", "mean vector of each class", TypeConverters.toListListFloat)
+
+    @keyword_only
+    def __init__(self, *, featuresCol: str = "features", labels: list[float] | None = None, means: list[list[float]] | None = None):
+        super().__init__()
+        self._setDefault(predictionCol="prediction")
+        self._set(**self._input_kwargs)
+
+    @property
+    def coefficients(self) -> DenseVector:
+        means = self.getOrDefault(self.means)
+        if len(means) < 2:
+            return DenseVector([0.0] * len(means[0] if means else []))
+        return DenseVector([b - a for a, b in zip(means[0], means[1])])
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        x = vector_to_array(F.col(self.getFeaturesCol()))
+        away = [F.aggregate(F.zip_with(x, F.array(*map(F.lit, m)), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, v: t + v)
+                for m in self.getOrDefault(self.means)]
+        best = F.array_min(F.array(*[F.struct(d.alias("d"), F.lit(label).alias("l")) for d, label in zip(away, self.getOrDefault(self.labels))]))
+        return dataset.withColumn(self.getPredictionCol(), best["l"])
+
+
+class MajorityClass(Estimator, HasLabelCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Baseline: the commonest label (the smaller of equals) for every row; no coefficients."""
+
+    @keyword_only
+    def __init__(self, *, labelCol: str = "label"):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> "MajorityClassModel":
+        label = F.col(self.getLabelCol()).cast("double")
+        row = dataset.groupBy(label.alias("_l")).count().orderBy(F.col("count").desc(), "_l").first()
+        return MajorityClassModel(value=row["_l"])
+
+
+class MajorityClassModel(Model, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
+    value = Param(Params._dummy(), "value", "the label given", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, *, value: float | None = None):
+        super().__init__()
+        self._setDefault(predictionCol="prediction")
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumn(self.getPredictionCol(), F.lit(self.getOrDefault(self.value)))
+
+
+def closed_form_candidates(label: str = "label") -> dict:
+    """Candidates whose fits are sums over the rows, so that any engine can check them."""
+    return {"Majority class": MajorityClass(labelCol=label), "Nearest class mean": NearestClassMean(labelCol=label)}
+
+
 def pipeline_for(model, features: Sequence[str]) -> Pipeline:
     return Pipeline(stages=[*preprocess_stages(features), model])
 
@@ -199,7 +285,7 @@ def accuracy(pred: DataFrame, label: str = "label", prediction: str = "predictio
     return float(row["a"]) if row["a"] is not None else float("nan")
 
 
-def cross_validate(train: DataFrame, cands: Mapping[str, object], features: Sequence[str],
+def cross_validate(train: DataFrame, cands: Callable[[int], Mapping[str, object]] | Mapping[str, object], features: Sequence[str],
                    label: str = "label", fold_col: str = "fold", s: ModelSettings = ModelSettings(),
                    ) -> DataFrame:
     """I5 + I6: per candidate train accuracy, mean and population std of fold accuracy.
@@ -208,18 +294,22 @@ def cross_validate(train: DataFrame, cands: Mapping[str, object], features: Sequ
     the imputer and scaler are refitted on every fold's training rows. Because the folds are
     shared by all candidates, each fold's preprocessing is fitted once and its assembled vectors
     cached, then every candidate trains on them (``parallelism`` candidates at a time).
+    ``cands`` may be a function of the number of rows a fit sees (``candidates``): the L2 strength
+    depends on it, and a fold trains on fewer rows than the whole.
     """
     spark = train.sparkSession
     evaluator = MulticlassClassificationEvaluator(metricName="accuracy", labelCol=label)
-    names = list(cands)
+    make = cands if callable(cands) else lambda _n: cands
+    names = list(make(1))
 
     def score_all(fit_rows: DataFrame, eval_rows: DataFrame) -> list[float]:
         pre = Pipeline(stages=preprocess_stages(features)).fit(fit_rows)
         fx = pre.transform(fit_rows).select(label, "features").cache()
         ex = fx if eval_rows is fit_rows else pre.transform(eval_rows).select(label, "features").cache()
+        models = make(fx.count())
 
         def one(name: str) -> float:
-            return float(evaluator.evaluate(cands[name].fit(fx).transform(ex)))
+            return float(evaluator.evaluate(models[name].fit(fx).transform(ex)))
 
         with ThreadPoolExecutor(max_workers=max(1, s.parallelism)) as pool:
             out = list(pool.map(one, names))
@@ -251,8 +341,10 @@ def importances(fitted: PipelineModel, features: Sequence[str]) -> DataFrame:
     model = fitted.stages[-1]
     if hasattr(model, "featureImportances"):
         vals = model.featureImportances.toArray().tolist()
-    else:
+    elif hasattr(model, "coefficients"):
         vals = [abs(v) for v in model.coefficients.toArray().tolist()]
+    else:
+        vals = [0.0] * len(features)
     spark = SparkSession.getActiveSession()
     rows = sorted(zip(features, vals), key=lambda fv: -fv[1])
     return spark.createDataFrame([(f, float(v), i + 1) for i, (f, v) in enumerate(rows)],

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurepipe.functions import strip_accents
-from featurepipe.session import materialize
+from featurepipe.session import broadcast_if_small, materialize
 
 
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
@@ -76,9 +76,9 @@ def dense_index(df: DataFrame, order: Sequence[str | Column], partition_by: Sequ
     spans = spans.select(F.col("_fp_pid").alias("_fp_spid"),
                          *[F.col(g).alias(f"_fp_g{i}") for i, g in enumerate(groups)],
                          "_fp_off", "_fp_first")
-    if not groups:
-        # One row per range partition: a size bounded by the partition count, safe to broadcast.
-        spans = F.broadcast(spans)
+    # One row per (range partition, group) that meets: about partitions + groups rows. Counted, then
+    # broadcast: a shuffle on these keys would send each range to one task again.
+    spans = broadcast_if_small(spans, 500_000)
     cond = [F.col("_fp_pid") == F.col("_fp_spid")]
     cond += [F.col(g).eqNullSafe(F.col(f"_fp_g{i}")) for i, g in enumerate(groups)]
     out = tagged.join(spans, cond, "inner")
@@ -93,8 +93,9 @@ def with_row_id(df: DataFrame, order: Sequence[str | Column], name: str = "_row_
 
 
 def top_k(df: DataFrame, col: str, k: int = 10, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """the k largest values of ``col`` (code-point order for text), ties by ``tiebreak``."""
-    return df.orderBy(F.col(col).desc(), *[F.col(t).desc() for t in tiebreak]).limit(k)
+    """the k largest values of ``col`` (code-point order for text, ties by ``tiebreak``), ascending."""
+    order = [col, *tiebreak]
+    return df.orderBy(*[F.col(c).desc() for c in order]).limit(k).orderBy(*[F.col(c).asc() for c in order])
 
 
 def head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
@@ -104,7 +105,7 @@ def head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 
 def before_after(df: DataFrame, col: str, k: int = 10, fn: Callable[[Column], Column] = strip_accents,
                  tiebreak: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
-    """F8: (dirty, clean) pairs for the k largest values changed by ``fn`` (C2 + F4)."""
-    changed = df.where(~F.col(col).eqNullSafe(fn(F.col(col))))
-    top = top_k(changed, col, k, tiebreak)
-    return top.select(*keep, F.col(col).alias("dirty"), fn(F.col(col)).alias("clean"))
+    """F8: (dirty, clean) pairs for the k largest values changed by ``fn`` (C2 + F4), ascending."""
+    dirty = df.select(*keep, *[t for t in tiebreak if t not in keep], F.col(col).alias("dirty"), fn(F.col(col)).alias("clean"))
+    changed = dirty.where(~F.col("dirty").eqNullSafe(F.col("clean")))
+    return top_k(changed, "dirty", k, tiebreak).select(*keep, "dirty", "clean")

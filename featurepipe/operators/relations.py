@@ -13,6 +13,8 @@ from featurepipe.functions import null_if_sentinel
 
 _DOC_TYPE_COLUMNS = "map<string,map<string,string>>"
 _DOC_TYPE_RECORDS = "array<map<string,string>>"
+_DOC_TYPE_LINE = "map<string,string>"
+SHAPES = ("columns", "records", "lines")
 
 
 def _pick_alias(keys: Column, aliases: Sequence[str]) -> Column:
@@ -21,6 +23,11 @@ def _pick_alias(keys: Column, aliases: Sequence[str]) -> Column:
     return F.try_element_at(hits, F.lit(-1))
 
 
+def _parsed(text: Column, schema: str) -> Column:
+    """``from_json`` that fails the job on malformed text instead of giving NULL."""
+    return F.from_json(text, schema, {"mode": "FAILFAST"})
+
+
 def clean_relation(df: DataFrame, key: str = "key", member: str = "member",
                    sentinels: Sequence[str] = (), distinct: bool = True) -> DataFrame:
     """B2 + C1 + F6: exact-match sentinels -> NULL, drop NULL keys/members, distinct pairs."""
@@ -30,53 +37,93 @@ def clean_relation(df: DataFrame, key: str = "key", member: str = "member",
     return out.dropDuplicates() if distinct else out
 
 
+def document_shape(text: Column) -> Column:
+    """``records``, ``columns`` or ``lines`` by how a JSON text begins and goes on; blank text gives
+    NULL, anything else the empty string. One object per line with no comma between is lines, and
+    so is a single object whose first value is not an object."""
+    lead = F.regexp_extract(text, r"^\s*(\S)", 1)
+    lines = text.rlike(r"\}[ \t]*[\r\n]+\s*\{") | ~text.rlike(r'^\s*\{\s*(?:"(?:[^"\\]|\\.)*"\s*:\s*\{|\}\s*$)')
+    return (F.when(lead == "", F.lit(None)).when(lead == "[", "records")
+            .when((lead == "{") & lines, "lines").when(lead == "{", "columns").otherwise(""))
+
+
+def relation_from_docs(docs: DataFrame, text_col: str, key_aliases: Sequence[str], member_aliases: Sequence[str],
+                       key: str = "key", member: str = "member", sentinels: Sequence[str] = (),
+                       shape: str = "auto", name_col: str | None = None) -> DataFrame:
+    """JSON documents of any shape to clean, distinct (key, member) pairs, in one pass.
+
+    * columns ``{"movie": {idx: k}, "director": {idx: m}}``: the two maps are aligned on ``idx`` with
+      ``map_zip_with`` (an index on one side only gives a NULL, which C1 drops: the net effect of the
+      reference's outer join and dropna);
+    * records ``[{"movie": k, "director": m}, ...]``; lines: one such record per line.
+
+    The reading job fails for malformed JSON, another top-level type, another shape than the one
+    asked for, and for a document in which no record has a key and a member header (a line of
+    ``shape="lines"``: has either), naming the headers that it has. Blank documents hold no rows.
+    """
+    text, found = F.col(text_col), F.col("_fp_shape")
+    name = F.col(name_col) if name_col else F.lit("document")
+    pair = "struct<key:string,member:string>"
+
+    def of_records(recs: Column) -> Column:
+        def heads(r):
+            return F.map_keys(r)
+        pairs = F.transform(recs, lambda r: F.struct(
+            F.try_element_at(r, _pick_alias(heads(r), key_aliases)).alias("key"),
+            F.try_element_at(r, _pick_alias(heads(r), member_aliases)).alias("member")))
+        def has(r):
+            k, m = _pick_alias(heads(r), key_aliases).isNotNull(), _pick_alias(heads(r), member_aliases).isNotNull()
+            return k | m if shape == "lines" else k & m     # a line alone may lack one of the two
+        known = F.exists(recs, has)
+        seen = F.array_join(F.array_distinct(F.flatten(F.transform(recs, heads))), ", ")
+        return F.when((F.size(recs) > 0) & ~known, F.raise_error(F.concat(
+            name, F.lit(": relation records unrecognised. Keys found: "), seen)).cast(f"array<{pair}>")).otherwise(pairs)
+
+    def of_columns(m: Column) -> Column:
+        heads = F.map_keys(m)
+        kh, mh = _pick_alias(heads, key_aliases), _pick_alias(heads, member_aliases)
+        zipped = F.map_values(F.map_zip_with(F.try_element_at(m, kh), F.try_element_at(m, mh), lambda _i, a, b: F.struct(
+            a.alias("key"), b.alias("member"))))
+        return F.when(kh.isNull() | mh.isNull(), F.raise_error(F.concat(
+            name, F.lit(": dict shape unrecognised. Keys found: "), F.array_join(heads, ", "))).cast(f"array<{pair}>")).otherwise(zipped)
+
+    lines = F.transform(F.filter(F.split(text, r"\r?\n"), lambda x: F.trim(x) != ""), lambda x: _parsed(x, _DOC_TYPE_LINE))
+    allowed = SHAPES if shape == "auto" else (shape,)
+    wrong = F.raise_error(F.concat(name, F.when(found == "", F.lit(": unexpected top-level JSON type, expected shape ")).otherwise(
+        F.concat(F.lit(": found shape "), found, F.lit(", expected "))), F.lit(" or ".join(allowed)))).cast(f"array<{pair}>")
+    pairs = (F.when(found.isNull(), F.lit(None)).when(~found.isin(*allowed), wrong)
+             .when(found == "columns", of_columns(_parsed(text, _DOC_TYPE_COLUMNS)))
+             .when(found == "records", of_records(_parsed(text, _DOC_TYPE_RECORDS)))
+             .otherwise(of_records(lines)))
+    rows = (docs.withColumn("_fp_shape", document_shape(text)).select(F.explode(pairs).alias("_fp_p"))
+            .select(F.col("_fp_p.key").alias(key), F.col("_fp_p.member").alias(member)))
+    return clean_relation(rows, key, member, sentinels)
+
+
 def relation_from_column_docs(docs: DataFrame, text_col: str, key_aliases: Sequence[str],
                               member_aliases: Sequence[str], key: str = "key", member: str = "member",
                               sentinels: Sequence[str] = ()) -> DataFrame:
-    """A4 + D2 + B17: dict-of-columns JSON documents ``{"movie": {idx: k}, "director": {idx: m}}``.
-
-    Each document's two column maps are aligned on ``idx`` with ``map_zip_with`` (an index on
-    one side only gives a NULL, which C1 drops: the net effect of the reference's outer join and
-    dropna) -- one pass, no join. A document without a key or member header fails the job with
-    the headers it has (A5), raised inside the same pass.
-    """
-    m = F.from_json(F.col(text_col), _DOC_TYPE_COLUMNS)
-    parsed = docs.select(m.alias("_fp_m"))
-    heads = F.map_keys("_fp_m")
-    kh, mh = _pick_alias(heads, key_aliases), _pick_alias(heads, member_aliases)
-    checked = F.when(F.col("_fp_m").isNotNull() & (kh.isNull() | mh.isNull()), F.raise_error(
-        F.concat(F.lit("dict shape unrecognised. Keys found: "), F.array_join(heads, ", "))))
-    km = F.try_element_at("_fp_m", kh)
-    mm = F.try_element_at("_fp_m", mh)
-    zipped = F.map_zip_with(km, mm, lambda _i, a, b: F.struct(a.alias(key), b.alias(member)))
-    pairs = (parsed.select(F.coalesce(checked.cast("map<string,struct<key:string,member:string>>"),
-                                      zipped).alias("_fp_z"))
-             .select(F.explode(F.map_values("_fp_z")).alias("_fp_p"))
-             .select(F.col("_fp_p")[key].alias(key), F.col("_fp_p")[member].alias(member)))
-    return clean_relation(pairs, key, member, sentinels)
+    """A4 + D2 + B17: dict-of-columns JSON documents only (see ``relation_from_docs``)."""
+    return relation_from_docs(docs, text_col, key_aliases, member_aliases, key, member, sentinels, "columns")
 
 
 def relation_from_record_docs(docs: DataFrame, text_col: str, key_aliases: Sequence[str],
                               member_aliases: Sequence[str], key: str = "key", member: str = "member",
                               sentinels: Sequence[str] = ()) -> DataFrame:
-    """A3 + B17: list-of-records JSON documents ``[{"movie": k, "director": m}, ...]``."""
-    recs = docs.select(F.explode(F.from_json(F.col(text_col), _DOC_TYPE_RECORDS)).alias("_fp_r"))
-    heads = F.map_keys("_fp_r")
-    recs = recs.select(
-        F.try_element_at("_fp_r", _pick_alias(heads, key_aliases)).alias(key),
-        F.try_element_at("_fp_r", _pick_alias(heads, member_aliases)).alias(member))
-    return clean_relation(recs, key, member, sentinels)
+    """A3 + B17: list-of-records JSON documents only (see ``relation_from_docs``)."""
+    return relation_from_docs(docs, text_col, key_aliases, member_aliases, key, member, sentinels, "records")
 
 
 def count_members(rel: DataFrame, key: str = "key", member: str = "member",
-                  dst: str = "n_members") -> DataFrame:
+                  dst: str = "n_members", distinct: bool = False) -> DataFrame:
     """COUNT(DISTINCT member) per key.
 
     Written as distinct (key, member) followed by a grouped count: the first shuffle is on the
     pair, so a key with many members is spread over all tasks; the second is partially
-    aggregated to one row per key per task. NULL members are not counted.
+    aggregated to one row per key per task. NULL members are not counted. ``distinct`` says that
+    the pairs are distinct already (the output of ``clean_relation``) and saves the first one.
     """
-    pairs = rel.select(key, member).dropDuplicates()
+    pairs = rel.select(key, member) if distinct else rel.select(key, member).dropDuplicates()
     return pairs.groupBy(key).agg(F.count(member).cast("long").alias(dst))
 
 

@@ -13,14 +13,15 @@ distinct value of a group in one aggregation buffer; here each group is narrowed
    new bounds. A bound is only accepted when the exact counts prove the targets are still
    inside, so approximation never changes the answer. Each round keeps ~3/grid of the
    candidates (10**12 values -> under 10**5 in three rounds);
-3. the candidates left (at most ``cap`` per group, or a bracket of tied values once narrowing
-   stops shrinking) are reduced to a (value, count) histogram and the two middle ranks read off
+3. the candidates left (at most ``cap`` per group, or a bracket of few distinct values once
+   narrowing stops shrinking) are reduced to a (value, count) histogram and the two middle ranks read off
    running counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from featurepipe.session import broadcast_if_small, stable
 _GRID = 1000          # quantile grid per narrowing round
 _ACCURACY = 20_000    # sketch accuracy; rank error <= n / accuracy, below one grid step
 _CAP = 500_000        # values per group an exact in-task median may hold
+_FEW = 1000           # distinct values that a final histogram of a group may always hold
 _BROADCAST_GROUPS = 100_000   # per-group tables up to this many rows are broadcast
 
 
@@ -37,17 +39,25 @@ def _valid(x: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x)
 
 
+def _join_groups(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner",
+                 broadcast: bool = False) -> DataFrame:
+    """Join on the group columns with NULL as a group of its own, like ``groupBy``."""
+    names = {c: f"_fp_k{i}" for i, c in enumerate(by)}
+    right = right.select(*[F.col(c).alias(names.get(c, c)) for c in right.columns])
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    return left.join(F.broadcast(right) if broadcast else right, cond, how).drop(*names.values())
+
+
 def exact_median(df: DataFrame, col: str, by: Sequence[str] = (), cap: int = _CAP,
-                 grid: int = _GRID, accuracy: int = _ACCURACY, max_rounds: int = 8) -> DataFrame:
+                 grid: int = _GRID, accuracy: int = _ACCURACY) -> DataFrame:
     """Exact median of ``col`` per ``by`` group (NULL and NaN ignored): one row per group that has
     at least one value, columns ``(*by, median)``. Mean of the two middle values for even n.
     """
-    return _median_table(df, col, by, cap, grid, accuracy, max_rounds)[0]
+    return _median_table(df, col, by, cap, grid, accuracy)[0]
 
 
 def _median_table(df: DataFrame, col: str, by: Sequence[str] = (), cap: int = _CAP,
-                  grid: int = _GRID, accuracy: int = _ACCURACY, max_rounds: int = 8,
-                  ) -> tuple[DataFrame, int]:
+                  grid: int = _GRID, accuracy: int = _ACCURACY) -> tuple[DataFrame, int]:
     """``exact_median`` plus the number of groups (known from its first, one-row job)."""
     out_by = list(by)
     by = out_by or ["_fp_g"]          # one constant group when no grouping is asked for
@@ -76,22 +86,19 @@ def _median_table(df: DataFrame, col: str, by: Sequence[str] = (), cap: int = _C
 
     def candidates(b: DataFrame) -> DataFrame:
         # ``b`` has one row per group; a group may be a third of the rows, so no shuffle on it.
-        j = x.join(F.broadcast(b) if n_groups <= _BROADCAST_GROUPS else b, by, "inner")
+        j = _join_groups(x, b, by, broadcast=n_groups <= _BROADCAST_GROUPS)
         inside = ((F.col("_lo").isNull() | (F.col("_x") >= F.col("_lo")))
                   & (F.col("_hi").isNull() | (F.col("_x") <= F.col("_hi"))))
         return j.where(inside)
 
-    pct = [i / grid for i in range(grid + 1)]
-    for _ in range(max_rounds):
-        big = bounds.where((F.col("_m") > cap) & ~F.col("_done"))
-        if big.isEmpty():
-            break
+    while not (big := bounds.where((F.col("_m") > cap) & ~F.col("_done"))).isEmpty():
+        pct = [i / grid for i in range(grid + 1)]
         qs = candidates(big).groupBy(*by).agg(F.percentile_approx("_x", pct, accuracy).alias("_qs"))
         rel_lo = (F.col("_klo") - F.col("_below")) / F.col("_m")
         rel_hi = (F.col("_khi") - F.col("_below")) / F.col("_m")
         i_lo = F.greatest(F.floor(rel_lo * grid) - 1, F.lit(0)).cast("int")
         i_hi = F.least(F.ceil(rel_hi * grid) + 1, F.lit(grid)).cast("int")
-        prop = stable(big.join(qs, by, "inner").select(
+        prop = stable(_join_groups(big, qs, by).select(
             *big.columns, F.element_at("_qs", i_lo + 1).alias("_plo"),
             F.element_at("_qs", i_hi + 1).alias("_phi")))
         counts = candidates(prop).groupBy(*by).agg(
@@ -103,23 +110,32 @@ def _median_table(df: DataFrame, col: str, by: Sequence[str] = (), cap: int = _C
         le = F.when(hi_ok, F.col("_cle")).otherwise(F.col("_m"))
         lt = F.when(lo_ok, F.col("_clt")).otherwise(F.lit(0))
         new_m = le - lt
-        nb = prop.join(counts, by, "inner").select(
+        nb = _join_groups(prop, counts, by).select(
             *by, "_n", "_klo", "_khi",
             F.when(lo_ok, F.col("_plo")).otherwise(F.col("_lo")).alias("_lo"),
             F.when(hi_ok, F.col("_phi")).otherwise(F.col("_hi")).alias("_hi"),
             (F.col("_below") + lt).alias("_below"),
-            new_m.alias("_m"),
-            # No shrink: the bracket holds ties of few distinct values; stop narrowing it.
-            (new_m >= F.col("_m")).alias("_done"))
+            new_m.alias("_m"), (new_m >= F.col("_m")).alias("_stuck"))
+        nb = stable(nb)
         rest = bounds.where((F.col("_m") <= cap) | F.col("_done"))
+        # A bracket that did not shrink is done if it holds few distinct values (ties); where it
+        # holds more, only the sketch was too coarse: the next round has a finer one.
+        stuck = nb.where("_stuck")
+        if stuck.isEmpty():
+            nb = nb.drop("_stuck").withColumn("_done", F.lit(False))
+        else:
+            kinds = (candidates(stuck).groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
+                     .groupBy(*by).agg((F.count(F.lit(1)) <= max(cap, _FEW)).alias("_few")))
+            nb = _join_groups(nb, kinds, by, "left").withColumn("_done", F.coalesce("_few", F.lit(False))).drop("_stuck", "_few")
+            grid, accuracy = grid * 2, accuracy * 10
         bounds = stable(rest.unionByName(nb).repartition(*by))
 
-    # Final step on a (value, count) histogram of the candidates: ties collapse, so a group
-    # keeps at most ``cap`` distinct values (or few distinct values when narrowing stopped).
+    # Final step on a (value, count) histogram of the candidates: at most max(cap, _FEW) distinct
+    # values in each group.
     hist = candidates(bounds).groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
     upto = Window.partitionBy(*by).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     hist = hist.withColumn("_cum", F.sum("_c").over(upto))
-    j = hist.join(bounds.select(*by, "_klo", "_khi", "_below"), by, "inner")
+    j = _join_groups(hist, bounds.select(*by, "_klo", "_khi", "_below"), by)
     r_lo = F.col("_klo") - F.col("_below")
     r_hi = F.col("_khi") - F.col("_below")
     start = F.col("_cum") - F.col("_c")
@@ -128,12 +144,22 @@ def _median_table(df: DataFrame, col: str, by: Sequence[str] = (), cap: int = _C
     return j.groupBy(*by).agg(((a + b) / 2).alias("median")).select(*out_by, "median"), n_groups
 
 
+def group_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Exact medians of several columns in one pass: ``(*by, feature, median)`` rows."""
+    cells = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("_fp_v")) for c in cols if c in df.columns]
+    if not cells:
+        return df.select(*by, F.lit("").alias("feature"), F.lit(0.0).alias("median")).limit(0)
+    long = df.select(*by, F.explode(F.array(*cells)).alias("_fp_c")).select(*by, "_fp_c.*")
+    return exact_median(long, "_fp_v", [*by, "feature"])
+
+
 def impute_median(df: DataFrame, col: str, by: Sequence[str] = (), medians: DataFrame | None = None,
                   ) -> DataFrame:
     """NULL/NaN in ``col`` become the exact median of its ``by`` group (or of the frame).
 
-    The column becomes double. A group with no value keeps its NULLs. ``medians`` may be given
-    (e.g. fitted on a training split) as ``(*by, median)``.
+    The column becomes double. A group with no value keeps its NULLs; NULL is a group too.
+    ``medians`` may be given (e.g. fitted on a training split, or by ``group_medians``) as
+    ``(*by, [feature,] median)``.
     """
     if col not in df.columns:
         return df
@@ -143,6 +169,8 @@ def impute_median(df: DataFrame, col: str, by: Sequence[str] = (), medians: Data
     else:
         med, n_groups = _median_table(df, col, by)
     x = F.col(col).cast("double")
+    if "feature" in med.columns and "feature" not in by:
+        med = med.where(F.col("feature") == col).drop("feature")
     if not by:
         row = med.first()
         value = None if row is None else row["median"]
@@ -151,7 +179,7 @@ def impute_median(df: DataFrame, col: str, by: Sequence[str] = (), medians: Data
     med = med.select(*by, F.col("median").alias("_fp_med"))
     med = (F.broadcast(med) if n_groups <= _BROADCAST_GROUPS else med) if n_groups is not None \
         else broadcast_if_small(med, _BROADCAST_GROUPS)
-    out = df.join(med, by, "left")
+    out = _join_groups(df, med, by, "left")
     out = out.withColumn(col, F.when(_valid(x), x).otherwise(F.col("_fp_med")))
     return out.select(*df.columns)
 
@@ -166,7 +194,8 @@ def profile(df: DataFrame, name: str, approx: bool = False, by: str | None = Non
     """E5: per column n_rows, n_missing, pct_missing (2 dp, half-even), n_unique (NULL excluded),
     dtype. One unpivot to (column, value-as-text) and a two-level distinct count, so no single
     task holds all values of a column; ``approx=True`` uses HyperLogLog++ instead.
-    Columns keep their input order (``ordinal``). With ``by`` (e.g. the split column) every group
+    Wide text crosses the network once a distinct value and task: use ``approx`` there. An empty
+    frame gives zeros, one row per column. Columns keep their input order (``ordinal``). With ``by`` (e.g. the split column) every group
     is profiled in the same job and ``split`` becomes ``name + "_" + group``.
     """
     dtypes = [(c, t) for c, t in df.dtypes if c != by]
@@ -174,44 +203,47 @@ def profile(df: DataFrame, name: str, approx: bool = False, by: str | None = Non
         return df.sparkSession.createDataFrame(
             [], "split string, column string, n_rows long, n_missing long, pct_missing double, "
                 "n_unique long, dtype string, ordinal int")
-    cells = [F.struct(F.lit(i).alias("o"), F.lit(c).alias("c"),
+    cells = [F.struct(F.lit(i).alias("o"), F.lit(c).alias("c"), F.lit(t).alias("t"),
                       F.when(~_missing(F.col(c), t), F.col(c).cast("string")).alias("v"))
              for i, (c, t) in enumerate(dtypes)]
     g = [F.col(by).cast("string").alias("_fp_by")] if by else []
     gk = ["_fp_by"] if by else []
     long = df.select(*g, F.explode(F.array(*cells)).alias("_fp_cell")).select(*gk, "_fp_cell.*")
     if approx:
-        per_col = long.groupBy(*gk, "o", "c").agg(
+        per_col = long.groupBy(*gk, "o", "c", "t").agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.count_if(F.col("v").isNull()).alias("n_missing"),
             F.approx_count_distinct("v").alias("n_unique"))
     else:
-        per_val = long.groupBy(*gk, "o", "c", "v").agg(F.count(F.lit(1)).alias("_k"))
-        per_col = per_val.groupBy(*gk, "o", "c").agg(
+        per_val = long.groupBy(*gk, "o", "c", "t", "v").agg(F.count(F.lit(1)).alias("_k"))
+        per_col = per_val.groupBy(*gk, "o", "c", "t").agg(
             F.sum("_k").alias("n_rows"),
             F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("_k"))), F.lit(0)).alias("n_missing"),
             F.count("v").alias("n_unique"))
-    types = df.sparkSession.createDataFrame([(i, t) for i, (_, t) in enumerate(dtypes)],
-                                            "o int, dtype string")
+    if not by:
+        # one row a column even for an empty frame: add a row of zeros and sum it in
+        none = df.sparkSession.range(1).select(F.explode(F.array(*[F.struct(
+            F.lit(i).alias("o"), F.lit(c).alias("c"), F.lit(t).alias("t"), F.lit(0).cast("long").alias("n_rows"),
+            F.lit(0).cast("long").alias("n_missing"), F.lit(0).cast("long").alias("n_unique")) for i, (c, t) in enumerate(dtypes)])).alias("z")).select("z.*")
+        per_col = per_col.unionByName(none).groupBy("o", "c", "t").agg(*[F.sum(n).alias(n) for n in ("n_rows", "n_missing", "n_unique")])
     n_rows = F.col("n_rows").cast("long")
     pct = F.bround(F.col("n_missing") / F.greatest(n_rows, F.lit(1)) * 100, 2)
     split = F.concat(F.lit(name + "_"), F.col("_fp_by")) if by else F.lit(name)
-    return (per_col.join(F.broadcast(types), "o")     # one row per column: bounded by the schema
-            .select(split.alias("split"), F.col("c").alias("column"), n_rows.alias("n_rows"),
+    return (per_col.select(split.alias("split"), F.col("c").alias("column"), n_rows.alias("n_rows"),
                     F.col("n_missing").cast("long").alias("n_missing"), pct.alias("pct_missing"),
-                    F.col("n_unique").cast("long").alias("n_unique"), "dtype",
+                    F.col("n_unique").cast("long").alias("n_unique"), F.col("t").alias("dtype"),
                     F.col("o").alias("ordinal")))
 
 
 def coverage(df: DataFrame, cols: Sequence[str], stage: str | None = None) -> DataFrame:
-    """Percent of non-missing values per column, one row per column (single pass)."""
+    """Percent of non-missing values per column, one row per column (single pass); 0 for no rows."""
     present = [c for c in cols if c in df.columns]
     dtypes = dict(df.dtypes)
     aggs = [F.count(F.lit(1)).alias("_n")]
     aggs += [F.count_if(~_missing(F.col(c), dtypes[c])).alias(f"_c{i}") for i, c in enumerate(present)]
     row = df.agg(*aggs)
     cells = [F.struct(F.lit(c).alias("column"),
-                      (F.col(f"_c{i}") * 100.0 / F.col("_n")).alias("pct_available"))
+                      F.coalesce(F.try_divide(F.col(f"_c{i}") * 100.0, F.col("_n")), F.lit(0.0)).alias("pct_available"))
              for i, c in enumerate(present)]
     out = row.select(F.explode(F.array(*cells)).alias("_fp")).select("_fp.*")
     if stage is not None:

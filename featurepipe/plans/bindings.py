@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featurepipe.config import NULL_SENTINELS
 from featurepipe.functions.numeric import NUMBER_BODY
-from featurepipe.session import spread
 
 BS_N = "(chr(92) || 'N')"          # the two-character text backslash-N
 BS_BS_N = "(chr(92) || chr(92) || 'N')"
@@ -24,10 +24,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    """A driver table; ``spread_rows`` for scans that feed heavy per-row work (see ``spread``)."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if spread_rows else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _sql_text(value: str) -> str:
+    """SQL literal of a sentinel; backslashes as chr(92), which both dialects read alike."""
+    if "\\" not in value:
+        return f"'{value}'"
+    return "(" + " || ".join("chr(92)" if c == "\\" else f"'{c}'" for c in value) + ")"
 
 
 def sql_number(x: str) -> str:
@@ -38,13 +44,13 @@ def sql_number(x: str) -> str:
 
 def sql_sentinel_trim(x: str) -> str:
     """DuckDB twin of ``null_if_sentinel(trim=True)`` with the default list."""
-    lst = f"{BS_N}, {BS_BS_N}, 'NA', 'N/A', 'None', 'none', 'null', 'NULL'"
+    lst = ", ".join(_sql_text(v) for v in NULL_SENTINELS if v.strip())
     return f"(CASE WHEN trim({x}) IN ({lst}) THEN NULL ELSE trim({x}) END)"
 
 
 def sql_sentinel_exact(x: str) -> str:
     """DuckDB twin of ``null_if_sentinel(trim=False)`` with the default list."""
-    lst = f"{BS_N}, {BS_BS_N}, 'NA', 'N/A', 'None', 'none', 'null', 'NULL', '', ' '"
+    lst = ", ".join(map(_sql_text, NULL_SENTINELS))
     return f"(CASE WHEN {x} IN ({lst}) THEN NULL ELSE {x} END)"
 
 
@@ -98,7 +104,7 @@ ENTITY_ORDER: dict[str, str] = {
 
 def entity_bronze_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw entity rows (before sentinel cleaning) with the row-order columns of ENTITY_ORDER."""
-    li = table(spark, sf_dir, "lineitem", spread_rows=True).select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_partkey", "l_suppkey", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                               "o_orderdate", "o_orderpriority")
@@ -120,7 +126,7 @@ def entity_bronze_sql() -> str:
 
 def entity_relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """(key, member) relations: directors = suppliers of the order's lines, writers = parts."""
-    li = table(spark, sf_dir, "lineitem", spread_rows=True).select("l_orderkey", "l_suppkey", "l_partkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey")
     key = F.concat(F.lit("tt"), F.col("l_orderkey").cast("string")).alias("key")
     return {"n_directors": li.select(key, F.col("l_suppkey").cast("string").alias("member")),
             "n_writers": li.select(key, F.col("l_partkey").cast("string").alias("member"))}
@@ -136,7 +142,7 @@ DOC_FEATURES = ("n_chars", "log_chars", "len_text", "word_count", "has_number",
 def doc_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, split, label (quality, NULL when hidden) and the DOC_FEATURES columns."""
     from featurepipe.operators.features import add_length, add_log, add_word_count, flag_matches
-    d = table(spark, sf_dir, "documents", spread_rows=True).select("doc_id", "text", "lang", "n_chars")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     j = d.join(lab, "doc_id", "left").select(
         "doc_id", "text", "lang", "label",

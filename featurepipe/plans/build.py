@@ -23,6 +23,10 @@ from featurepipe.plans.silver import bronze_clean, silver_clean
 from featurepipe.session import release_materialized
 
 
+SPLITS = ("train", "val", "test")
+HIDDEN = ("val", "test")                 # splits without labels
+
+
 @dataclass
 class Stages:
     bronze: DataFrame
@@ -53,16 +57,18 @@ def build_frames(bronze_raw: DataFrame, relations: Mapping[str, DataFrame], orde
     report = None
     if gates:
         report = run_all_gates(hooked, "all", cfg.required, cfg.key, cfg.label, cfg.start_year,
-                               cfg.year_min, cfg.year_max, split_col=split_col)
+                               cfg.year_min, cfg.year_max, split_col=split_col, unlabelled=HIDDEN)
     rels = {name: clean_relation(rel, "key", "member", cfg.sentinels) for name, rel in relations.items()}
     gold = gold_build(hooked, crew_counts(rels, cfg), cfg, split_col)
     return Stages(bronze, silver, hooked, gold, report, registry)
 
 
 def split_frames(df: DataFrame, split_col: str = "split",
-                 names: Sequence[str] = ("train", "val", "test")) -> dict[str, DataFrame]:
-    """One frame per split (predicate pushed to each scan), without the split column."""
-    return {n: df.where(F.col(split_col) == n).drop(split_col) for n in names}
+                 names: Sequence[str] = SPLITS, label: str | None = None, hidden: Sequence[str] = HIDDEN,
+                 ) -> dict[str, DataFrame]:
+    """One frame per split (predicate pushed to each scan), without the split column; with
+    ``label`` given, hidden splits lose that column."""
+    return {n: df.where(F.col(split_col) == n).drop(split_col, *([label] if label and n in hidden else [])) for n in names}
 
 
 # The reference's raw file names.
@@ -98,27 +104,27 @@ def read_raw(spark, raw_dir: str, cfg: PipelineConfig = DEFAULT) -> tuple[DataFr
 
 def run_build(spark, raw_dir: str, out_dir: str, cfg: PipelineConfig = DEFAULT, fmt: str = "csv",
               profiles: bool = True, approx_profile: bool = False, release: bool = False) -> Stages:
-    """J5 end to end from files: merged / cleaned / processed stages (one folder per split) and
-    one profile per stage and split, as the reference's build writes them. ``release=True``
-    deletes the intermediates afterwards (the returned frames then read the written outputs
-    only through ``out_dir``)."""
+    """J5 end to end from files: merged / cleaned / processed stages (one folder per split, rows in
+    order, no label column in hidden splits) and one profile per stage and split, as the
+    reference's build writes them. ``release=True`` deletes the intermediates afterwards (the
+    returned frames then read the written outputs only through ``out_dir``)."""
     from featurepipe.operators.stats import profile
     from featurepipe.sources.csv import ORDER_COLS
     from featurepipe.sources.stages import write_profile, write_stage
     bronze_raw, rels = read_raw(spark, raw_dir, cfg)
     st = build_frames(bronze_raw, rels, list(ORDER_COLS), cfg, split_col=cfg.split)
-    merged = st.bronze.drop(*ORDER_COLS)
-    outputs = {"merged": merged, "cleaned": st.hooked, "processed": st.gold}
-    for stage, df in outputs.items():
-        write_stage(df, f"{out_dir}/{stage}", fmt, order_by=None, partition_by=cfg.split)
+    outputs = {"merged": (st.bronze, ORDER_COLS, ORDER_COLS), "cleaned": (st.hooked, [cfg.row_id], ()),
+               "processed": (st.gold, [cfg.row_id], ())}
+    for stage, (df, order, drop) in outputs.items():
+        for name, part in split_frames(df, cfg.split, label=cfg.label).items():
+            write_stage(part, f"{out_dir}/{stage}/{cfg.split}={name}", fmt, order_by=order, drop=drop)
     if profiles:
         layer = {"merged": "bronze", "cleaned": "silver", "processed": "gold"}
-        for stage, df in outputs.items():
-            # one job per stage profiles every split; hidden splits' all-NULL label column is
-            # reported as the reference's frames would not have it (filtered below)
-            prof = profile(df, layer[stage], approx=approx_profile, by=cfg.split)
-            if stage != "processed":
-                prof = prof.where(~((F.col("column") == cfg.label) & ~F.col("split").endswith("_train")))
+        hidden = [f"{x}_{name}" for x in layer.values() for name in HIDDEN]
+        for stage, (df, _, drop) in outputs.items():
+            # one job per stage profiles every split; hidden splits have no label column
+            prof = profile(df.drop(*drop), layer[stage], approx=approx_profile, by=cfg.split)
+            prof = prof.where(~((F.col("column") == cfg.label) & F.col("split").isin(*hidden)))
             write_profile(prof, f"{out_dir}/profiles/{stage}")
     if release:
         st.hooked.unpersist()

@@ -13,7 +13,7 @@ from featurepipe.operators.stats import coverage
 
 
 def compare_stages(raw: DataFrame, clean: DataFrame, title: str, cols: Sequence[str], k: int = 10,
-                   tiebreak: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    pairs = before_after(raw, title, k, strip_accents, tiebreak=tiebreak)
+                   tiebreak: Sequence[str] = (), keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    pairs = before_after(raw, title, k, strip_accents, tiebreak=tiebreak, keep=keep)
     cov = coverage(raw, cols, "raw").unionByName(coverage(clean, cols, "clean"))
     return pairs, cov

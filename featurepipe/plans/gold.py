@@ -17,9 +17,9 @@ from featurepipe.operators.relations import count_members, join_counts
 
 def crew_counts(relations: Mapping[str, DataFrame], cfg: PipelineConfig = DEFAULT,
                 key: str = "key", member: str = "member") -> dict[str, DataFrame]:
-    """E1 for each named relation, keyed by ``cfg.key``."""
+    """E1 for each named relation of distinct pairs (``clean_relation``), keyed by ``cfg.key``."""
     return {name: count_members(rel.select(F.col(key).alias(cfg.key), F.col(member).alias("_m")),
-                                cfg.key, "_m", name)
+                                cfg.key, "_m", name, distinct=True)
             for name, rel in relations.items()}
 
 
@@ -46,3 +46,16 @@ def gold_build(silver: DataFrame, counts: Mapping[str, DataFrame], cfg: Pipeline
             cfg.start_year, cfg.runtime, cfg.votes, *([cfg.label] if has_label else []), *counts,
             "log_numVotes", "len_primaryTitle", "decade", *cfg.flags]
     return out.select(*lead)
+
+
+def gold_types(cfg: PipelineConfig = DEFAULT, label: bool = True, counts: tuple[str, ...] = ("n_directors", "n_writers")) -> str:
+    """DDL of a processed split as ``gold_build`` orders its columns."""
+    doubles, longs = (cfg.start_year, cfg.runtime, cfg.votes), (cfg.row_id, *counts, "len_primaryTitle")
+    names = [cfg.row_id, cfg.key, cfg.title, cfg.original_title, *doubles, *([cfg.label] if label else []), *counts,
+             "log_numVotes", "len_primaryTitle", "decade", *cfg.flags]
+
+    def kind(n: str) -> str:
+        if n in (cfg.key, cfg.title, cfg.original_title):
+            return "string"
+        return "bigint" if n in longs else "int" if n in (cfg.label, *cfg.flags) else "double"
+    return ", ".join(f"`{n}` {kind(n)}" for n in names)

@@ -8,9 +8,11 @@ functions are rounded to 6 decimals on both sides.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featurepipe.config import DEFAULT
@@ -26,6 +28,8 @@ from featurepipe.plans.bindings import (
     BS_BS_N, BS_N, ENTITY_ORDER, entity_bronze_sql, sql_number, sql_sentinel_exact, sql_sentinel_trim, table,
 )
 
+from featurepipe.session import checkpoint_dir
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -65,7 +69,7 @@ def q_null_sentinels(spark: SparkSession, sf: str) -> DataFrame:
 SELECT doc_id, strip_accents(text) AS text_clean FROM documents
 """)
 def q_strip_accents(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents", spread_rows=True).select("doc_id", F.col("text").alias("text_clean"))
+    d = table(spark, sf, "documents").select("doc_id", F.col("text").alias("text_clean"))
     return strip_accents_cols(d, ["text_clean"])
 
 
@@ -73,19 +77,21 @@ def q_strip_accents(spark: SparkSession, sf: str) -> DataFrame:
 SELECT conv_id, turn, strip_accents(text) AS text_clean FROM conversations
 """)
 def q_strip_accents_turns(spark: SparkSession, sf: str) -> DataFrame:
-    c = table(spark, sf, "conversations", spread_rows=True).select("conv_id", "turn", F.col("text").alias("text_clean"))
+    c = table(spark, sf, "conversations").select("conv_id", "turn", F.col("text").alias("text_clean"))
     return strip_accents_cols(c, ["text_clean"])
 
 
 # --- C2 F4 F8: changed rows, top 10, before/after ------------------------------------------------
 @register("changed_rows_topk", """
-SELECT doc_id, text AS dirty, strip_accents(text) AS clean
-FROM documents WHERE text <> strip_accents(text)
-ORDER BY text DESC, doc_id DESC LIMIT 10
+SELECT CAST(row_number() OVER (ORDER BY dirty, doc_id) AS INTEGER) AS rank, doc_id, dirty, clean
+FROM (SELECT doc_id, text AS dirty, strip_accents(text) AS clean
+      FROM documents WHERE text <> strip_accents(text) ORDER BY text DESC, doc_id DESC LIMIT 10)
 """)
 def q_changed_rows_topk(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents", spread_rows=True).select("doc_id", "text")
-    return before_after(d, "text", 10, strip_accents, tiebreak=["doc_id"], keep=["doc_id"])
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    top = before_after(d, "text", 10, strip_accents, tiebreak=["doc_id"], keep=["doc_id"])
+    # ten rows: their order becomes a column, so that it is compared too
+    return top.withColumn("rank", F.row_number().over(Window.orderBy("dirty", "doc_id"))).select("rank", "doc_id", "dirty", "clean")
 
 
 # --- B4 C3: swapped-pair repair ------------------------------------------------------------------
@@ -252,7 +258,7 @@ FROM lineitem WHERE l_linenumber NOT IN (3, 5)
 def q_relation_from_columns(spark: SparkSession, sf: str) -> DataFrame:
     # Line numbers repeat within an order in this data, so the JSON index is a row-unique id; ids
     # are consecutive within a partition, so (order, id div 4) caps a document at 4 entries.
-    li = (table(spark, sf, "lineitem", spread_rows=True).select("l_orderkey", "l_linenumber", "l_suppkey")
+    li = (table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
           .sortWithinPartitions("l_orderkey")          # local sort: an order's lines get adjacent ids
           .withColumn("rid", F.monotonically_increasing_id()))
     idx = F.col("rid").cast("string")
@@ -274,7 +280,7 @@ SELECT DISTINCT CAST(l_orderkey AS STRING) AS key, CAST(l_partkey AS STRING) AS
 FROM lineitem WHERE l_linenumber NOT IN (2, 6)
 """)
 def q_relation_from_records(spark: SparkSession, sf: str) -> DataFrame:
-    li = (table(spark, sf, "lineitem", spread_rows=True).select("l_orderkey", "l_linenumber", "l_partkey")
+    li = (table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
           .sortWithinPartitions("l_orderkey")
           .withColumn("rid", F.monotonically_increasing_id()))
     k = F.col("l_orderkey").cast("string")
@@ -623,37 +629,278 @@ def q_stratified_folds(spark: SparkSession, sf: str) -> DataFrame:
     return stratified_folds(table(spark, sf, "labels"), "quality", ["doc_id"], 5)
 
 
-# --- I3 I5 I6 I7 I8 I9 A9 B19: candidates, CV, best, refit, predict, importances (rows-only) -----
+# --- I3 I5 I6 I7 I8 I9 A9 B19: closed-form candidates, CV, best, refit, predict, importances -----
 _TRAINED: dict = {}
 
 
 def _trained(spark: SparkSession, sf: str):
-    """One training run per (session, tables), shared by the three model queries."""
-    key = (id(spark), sf)
+    """One training run per (application, tables), shared by the three model queries."""
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _TRAINED:
-        from featurepipe.operators.model import ModelSettings
+        from featurepipe.operators.model import closed_form_candidates
         from featurepipe.plans.bindings import DOC_FEATURES, doc_features
         from featurepipe.plans.train import train_and_predict
         docs = doc_features(spark, sf).persist()
         train = docs.where(F.col("split") == "train").drop("split")
-        hidden = {"hidden": docs.where(F.col("split") == "hidden").drop("split", "label")}
+        hidden = {"hidden": doc_features(spark, sf).where(F.col("split") == "hidden").drop("split", "label")}
         _TRAINED[key] = train_and_predict(train, hidden, DOC_FEATURES, "label", ["doc_id"],
-                                          ModelSettings.quick())
+                                          make=lambda _n: closed_form_candidates("label"))
+        docs.unpersist()
     return _TRAINED[key]
 
 
-@register("cv_scores")
+def _model_sql() -> str:
+    """CTEs of the whole protocol: fits 0-4 leave one fold out, fit 5 sees all labelled rows."""
+    from featurepipe.plans.bindings import DOC_FEATURES
+    feats = list(DOC_FEATURES)
+    fold = ORACLES["stratified_folds"]
+    med = ", ".join(f"median({f}) AS med_{f}" for f in feats)
+    imp = ", ".join(f"coalesce({f}, med_{f}) AS {f}" for f in feats)
+    mom = ", ".join(f"avg({f}) AS mu_{f}, CASE WHEN stddev_pop({f}) = 0 THEN 1 ELSE stddev_pop({f}) END AS sd_{f}" for f in feats)
+    z = ", ".join(f"({f} - mu_{f}) / sd_{f} AS {f}" for f in feats)
+    cls = ", ".join(f"avg({f}) AS m_{f}" for f in feats)
+    away = " + ".join(f"(z.{f} - c.m_{f}) * (z.{f} - c.m_{f})" for f in feats)
+    return f"""
+x AS (SELECT doc_id, quality AS label, CAST(CASE WHEN doc_id % 9 = 0 THEN NULL ELSE n_chars END AS DOUBLE) AS n_chars,
+        ln(CASE WHEN doc_id % 9 = 0 THEN NULL ELSE n_chars END + 1) AS log_chars, length(text)::DOUBLE AS len_text,
+        len(regexp_extract_all(text, '\\S+'))::DOUBLE AS word_count, regexp_matches(text, '[0-9]')::INT::DOUBLE AS has_number,
+        (lang = 'en')::INT::DOUBLE AS is_en FROM documents LEFT JOIN labels USING (doc_id)),
+t AS (SELECT x.*, f.fold FROM x JOIN ({fold}) f ON f.doc_id = x.doc_id),
+runs AS (SELECT unnest(range(6)) AS run),
+fit AS (SELECT run, t.* FROM t, runs WHERE fold <> run),
+med AS (SELECT run, {med} FROM fit GROUP BY run),
+a AS (SELECT run, doc_id, label, fold, {imp} FROM med, (SELECT doc_id, label, fold, {", ".join(feats)} FROM t
+      UNION ALL SELECT doc_id, label, NULL, {", ".join(feats)} FROM x WHERE label IS NULL)),
+mom AS (SELECT run, {mom} FROM a WHERE fold <> run GROUP BY run),
+z AS (SELECT a.run, doc_id, label, fold, {z} FROM a JOIN mom ON mom.run = a.run),
+c AS (SELECT run, label, count(*) AS n, {cls} FROM z WHERE fold <> run GROUP BY run, label),
+near AS (SELECT z.run, z.doc_id, z.label, z.fold, arg_min(c.label, {{'d': {away}, 'l': c.label}}) AS pred
+         FROM z JOIN c ON c.run = z.run GROUP BY ALL),
+most AS (SELECT run, arg_max(label, {{'n': n, 'l': -label}}) AS pred FROM c GROUP BY run),
+p AS (SELECT 'Nearest class mean' AS model, 1 AS ordinal, run, doc_id, label, fold, pred FROM near
+      UNION ALL SELECT 'Majority class', 0, z.run, doc_id, label, fold, most.pred FROM z JOIN most ON most.run = z.run),
+acc AS (SELECT model, ordinal, run, avg((pred = label)::INT) AS a FROM p WHERE (run = 5 AND fold IS NOT NULL) OR fold = run GROUP BY ALL),
+scores AS (SELECT model, ordinal::INTEGER AS ordinal, max(a) FILTER (run = 5) AS train_acc, avg(a) FILTER (run < 5) AS cv_mean,
+                  stddev_pop(a) FILTER (run < 5) AS cv_std FROM acc GROUP BY ALL),
+best AS (SELECT model FROM scores ORDER BY cv_mean DESC, ordinal LIMIT 1)"""
+
+
+@register("cv_scores", f"""
+WITH {_model_sql()}
+SELECT model, ordinal, round(train_acc, 6) AS train_acc, round(cv_mean, 6) AS cv_mean, round(cv_std, 6) AS cv_std,
+       model = (SELECT model FROM best) AS best FROM scores
+""")
 def q_cv_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return _trained(spark, sf).scores
+    res = _trained(spark, sf)
+    return res.scores.select("model", "ordinal", *[F.round(c, 6).alias(c) for c in ("train_acc", "cv_mean", "cv_std")],
+                             (F.col("model") == res.best).alias("best"))
+
 
+def _importance_sql() -> str:
+    from featurepipe.plans.bindings import DOC_FEATURES
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS o, '{f}' AS feature, abs(max(m_{f}) FILTER (label = 1) - max(m_{f}) FILTER (label = 0)) AS v FROM c WHERE run = 5"
+        for i, f in enumerate(DOC_FEATURES))
+    return f"""SELECT feature, round(v, 6) AS importance, row_number() OVER (ORDER BY v DESC, o)::INTEGER AS rank
+FROM (SELECT o, feature, CASE WHEN (SELECT model FROM best) = 'Majority class' THEN 0.0 ELSE v END AS v FROM ({rows}))"""
 
-@register("importances")
+
+@register("importances", f"""
+WITH {_model_sql()}
+{_importance_sql()}
+""")
 def q_importances(spark: SparkSession, sf: str) -> DataFrame:
-    return _trained(spark, sf).importances
+    return _trained(spark, sf).importances.select("feature", F.round("importance", 6).alias("importance"), "rank")
 
 
-@register("fit_predict")
+@register("fit_predict", f"""
+WITH {_model_sql()}
+SELECT doc_id, CASE WHEN pred = 1 THEN 'True' ELSE 'False' END AS prediction
+FROM p WHERE run = 5 AND fold IS NULL AND model = (SELECT model FROM best)
+""")
 def q_fit_predict(spark: SparkSession, sf: str) -> DataFrame:
     from featurepipe.sources.sinks import prediction_text
     pred = _trained(spark, sf).predictions["hidden"]
     return pred.select("doc_id", prediction_text(F.col("prediction")).alias("prediction"))
+
+
+# --- file-based queries: shards written under the checkpoint folder, read by the real readers ----
+def _scratch(spark: SparkSession, name: str) -> str:
+    return os.path.join(checkpoint_dir(spark), "featurepipe", f"{name}-{uuid.uuid4().hex}")
+
+
+def _write_lines(lines: DataFrame, header: str | None, path: str) -> None:
+    """Text files of the column ``value``, each beginning with ``header``."""
+    if header is not None:
+        def headed(batches):
+            import pyarrow as pa
+            yield pa.RecordBatch.from_arrays([pa.array([header])], ["value"])
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch.column(0)], ["value"])
+        lines = lines.select("value").mapInArrow(headed, "value string")
+    lines.write.text(path)
+
+
+CSV_TITLE = """'Say "' || o_orderpriority || ', now" (' || o_orderstatus || ')'"""
+CSV_PRICE = f"CASE WHEN o_orderkey % 6 = 0 THEN {BS_N} ELSE CAST(o_totalprice AS STRING) END"
+
+
+# Strict union by name of shards with three header orders and a missing column
+@register("csv_union_files", f"""
+SELECT CAST(o_orderkey AS STRING) AS k, {CSV_TITLE} AS "the title",
+       CASE WHEN o_orderstatus <> 'P' THEN {CSV_PRICE} END AS price,
+       CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS prio
+FROM orders
+""")
+def q_csv_union_files(spark: SparkSession, sf: str) -> DataFrame:
+    from featurepipe.sources import read_csv_union
+    base = _scratch(spark, "csv-union")
+    o = table(spark, sf, "orders")
+    quoted = F.concat(F.lit('"'), F.replace(F.expr(CSV_TITLE), F.lit('"'), F.lit('""')), F.lit('"'))
+    k, price = F.col("o_orderkey").cast("string"), F.expr(CSV_PRICE)
+    shards = {"F": ('k,"the title",price,prio', [k, quoted, price, F.col("o_orderpriority")]),
+              "O": ('price,k,"the title"', [price, k, quoted]), "P": ('"the title",k', [quoted, k])}
+    for status, (header, cols) in shards.items():
+        _write_lines(o.where(F.col("o_orderstatus") == status).select(F.concat_ws(",", *cols).alias("value")), header, f"{base}/{status}")
+    return read_csv_union(spark, f"{base}/*/part-*", ["k", "the title", "price", "prio"]).select("k", "the title", "price", "prio")
+
+
+# A2: tolerant scan, rows with a surplus or a missing field go and are listed
+@register("csv_tolerant_files", f"""
+SELECT 'kept' AS what, CAST(o_orderkey AS STRING) AS k, {CSV_TITLE} AS title FROM orders WHERE o_orderkey % 10 NOT IN (3, 7)
+UNION ALL SELECT 'rejected', CAST(o_orderkey AS STRING), NULL FROM orders WHERE o_orderkey % 10 IN (3, 7)
+""")
+def q_csv_tolerant_files(spark: SparkSession, sf: str) -> DataFrame:
+    from featurepipe.sources import csv_rejects, read_csv_union
+    base = _scratch(spark, "csv-tolerant")
+    o = table(spark, sf, "orders")
+    quoted = F.concat(F.lit('"'), F.replace(F.expr(CSV_TITLE), F.lit('"'), F.lit('""')), F.lit('"'))
+    k, last = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 10
+    line = F.when(last == 3, F.concat(k, F.lit(",a,b,c,d"))).when(last == 7, k).otherwise(F.concat_ws(",", k, quoted, F.lit("x")))
+    _write_lines(o.select(line.alias("value")), "k,title,z", base)
+    kept = read_csv_union(spark, f"{base}/part-*", ["k", "title"], on_error="drop").select(F.lit("kept").alias("what"), "k", "title")
+    gone = csv_rejects(spark, f"{base}/part-*").select(F.lit("rejected").alias("what"), F.split("record", ",")[0].alias("k"),
+                                                       F.lit(None).cast("string").alias("title"))
+    return kept.unionByName(gone)
+
+
+# Files of all three shapes through the reader
+@register("relation_files", """
+SELECT DISTINCT CASE WHEN l_returnflag = 'A' THEN 'columns' WHEN l_returnflag = 'N' THEN 'records' ELSE 'lines' END AS shape,
+       CAST(l_orderkey AS STRING) AS key, CAST(l_suppkey AS STRING) AS member
+FROM lineitem WHERE l_linenumber NOT IN (3, 5)
+""")
+def q_relation_files(spark: SparkSession, sf: str) -> DataFrame:
+    from featurepipe.sources import read_relation
+    base = _scratch(spark, "relations")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag",
+                                             F.monotonically_increasing_id().alias("rid"))
+    files = F.pmod(F.xxhash64("l_orderkey", "rid"), F.lit(li.count() // 20_000 + 1)).alias("file")   # bounds a document
+    k = F.col("l_orderkey").cast("string")
+    m = F.when(F.col("l_linenumber") == 5, "NA").otherwise(F.col("l_suppkey").cast("string"))
+    idx = F.col("rid").cast("string")
+    columns = (li.where("l_returnflag = 'A'").groupBy(files).agg(
+        F.map_from_entries(F.collect_list(F.struct(idx, k))).alias(" Movie"),
+        F.map_from_entries(F.collect_list(F.when(F.col("l_linenumber") != 3, F.struct(idx, m)))).alias("DIRECTOR_ID"))
+        .select("file", F.to_json(F.struct(" Movie", "DIRECTOR_ID")).alias("value")))
+    rec = F.when(F.col("l_linenumber") == 3, F.create_map(F.lit("tconst"), k)).otherwise(F.create_map(F.lit("tconst"), k, F.lit("Director "), m))
+    records = li.where("l_returnflag = 'N'").groupBy(files).agg(F.to_json(F.collect_list(rec)).alias("value"))
+    columns.write.partitionBy("file").text(f"{base}/columns")
+    records.write.partitionBy("file").text(f"{base}/records")
+    _write_lines(li.where("l_returnflag = 'R'").select(F.to_json(rec).alias("value")), None, f"{base}/lines")
+    parts = []
+    for shape, asked in (("columns", "auto"), ("records", "records"), ("lines", "lines")):
+        got = read_relation(spark, f"{base}/{shape}", DEFAULT.key_aliases, DEFAULT.director_aliases, shape=asked)
+        parts.append(got.select(F.lit(shape).alias("shape"), "key", "member"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# --- E4: both ways of the exact median, with a NULL group ----------------------------------------
+MN_GROUP = "CASE WHEN doc_id % 3 = 0 THEN NULL ELSE lang END"
+
+
+@register("median_null_group", f"""
+SELECT way, g, MEDIAN(n_chars) AS median
+FROM (SELECT {MN_GROUP} AS g, n_chars FROM documents), (SELECT unnest(['buffer', 'narrowed']) AS way) GROUP BY way, g
+""")
+def q_median_null_group(spark: SparkSession, sf: str) -> DataFrame:
+    d = table(spark, sf, "documents").select(F.expr(MN_GROUP).alias("g"), "n_chars")
+    return (exact_median(d, "n_chars", ["g"]).withColumn("way", F.lit("buffer"))
+            .unionByName(exact_median(d, "n_chars", ["g"], cap=40, grid=20, accuracy=200).withColumn("way", F.lit("narrowed"))))
+
+
+# --- E5 on an empty frame ------------------------------------------------------------------------
+@register("profile_empty", """
+SELECT 'none' AS split, * FROM (VALUES ('c_custkey', 'bigint'), ('c_name', 'string'), ('c_acctbal', 'double')) v("column", dtype),
+  (SELECT COUNT(*) AS n_rows, COUNT(*) AS n_missing, 0.0::DOUBLE AS pct_missing, COUNT(DISTINCT c_name) AS n_unique
+   FROM customer WHERE c_custkey < 0)
+""")
+def q_profile_empty(spark: SparkSession, sf: str) -> DataFrame:
+    c = table(spark, sf, "customer").where("c_custkey < 0").select("c_custkey", "c_name", F.col("c_acctbal").cast("double").alias("c_acctbal"))
+    return profile(c, "none").drop("ordinal")
+
+
+# --- J7: stage comparison ------------------------------------------------------------------------
+@register("compare_stages", f"""
+WITH raw AS (SELECT doc_id, text, {CV_LANG} AS lang FROM documents),
+clean AS (SELECT doc_id, text, {sql_sentinel_trim('lang')} AS lang FROM raw),
+top AS (SELECT text AS dirty, strip_accents(text) AS clean, doc_id FROM raw WHERE text <> strip_accents(text)
+        ORDER BY text DESC, doc_id DESC LIMIT 5)
+SELECT 'title' AS section, CAST(row_number() OVER (ORDER BY dirty, doc_id) AS INTEGER) AS place, dirty AS a, clean AS b,
+       CAST(NULL AS DOUBLE) AS pct FROM top
+UNION ALL SELECT 'coverage', 1, 'raw', 'lang', ROUND(COUNT(lang) * 100.0 / COUNT(*), 6) FROM raw
+UNION ALL SELECT 'coverage', 1, 'clean', 'lang', ROUND(COUNT(lang) * 100.0 / COUNT(*), 6) FROM clean
+""")
+def q_compare_stages(spark: SparkSession, sf: str) -> DataFrame:
+    from featurepipe.plans.compare import compare_stages
+    raw = table(spark, sf, "documents").select("doc_id", "text", F.expr(CV_LANG).alias("lang"))
+    clean = null_sentinels(raw, ["lang"], DEFAULT.sentinels)
+    pairs, cov = compare_stages(raw, clean, "text", ["lang"], k=5, tiebreak=["doc_id"], keep=["doc_id"])
+    titles = pairs.select(F.lit("title").alias("section"), F.row_number().over(Window.orderBy("dirty", "doc_id")).alias("place"),
+                          F.col("dirty").alias("a"), F.col("clean").alias("b"), F.lit(None).cast("double").alias("pct"))
+    return titles.unionByName(cov.select(F.lit("coverage").alias("section"), F.lit(1).alias("place"), F.col("stage").alias("a"),
+                                         F.col("column").alias("b"), F.round("pct_available", 6).alias("pct")))
+
+
+# --- G6: the first failing gate ------------------------------------------------------------------
+@register("gate_failure", f"""
+WITH g AS (SELECT {GT_KEY} AS k FROM orders)
+SELECT 'orders' AS split, 'key_not_null' AS gate, 1 AS ordinal, COUNT(*) - COUNT(k) AS violations FROM g
+""")
+def q_gate_failure(spark: SparkSession, sf: str) -> DataFrame:
+    from featurepipe.operators.gates import first_failure
+    g = table(spark, sf, "orders").select(F.expr(GT_KEY).alias("k"), F.expr(GT_LABEL).alias("label"), F.expr(GT_YEAR).alias("yr"))
+    return first_failure(gate_report(g, "orders", required=["k", "label"], key="k", label="label", year="yr",
+                                     lo=DEFAULT.year_min, hi=DEFAULT.year_max))
+
+
+# --- J2: hook audit ------------------------------------------------------------------------------
+@register("hook_audit", """
+SELECT 'drop_pending' AS hook, 'all' AS split, COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS rows_dropped, '' AS cols_added FROM orders
+UNION ALL SELECT 'add_year', 'all', 0, 'half,yr'
+UNION ALL SELECT 'keep_cheap', 'all', COUNT(*) FILTER (WHERE o_totalprice >= 100000), '' FROM orders WHERE o_orderstatus <> 'P'
+""")
+def q_hook_audit(spark: SparkSession, sf: str) -> DataFrame:
+    from featurepipe.operators import HookRegistry
+    reg = HookRegistry()
+    reg.register(lambda d: d.where("o_orderstatus <> 'P'"), "drop_pending")
+    reg.register(lambda d: d.withColumns({"yr": F.year("o_orderdate"), "half": F.quarter("o_orderdate")}), "add_year")
+    reg.register(lambda d: d.where("o_totalprice < 100000"), "keep_cheap")
+    reg.apply(table(spark, sf, "orders"))
+    return reg.audit(spark).withColumn("cols_added", F.array_join("cols_added", ","))
+
+
+# --- A6 A8: stages written and read back in both formats -----------------------------------------
+@register("stage_round_trip", f"""
+SELECT fmt, o_orderkey, CAST(o_totalprice AS DOUBLE) AS price, {CSV_TITLE} AS title
+FROM orders, (SELECT unnest(['csv', 'parquet']) AS fmt)
+""")
+def q_stage_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    from featurepipe.sources import read_stage, write_stage
+    base = _scratch(spark, "stage")
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("price"), F.expr(CSV_TITLE).alias("title"))
+    parts = []
+    for fmt in ("csv", "parquet"):
+        write_stage(o, f"{base}/{fmt}", fmt, order_by="o_orderkey")
+        parts.append(read_stage(spark, f"{base}/{fmt}", fmt, schema="o_orderkey bigint, price double, title string").withColumn("fmt", F.lit(fmt)))
+    return parts[0].unionByName(parts[1])

@@ -1,6 +1,6 @@
 """The silver composite. Strip accents -> repair swapped years -> four lenient casts ->
-label map -> dedup keep-first -> dense row id; one lazy plan per frame (or per split when the
-frame carries a split column).
+label map -> dedup keep-first -> dense row id, for one frame (or each split of it when it carries
+a split column). The row id runs its range partitioning while the stage is composed.
 """
 
 from __future__ import annotations
@@ -19,10 +19,8 @@ def bronze_clean(df: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     return null_sentinels(df, list(cfg.bronze_cols), cfg.sentinels, trim=True)
 
 
-def silver_clean(df: DataFrame, order: Sequence[str], cfg: PipelineConfig = DEFAULT,
-                 split_col: str | None = None, keep_order: bool = False) -> DataFrame:
-    """``order`` names unique row-order columns (file position or a natural key); they are
-    dropped after the row id is assigned unless ``keep_order``."""
+def clean_values(df: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """The row-local silver steps: accents, swapped years, lenient casts, label map."""
     out = strip_accents_cols(df, [cfg.title])
     out = repair_swap(out, cfg.start_year, cfg.end_year, cfg.year_min, cfg.year_max)
     out = cast_ranges(out, {
@@ -31,7 +29,14 @@ def silver_clean(df: DataFrame, order: Sequence[str], cfg: PipelineConfig = DEFA
         cfg.runtime: (cfg.runtime_min, cfg.runtime_max),
         cfg.votes: (cfg.votes_min, None),
     })
-    out = map_label(out, cfg.label)
+    return map_label(out, cfg.label)
+
+
+def silver_clean(df: DataFrame, order: Sequence[str], cfg: PipelineConfig = DEFAULT,
+                 split_col: str | None = None, keep_order: bool = False) -> DataFrame:
+    """``order`` names unique row-order columns (file position or a natural key); they are
+    dropped after the row id is assigned unless ``keep_order``."""
+    out = clean_values(df, cfg)
     parts = [split_col] if split_col else []
     out = dedup_first(out, [*parts, cfg.key], order)
     out = with_row_id(out, order, cfg.row_id, partition_by=parts)

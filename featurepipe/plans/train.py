@@ -28,6 +28,7 @@ class TrainResult:
 
     def report_lines(self) -> list[str]:
         """A10: best name, its train accuracy, ranked importances (a handful of lines)."""
+        # The wording and layout of the lines.
         row = self.scores.where(F.col("model") == self.best).first()
         lines = [f"Best model: {self.best}", f"Train accuracy: {row['train_acc']:.4f}", "",
                  "Feature importances:"]
@@ -38,32 +39,41 @@ class TrainResult:
 
 def train_and_predict(train: DataFrame, hidden: Mapping[str, DataFrame], features: Sequence[str],
                       label: str = "label", order: Sequence[str] = ("_row_id",),
-                      settings: ModelSettings = ModelSettings()) -> TrainResult:
-    """``train`` has the label; ``hidden`` frames are predicted by the best candidate."""
+                      settings: ModelSettings = ModelSettings(), make=None) -> TrainResult:
+    """``train`` has the label; ``hidden`` frames are predicted by the best candidate.
+
+    ``make`` gives the candidates for a number of training rows (default: ``candidates``).
+    """
+    make = make or (lambda rows: candidates(rows, settings, label))
     feats = [c for c in features if c in train.columns]                 # B19
     keep = [c for c in order if c in train.columns]
     base = select_features(train, [*keep, *feats], label=label)
     folded = stratified_folds(base, label, keep, settings.folds).persist()
     n = folded.count()
-    scores = cross_validate(folded, candidates(n, settings, label), feats, label, "fold", settings).cache()
+    scores = cross_validate(folded, make, feats, label, "fold", settings)
     best = pick_best(scores)
-    model, preds = fit_predict(folded, hidden, candidates(n, settings, label)[best], feats)
+    model, preds = fit_predict(folded, hidden, make(n)[best], feats)
+    folded.unpersist()
     return TrainResult(scores, best, model, preds, importances(model, feats), feats)
 
 
+def read_processed(spark, processed_dir: str, cfg, fmt: str = "csv") -> dict[str, DataFrame]:
+    """The processed splits; CSV with the gold types, so nothing is inferred."""
+    from featurepipe.plans.build import HIDDEN, SPLITS
+    from featurepipe.plans.gold import gold_types
+    from featurepipe.sources.stages import read_stage
+    return {s: read_stage(spark, f"{processed_dir}/{cfg.split}={s}", fmt,
+                          gold_types(cfg, label=s not in HIDDEN) if fmt == "csv" else None) for s in SPLITS}
+
+
 def run_train(spark, processed_dir: str, out_dir: str, cfg=None, settings: ModelSettings = ModelSettings(),
               fmt: str = "csv") -> TrainResult:
     """J6 end to end from the processed stage: predictions for val and test (True/False lines in
     row order) and the model report."""
     from featurepipe.config import DEFAULT
     from featurepipe.sources.sinks import model_report, write_predictions, write_report
-    from featurepipe.sources.stages import read_stage
     cfg = cfg or DEFAULT
-    if fmt == "csv":   # typed by inference (an extra pass); parquet keeps the gold types
-        gold = spark.read.option("header", True).option("inferSchema", True).csv(processed_dir)
-    else:
-        gold = read_stage(spark, processed_dir, "parquet")
-    parts = {s: gold.where(F.col(cfg.split) == s).drop(cfg.split) for s in ("train", "val", "test")}
+    parts = read_processed(spark, processed_dir, cfg, fmt)
     res = train_and_predict(parts["train"], {"val": parts["val"], "test": parts["test"]}, cfg.features,
                             cfg.label, [cfg.row_id], settings)
     for split, pred in res.predictions.items():

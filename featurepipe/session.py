@@ -8,6 +8,7 @@ private folder is only created when it is unset *and* the master is local (tests
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get(_CKPT_CONF, None) or sc.getConf().get(_CKPT_CONF, None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):       # local-cluster has executors of its own
             raise RuntimeError(
                 f"{_CKPT_CONF} is not set; set it to a folder every executor can reach "
                 "(HDFS/S3/ABFS path) so stable intermediates survive executor loss")
@@ -90,17 +91,6 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, min_fraction: float = 0.5) -> DataFrame:
-    """Round-robin repartition to the cluster's parallelism when ``df`` (typically a fresh scan)
-    has far fewer partitions than there are cores -- e.g. a small file written as one row
-    group, which would otherwise run all its per-row work in one task. A large input already
-    scans into many splits, so this is a no-op at scale."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < max(1, int(target * min_fraction)):
-        return df.repartition(target)
-    return df
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast ``df`` when a count proves it has at most ``max_rows`` rows (one small job on a
     per-group table); otherwise return it unchanged and let AQE plan (and de-skew) the join.

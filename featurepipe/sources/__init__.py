@@ -1,10 +1,10 @@
 """Readers and writers."""
 
-from featurepipe.sources.csv import ORDER_COLS, list_files, read_csv_union, read_header
+from featurepipe.sources.csv import ORDER_COLS, csv_rejects, list_files, read_csv_union, read_header
 from featurepipe.sources.json_relations import read_relation
 from featurepipe.sources.sinks import model_report, prediction_text, write_predictions, write_report
 from featurepipe.sources.stages import read_stage, write_profile, write_stage
 
-__all__ = ["ORDER_COLS", "list_files", "model_report", "prediction_text", "read_csv_union", "read_header",
+__all__ = ["ORDER_COLS", "csv_rejects", "list_files", "model_report", "prediction_text", "read_csv_union", "read_header",
            "read_relation", "read_stage", "write_predictions", "write_profile", "write_report",
            "write_stage"]

@@ -10,6 +10,7 @@ can restore file order without a global sort at read time.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -32,7 +33,7 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def read_header(spark: SparkSession, file: str, sep: str = ",") -> tuple[str, ...]:
-    """First line of a file, split on ``sep`` (quotes and surrounding spaces removed)."""
+    """First line of a file as a CSV row (RFC 4180 quotes; surrounding spaces removed)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(file)
@@ -43,34 +44,48 @@ def read_header(spark: SparkSession, file: str, sep: str = ",") -> tuple[str, ..
     finally:
         stream.close()
     line = line.lstrip("﻿")
-    return tuple(h.strip().strip('"') for h in line.split(sep))
+    return tuple(h.strip() for h in next(csv.reader([line], delimiter=sep), [""]))
 
 
-def read_csv_union(spark: SparkSession, pattern: str | Sequence[str], columns: Sequence[str] | None = None,
-                   on_error: str = "fail", sep: str = ",", keep_extra: Sequence[str] = ()) -> DataFrame:
-    """All-string frame of every file matching ``pattern`` (or the listed files).
+def _reader(spark: SparkSession, schema: StructType, sep: str, mode: str, multiline: bool):
+    """RFC 4180: quotes inside a quoted field are doubled, so the escape is the quote itself."""
+    return (spark.read.schema(schema).option("header", True).option("sep", sep).option("mode", mode)
+            .option("quote", '"').option("escape", '"').option("multiLine", multiline)
+            .option("columnPruning", False).option("enforceSchema", True))
 
-    ``on_error="fail"``: a malformed row fails the job (FAILFAST). ``"drop"``: malformed rows are
-    dropped (DROPMALFORMED). Column pruning inside the CSV parser is switched off so the check
-    also happens for ``count()`` and narrow selections. ``columns`` selects (and orders) the
-    output; a column absent from every file is NULL. Adds ORDER_COLS.
-    """
+
+def _by_header(spark: SparkSession, pattern: str | Sequence[str], sep: str) -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by their header, in listing order. Header reads are a few bytes each and go
+    out concurrently (object stores have per-request latency)."""
     files = list_files(spark, pattern) if isinstance(pattern, str) else list(pattern)
     if not files:
         raise FileNotFoundError(f"no file matches {pattern}")
-    mode = {"fail": "FAILFAST", "drop": "DROPMALFORMED"}[on_error]
-    # Header reads are a few bytes each; issue them concurrently (object stores have per-request
-    # latency) and group files by header in listing order.
     with ThreadPoolExecutor(max_workers=min(32, len(files))) as pool:
         headers = list(pool.map(lambda f: read_header(spark, f, sep), files))
     groups: dict[tuple[str, ...], list[str]] = {}
     for f, h in zip(files, headers):
         groups.setdefault(h, []).append(f)
+    return groups
+
+
+def read_csv_union(spark: SparkSession, pattern: str | Sequence[str], columns: Sequence[str] | None = None,
+                   on_error: str = "fail", sep: str = ",", keep_extra: Sequence[str] = (),
+                   multiline: bool = False) -> DataFrame:
+    """All-string frame of every file matching ``pattern`` (or the listed files).
+
+    ``on_error="fail"``: a malformed row fails the job (FAILFAST). ``"drop"``: malformed rows are
+    dropped (DROPMALFORMED; ``csv_rejects`` lists them). Column pruning inside the CSV parser is
+    switched off so the check also happens for ``count()`` and narrow selections. Quoted fields
+    may hold separators and doubled quotes; line breaks inside quotes need ``multiline=True``,
+    which reads each file in one task. ``columns`` selects (and orders) the output; a column
+    absent from every file is NULL. Adds ORDER_COLS.
+    """
+    mode = {"fail": "FAILFAST", "drop": "DROPMALFORMED"}[on_error]
+    groups = _by_header(spark, pattern, sep)
     frames = []
     for header, members in groups.items():
         schema = StructType([StructField(h, StringType(), True) for h in header])
-        df = (spark.read.schema(schema).option("header", True).option("sep", sep).option("mode", mode)
-              .option("columnPruning", False).option("enforceSchema", True).csv(members))
+        df = _reader(spark, schema, sep, mode, multiline).csv(members)
         frames.append(df.select(*[F.col(f"`{h}`") for h in header],
                                 F.col("_metadata.file_path").alias("_src_file"),
                                 F.col("_metadata.file_block_start").alias("_src_block"),
@@ -82,3 +97,16 @@ def read_csv_union(spark: SparkSession, pattern: str | Sequence[str], columns: S
         extra = [F.col(f"`{c}`") for c in keep_extra if c in have and c not in columns]
         out = out.select(*picked, *extra, *ORDER_COLS)
     return out
+
+
+def csv_rejects(spark: SparkSession, pattern: str | Sequence[str], sep: str = ",", multiline: bool = False) -> DataFrame:
+    """``(file, record)`` of the rows that the tolerant read drops."""
+    frames = []
+    for header, members in _by_header(spark, pattern, sep).items():
+        schema = StructType([*[StructField(h, StringType(), True) for h in header], StructField("_fp_bad", StringType(), True)])
+        df = _reader(spark, schema, sep, "PERMISSIVE", multiline).option("columnNameOfCorruptRecord", "_fp_bad").csv(members)
+        # the reader refuses queries of the corrupt column alone, so the record also names a field
+        none = F.substring(F.coalesce(F.col(f"`{header[0]}`"), F.lit("")), 1, 0)
+        frames.append(df.select(F.col("_metadata.file_path").alias("file"), F.concat(none, F.col("_fp_bad")).alias("record"))
+                      .where("record IS NOT NULL"))
+    return reduce(DataFrame.unionByName, frames)

@@ -4,10 +4,10 @@
 * dict of columns ``{"movie": {idx: k}, "director": {idx: m}}``
 * JSON Lines, one record per line (the shape that splits across tasks)
 
-``read_relation`` dispatches on the first non-blank character of each file (``[`` records,
-``{`` columns) and fails the reading job for anything else (checked in the same pass); ``shape="lines"`` reads JSON
-Lines with the ordinary splittable JSON reader. A whole-file JSON document is parsed by the one
-task that reads the file: that is a limit of the format, not of the reader.
+``read_relation`` tells the shapes apart per file and fails the reading job, naming the file, for
+malformed JSON, any other top-level type and unknown headers. ``shape="lines"`` reads JSON Lines
+row by row, so files split across tasks; every other shape is one document per file, parsed by
+the task that reads it: a limit of the format, not of the reader.
 """
 
 from __future__ import annotations
@@ -18,45 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurepipe.config import NULL_SENTINELS
-from featurepipe.operators.relations import (
-    clean_relation, relation_from_column_docs, relation_from_record_docs,
-)
+from featurepipe.operators.relations import relation_from_docs
 
 
 def read_relation(spark: SparkSession, path: str | Sequence[str], key_aliases: Sequence[str],
                   member_aliases: Sequence[str], key: str = "key", member: str = "member",
                   sentinels: Sequence[str] = NULL_SENTINELS, shape: str = "auto") -> DataFrame:
-    """Clean, distinct (key, member) pairs from relation file(s)."""
-    if shape == "lines":
-        recs = spark.read.option("primitivesAsString", True).json(path)
-        heads = recs.columns
-        k = _last_alias(heads, key_aliases)
-        m = _last_alias(heads, member_aliases)
-        if k is None or m is None:
-            raise ValueError(f"relation records unrecognised. Keys found: {heads}")
-        return clean_relation(recs.select(F.col(f"`{k}`").alias(key), F.col(f"`{m}`").alias(member)),
-                              key, member, sentinels)
-    docs = spark.read.text(path, wholetext=True).select(
+    """Clean, distinct (key, member) pairs from relation file(s), each read once.
+
+    With ``shape="lines"`` a line with neither a key nor a member header fails the job; no schema
+    inference pass is made.
+    """
+    docs = spark.read.text(path, wholetext=shape != "lines").select(
         F.col("value").alias("json"), F.col("_metadata.file_path").alias("file"))
-    lead = F.substring(F.regexp_replace("json", r"^\s+", ""), 1, 1)
-    # A5, checked inside the reading pass: any other top-level type fails the job.
-    docs = docs.withColumn("_lead", F.when(lead.isin("[", "{"), lead).otherwise(F.raise_error(F.concat(
-        F.col("file"), F.lit(": unexpected top-level JSON type (expected a list or a dict)")))).cast("string"))
-    cols = docs.where(F.col("_lead") == "{")
-    recs = docs.where(F.col("_lead") == "[")
-    parts = []
-    if shape in ("auto", "columns"):
-        parts.append(relation_from_column_docs(cols, "json", key_aliases, member_aliases, key, member,
-                                               sentinels))
-    if shape in ("auto", "records"):
-        parts.append(relation_from_record_docs(recs, "json", key_aliases, member_aliases, key, member,
-                                               sentinels))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.dropDuplicates() if len(parts) > 1 else out
-
-
-def _last_alias(heads: Sequence[str], aliases: Sequence[str]) -> str | None:
-    hits = [h for h in heads if h.strip().lower() in aliases]
-    return hits[-1] if hits else None
+    return relation_from_docs(docs, "json", key_aliases, member_aliases, key, member, sentinels, shape, "file")

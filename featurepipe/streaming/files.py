@@ -9,9 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from featurepipe.config import DEFAULT, PipelineConfig
-from featurepipe.operators.cleaning import cast_ranges, map_label, repair_swap, strip_accents_cols
 from featurepipe.operators.features import add_word_count, flag_differs, flag_matches, flag_threshold
-from featurepipe.plans.silver import bronze_clean
+from featurepipe.plans.silver import bronze_clean, clean_values
 from featurepipe.session import checkpoint_dir
 
 
@@ -19,18 +18,12 @@ def clean_stream(spark: SparkSession, src_dir: str, columns: list[str], cfg: Pip
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming frame of cleaned rows from CSV files (header, all strings) arriving in ``src_dir``."""
     schema = StructType([StructField(c, StringType(), True) for c in columns])
-    reader = spark.readStream.schema(schema).option("header", True)
+    reader = spark.readStream.schema(schema).option("header", True).option("escape", '"')
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(src_dir)
     out = bronze_clean(raw, cfg)
-    out = strip_accents_cols(out, [cfg.title])
-    out = repair_swap(out, cfg.start_year, cfg.end_year, cfg.year_min, cfg.year_max)
-    out = cast_ranges(out, {cfg.start_year: (cfg.year_min, cfg.year_max),
-                            cfg.end_year: (cfg.year_min, cfg.year_max),
-                            cfg.runtime: (cfg.runtime_min, cfg.runtime_max),
-                            cfg.votes: (cfg.votes_min, None)})
-    out = map_label(out, cfg.label)
+    out = clean_values(out, cfg)
     out = flag_threshold(out, cfg.runtime, "is_long_film", ">", cfg.long_min)
     out = flag_threshold(out, cfg.start_year, "is_old_film", "<", cfg.old_year)
     out = flag_threshold(out, cfg.votes, "is_blockbuster", ">", cfg.blockbuster_votes)

@@ -6,7 +6,7 @@ from featurepipe.operators import (
     add_bucket, add_length, add_log, before_after, cast_range, changed_rows, default_flags, drop_if_present,
     flag_differs, flag_threshold, gold_projection, map_label, repair_swap, select_features,
 )
-from featurepipe.session import broadcast_if_small, spread
+from featurepipe.session import broadcast_if_small
 
 
 def test_repair_swap_text_and_numeric(spark):
@@ -60,15 +60,13 @@ def test_features_and_flags(spark):
 def test_changed_rows_before_after(spark):
     df = spark.createDataFrame([(1, "Ábc"), (2, "abc"), (3, "Zé"), (4, "Zé"), (5, None)], "id int, t string")
     assert sorted(r.id for r in changed_rows(df, "t").collect()) == [1, 3, 4]
+    num = spark.createDataFrame([(1.0,), (0.0,), (2.0,), (None,)], "label double")
+    assert [r.label for r in map_label(num).collect()] == [1, 0, None, None]
     ba = [tuple(r) for r in before_after(df, "t", 2, tiebreak=["id"], keep=["id"]).collect()]
-    assert ba == [(1, "Ábc", "Abc"), (4, "Zé", "Ze")]   # code-point order: U+00C1 > "Z"; tie by id desc
+    assert ba == [(4, "Zé", "Ze"), (1, "Ábc", "Abc")]   # the two largest by code point (tie by id), ascending
 
 
-def test_spread_and_broadcast_if_small(spark):
-    one = spark.range(100).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(100).repartition(spark.sparkContext.defaultParallelism)
-    assert spread(many) is many
+def test_broadcast_if_small(spark):
     small = spark.createDataFrame([(1,)], "k int")
     plan = spark.range(10).join(broadcast_if_small(small), F.col("id") == F.col("k"))._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan

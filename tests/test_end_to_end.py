@@ -45,7 +45,10 @@ def test_build_and_train_from_files(spark, tmp_dir):
     st = run_build(spark, raw, out, fmt="parquet")
     counts = {r.split: r["count"] for r in st.gold.groupBy("split").count().collect()}
     assert counts == {"train": 45, "val": 10, "test": 8}
-    gold = spark.read.parquet(os.path.join(out, "processed"))
+    gold = spark.read.option("mergeSchema", True).parquet(os.path.join(out, "processed"))
+    hidden = spark.read.parquet(os.path.join(out, "processed", "split=val"))
+    assert "label" not in hidden.columns and len(hidden.columns) + 1 == len(spark.read.parquet(
+        os.path.join(out, "processed", "split=train")).columns)
     tr = {r.tconst: r for r in gold.where(F.col("split") == "train").collect()}
     assert tr["tt5"].startYear == 1905.0                 # swapped year repaired
     assert tr["tt1"].primaryTitle == "Title 1"           # accents stripped
@@ -56,6 +59,7 @@ def test_build_and_train_from_files(spark, tmp_dir):
     assert tr["tt1"]._row_id == 0 and tr["tt31"]._row_id == 15 and tr["tt16"]._row_id == 30
     prof = spark.read.option("header", True).csv(os.path.join(out, "profiles", "processed"))
     assert prof.where((F.col("column") == "label") & (F.col("split") == "gold_train")).count() == 1
+    assert prof.where((F.col("column") == "label") & (F.col("split") != "gold_train")).count() == 0
     assert {r.split for r in prof.select("split").distinct().collect()} == {"gold_train", "gold_val", "gold_test"}
     assert prof.where((F.col("split") == "gold_val") & (F.col("column") == "tconst")).first().n_rows == "10"
     res = run_train(spark, os.path.join(out, "processed"), os.path.join(out, "model"),

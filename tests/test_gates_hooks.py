@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from featurepipe.config import DEFAULT
-from featurepipe.operators import GateError, HookRegistry, default_hooks, gate_report, run_all_gates
+from featurepipe.operators import GateError, HookRegistry, default_hooks, enforce, first_failure, gate_report, run_all_gates
 
 
 def _frame(spark, rows):
@@ -24,7 +24,17 @@ def test_gates_fire_in_order(spark):
     nulls = _frame(spark, [(None, "A", 1990.0, 1.0, 1.0, None, "test"), (None, "B", 1990.0, 1.0, 1.0, None, "test")])
     rep = {r.gate: r.violations for r in gate_report(nulls, "", DEFAULT.required, "tconst", "label", "startYear",
                                                      1880, 2030, split_col="split").collect()}
-    assert rep["key_not_null"] == 2 and rep["key_unique"] == 1 and rep["label_values"] is None
+    assert rep["key_not_null"] == 2 and rep["key_unique"] == 1 and rep["label_values"] == 2
+    rep = {r.gate: r.violations for r in gate_report(nulls, "", DEFAULT.required, "tconst", "label", "startYear",
+                                                     1880, 2030, split_col="split", unlabelled=["test"]).collect()}
+    assert rep["label_values"] is None
+    train = _frame(spark, [(f"t{i}", "A", 1990.0, 1.0, 1.0, None, "train") for i in range(3)])
+    with pytest.raises(GateError, match="label_values.*None: 3"):      # labels that all failed to map
+        run_all_gates(train, "", DEFAULT.required, "tconst", "label", "startYear", 1880, 2030, split_col="split", unlabelled=["val"])
+    many = _frame(spark, [(f"t{i}", "A", 1990.0, 1.0, 1.0, 2 + i, "train") for i in range(30)])
+    with pytest.raises(GateError, match="and 25 more"):
+        enforce(gate_report(many, "train", DEFAULT.required, "tconst", "label", "startYear", 1880, 2030), many, "label", shown=5)
+    assert first_failure(gate_report(dup, "train", DEFAULT.required, "tconst", "label", "startYear", 1880, 2030)).first().gate == "key_unique"
 
 
 def test_hooks_order_and_audit(spark):
@@ -33,7 +43,7 @@ def test_hooks_order_and_audit(spark):
          ("t3", "A  B", "X", "1990", None, 700.0, 10.0)],
         "tconst string, primaryTitle string, originalTitle string, startYear string, endYear string, "
         "runtimeMinutes double, numVotes double")
-    reg = default_hooks(DEFAULT, count_rows=True)
+    reg = default_hooks(DEFAULT)
     out = reg.apply(df, "train")
     rows = {r.tconst: r for r in out.collect()}
     assert "endYear" not in out.columns
@@ -55,3 +65,4 @@ def test_hooks_order_and_audit(spark):
     custom = HookRegistry()
     custom.register(lambda d: d.where(F.col("tconst") != "t2"), name="drop_t2")
     assert custom.apply(df).count() == 2
+    assert [(r.hook, r.rows_dropped) for r in custom.audit(spark).collect()] == [("drop_t2", 1)]

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 
 from featurepipe.operators.model import (
     ExactMedianImputer, ModelSettings, PopulationScaler, fit_preprocess, stratified_folds,
@@ -34,6 +36,12 @@ def test_stratified_folds_match_reference_algorithm(spark):
         assert [got[i * 3 + 1] for i in range(n)] == _sk_stratified(y, 5)
 
 
+def test_null_labels_fail_the_fold_assignment(spark):
+    df = spark.createDataFrame([(1, 0), (2, None)], "pos long, label int")
+    with pytest.raises(Exception, match="NULL in label"):
+        stratified_folds(df, "label", ["pos"], 2).collect()
+
+
 def test_imputer_and_population_scaler(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (None,), (10.0,), (11.0,)], "x double")
     m = ExactMedianImputer(inputCols=["x"]).fit(df)

@@ -32,5 +32,5 @@ def test_dedup_first_keeps_first_and_handles_hot_key(spark):
 def test_top_k_and_head(spark):
     df = spark.createDataFrame([(i, f"t{i % 17:02d}") for i in range(100)], "id long, t string")
     top = [(r.t, r.id) for r in top_k(df, "t", 5, ["id"]).collect()]
-    assert top == sorted([(f"t{i % 17:02d}", i) for i in range(100)], reverse=True)[:5]
+    assert top == sorted([(f"t{i % 17:02d}", i) for i in range(100)])[-5:]      # the largest, ascending
     assert [r.id for r in head(df, 3, ["t", "id"]).collect()] == [0, 17, 34]

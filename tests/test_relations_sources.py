@@ -1,12 +1,14 @@
+import csv
 import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from featurepipe.config import DIRECTOR_ALIASES, KEY_ALIASES, NULL_SENTINELS, WRITER_ALIASES
 from featurepipe.operators import clean_relation, count_members, join_counts, relation_summary
 from featurepipe.sources import (
-    model_report, read_csv_union, read_relation, read_stage, write_predictions, write_report, write_stage,
+    csv_rejects, model_report, read_csv_union, read_relation, read_stage, write_predictions, write_report, write_stage,
 )
 
 
@@ -54,6 +56,64 @@ def test_read_relation_rejects_bad_shapes(spark, tmp_dir):
         read_relation(spark, num, KEY_ALIASES, DIRECTOR_ALIASES).collect()
 
 
+BROKEN = {
+    "records with unknown headers": ('[{"film": "t1", "person": "n1"}]', "auto", "Keys found: film, person"),
+    "truncated list": ('[{"movie": "t1", "director": "n1"}, {"movie": "t2", "dir', "auto", "(?i)malformed"),
+    "truncated dict": ('{"movie": {"0": "t1"}, "director": {"0": "n1"', "auto", "(?i)malformed"),
+    "records asked of a dict": ('{"movie": {"0": "t1"}, "director": {"0": "n1"}}', "records", "found shape columns, expected records"),
+    "columns asked of a list": ('[{"movie": "t1", "director": "n1"}]', "columns", "found shape records, expected columns"),
+    "a malformed line": ('{"movie": "t1", "director": "n1"}\n{"movie": "t2"', "lines", "(?i)malformed"),
+    "a line with unknown headers": ('{"film": "t1"}', "lines", "Keys found: film"),
+}
+
+
+@pytest.mark.parametrize("case", BROKEN)
+def test_unreadable_relations_fail_loudly(spark, tmp_dir, case):
+    text, shape, message = BROKEN[case]
+    path = os.path.join(tmp_dir, "broken.json")
+    _write(path, text)
+    with pytest.raises(Exception, match=message):
+        read_relation(spark, path, KEY_ALIASES, DIRECTOR_ALIASES, shape=shape).collect()
+
+
+def test_auto_shape_reads_lines_and_blank_files(spark, tmp_dir):
+    recs = [{"movie": f"t{i}", "director": 'a "quoted" } name'} for i in range(3)]
+    for name, text in {"lines": "\n".join(map(json.dumps, recs)) + "\n", "one": json.dumps(recs[0]), "blank": " \n",
+                       "crlf": "\r\n".join(map(json.dumps, recs)), "pretty": json.dumps(recs, indent=1), "none": "[]", "nix": "{}"}.items():
+        path = os.path.join(tmp_dir, name + ".json")
+        _write(path, text)
+        if name == "nix":
+            with pytest.raises(Exception, match="Keys found"):
+                read_relation(spark, path, KEY_ALIASES, DIRECTOR_ALIASES).collect()
+            continue
+        got = sorted(r.key for r in read_relation(spark, path, KEY_ALIASES, DIRECTOR_ALIASES).collect())
+        assert got == {"one": ["t0"], "blank": [], "none": []}.get(name, ["t0", "t1", "t2"]), name
+
+
+def test_rfc_4180_quotes_survive_both_reads_and_stages(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "q.csv")
+    _write(path, 'id,"the, title",n\n1,"Say ""A, B"" now",6\n2,plain,7\n')
+    for on_error in ("fail", "drop"):
+        rows = read_csv_union(spark, path, on_error=on_error).orderBy("id").collect()
+        assert [(r["the, title"], r.n) for r in rows] == [('Say "A, B" now', "6"), ("plain", "7")]
+    _write(path, 'id,title\n1,"two\nlines"\n2,"x\\N"\n')
+    rows = read_csv_union(spark, path, multiline=True).orderBy("id").collect()
+    assert [r.title for r in rows] == ["two\nlines", "x\\N"]
+    stage = os.path.join(tmp_dir, "stage")
+    df = read_csv_union(spark, path, multiline=True).select("id", F.concat("title", F.lit(' "q", z')).alias("title")).where("id = 2")
+    write_stage(df, stage, "csv")
+    with open(next(os.path.join(stage, f) for f in os.listdir(stage) if f.endswith(".csv"))) as f:
+        assert list(csv.DictReader(f)) == [{"id": "2", "title": 'x\\N "q", z'}]
+    assert read_stage(spark, stage, "csv", schema="id string, title string").first().title == 'x\\N "q", z'
+
+
+def test_rejected_rows_are_listed(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "r.csv")
+    _write(path, "a,b\n1,2\n3,4,5,6\n7,8\n9\n")
+    assert sorted(r.record for r in csv_rejects(spark, path).collect()) == ["3,4,5,6", "9"]
+    assert read_csv_union(spark, path, on_error="drop").count() == 2
+
+
 def test_csv_union_by_name_and_errors(spark, tmp_dir):
     d = os.path.join(tmp_dir, "raw")
     os.makedirs(d)

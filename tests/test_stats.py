@@ -2,6 +2,7 @@ import random
 import statistics
 
 
+from featurepipe.operators.stats import group_medians
 from featurepipe.operators import coverage, exact_median, impute_median, label_summary, profile
 
 
@@ -32,6 +33,31 @@ def test_impute_median_by_group_and_all_null_group(spark):
     assert got == sorted([("a", 1.0), ("a", 6.0), ("a", 10.0), ("a", 2.0), ("a", 11.0), ("b", None), ("b", None)])
 
 
+def test_null_group_is_a_group_on_both_ways(spark):
+    rows = [(g, float(i)) for i, g in enumerate(["a", None] * 20)] + [(None, None), ("a", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    want = {"a": 19.0, None: 20.0}
+    for cap in (10**6, 5):
+        assert {r.g: r.median for r in exact_median(df, "x", ["g"], cap=cap, grid=10, accuracy=100).collect()} == want
+    filled = impute_median(df, "x", ["g"])
+    assert sorted(r.x for r in filled.where("g IS NULL").collect())[10] == 20.0 and filled.where("x IS NULL").count() == 0
+
+
+def test_group_medians_in_one_pass(spark):
+    df = spark.createDataFrame([("a", 1.0, 5), ("a", 3.0, None), ("b", None, 7)], "g string, x double, y int")
+    med = group_medians(df, ["x", "y", "absent"], ["g"])
+    assert {(r.g, r.feature): r.median for r in med.collect()} == {("a", "x"): 2.0, ("a", "y"): 5.0, ("b", "y"): 7.0}
+    out = impute_median(df, "y", ["g"], medians=med)
+    assert sorted(r.y for r in out.collect()) == [5.0, 5.0, 7.0]
+
+
+def test_empty_frames(spark):
+    df = spark.createDataFrame([], "k long, s string")
+    assert [(r.column, r.n_rows, r.n_missing, r.pct_missing, r.n_unique, r.dtype) for r in profile(df, "t").orderBy("ordinal").collect()] == [
+        ("k", 0, 0, 0.0, 0, "bigint"), ("s", 0, 0, 0.0, 0, "string")]
+    assert [(r.column, r.pct_available) for r in coverage(df, ["k"]).collect()] == [("k", 0.0)]
+
+
 def test_profile_counts(spark):
     rows = [(1, "x", 1.0), (2, None, float("nan")), (3, "x", None), (3, "y", 2.0)]
     df = spark.createDataFrame(rows, "k long, s string, d double")
