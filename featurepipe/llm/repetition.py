@@ -29,7 +29,7 @@ class RepetitionRules:
     """Limits of the verdict. Whole numbers, so that borders are exact."""
     min_words: int = 20              # base: fewer words fail
     repeat_percent: int = 30         # base: share of words in repeated 8-word windows
-    covered_percent: int = 25        # method: share of characters inside maximal repeats
+    covered_percent: int = 30        # method: share of characters inside maximal repeats, as of words above
     longest_words: int = 100         # method: words of the longest repeat
 
 

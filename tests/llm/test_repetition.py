@@ -28,7 +28,7 @@ def oracle(text, window=8):
     covered = sum(len(w[p]) for p in hit)
     failed = len(w) < 20 or 100 * len(hit) > 30 * len(w)
     return (len(w), chars, sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(hit), covered,
-            longest, failed, not failed and 100 * covered <= 25 * chars and longest <= 100)
+            longest, failed, not failed and 100 * covered <= 30 * chars and longest <= 100)
 
 
 def got(df):
