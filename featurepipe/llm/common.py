@@ -6,7 +6,9 @@ so a task's memory follows the group size and its longest text, never its partit
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,15 @@ def text_groups(batch: pa.RecordBatch, column: str, limit: int = GROUP_CHARS) ->
         yield batch.slice(start), texts
 
 
+def worker_cache(name: str) -> dict:
+    """A dictionary that the tasks of one Python worker share; it lives as long as the process.
+
+    What it holds must only save work: a new worker starts with an empty one. Users bound it.
+    """
+    held = sys.modules.setdefault("_text_worker_cache", ModuleType("_text_worker_cache"))
+    return held.__dict__.setdefault(name, {})
+
+
 class WordHashes(dict):
     """Word bytes -> signed 64-bit hash, remembered per task up to a bound."""
 

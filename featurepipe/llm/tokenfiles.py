@@ -15,6 +15,7 @@ Only id counts (bounded by the vocabulary) and shard bounds come to the driver.
 from __future__ import annotations
 
 import os
+import struct
 import uuid
 from collections.abc import Iterator
 from itertools import chain
@@ -24,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurepipe.llm.common import list_array, text_groups
+from featurepipe.llm.common import list_array, text_groups, worker_cache
 from featurepipe.session import checkpoint_dir
 
 BLOCK = 256
-_KNOWN = 1 << 20
+_KNOWN = 5 << 18          # words whose ids a worker remembers
 _IDS_AT_ONCE = 2 << 20
 
 
@@ -133,8 +134,8 @@ def _tokenised(tokenizer_file: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        tokenizer, known = Tokenizer.from_file(tokenizer_file), {}
-        end = (end_id,)
+        tokenizer, known = Tokenizer.from_file(tokenizer_file), worker_cache(f"ids of {tokenizer_file}")
+        end = np.array([end_id], kind).tobytes()
         for batch in batches:
             for rows, texts in text_groups(batch, "text"):
                 # the tokenizer drops white space and never joins across it
@@ -144,17 +145,18 @@ def _tokenised(tokenizer_file: str, end_id: int):
                     known.clear()
                     fresh = list(set(chain.from_iterable(words)))
                 coded = tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in fresh], add_special_tokens=False)
-                known.update(zip(fresh, (tuple(e.ids) for e in coded), strict=True))
-                out = []
-                for w in words:
-                    ids = np.fromiter(chain(chain.from_iterable(map(known.__getitem__, w)), end), np.uint32)
-                    out.append(ids.astype("<u2").tobytes() if wide == 2 else ids.astype("<u4").tobytes())
+                pack = struct.Struct
+                for w, e in zip(fresh, coded, strict=True):
+                    ids = e.ids
+                    known[w] = pack(f"<{len(ids)}{letter}").pack(*ids)
+                out = [b"".join(map(known.__getitem__, w)) + end for w in words]
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array(out, pa.binary())], ["doc_id", "ids"])
 
     from tokenizers import Tokenizer
     size = Tokenizer.from_file(tokenizer_file).get_vocab_size(with_added_tokens=True)
     wide = 2 if max(size, end_id + 1) <= 1 << 16 else 4
+    kind, letter = f"<u{wide}", "H" if wide == 2 else "I"
     return run, max(size, end_id + 1), wide
 
 
