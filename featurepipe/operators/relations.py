@@ -49,7 +49,7 @@ def document_shape(text: Column) -> Column:
 
 def relation_from_docs(docs: DataFrame, text_col: str, key_aliases: Sequence[str], member_aliases: Sequence[str],
                        key: str = "key", member: str = "member", sentinels: Sequence[str] = (),
-                       shape: str = "auto", name_col: str | None = None) -> DataFrame:
+                       shape: str = "auto", name_col: str | None = None, whole: bool = True) -> DataFrame:
     """JSON documents of any shape to clean, distinct (key, member) pairs, in one pass.
 
     * columns ``{"movie": {idx: k}, "director": {idx: m}}``: the two maps are aligned on ``idx`` with
@@ -58,8 +58,9 @@ def relation_from_docs(docs: DataFrame, text_col: str, key_aliases: Sequence[str
     * records ``[{"movie": k, "director": m}, ...]``; lines: one such record per line.
 
     The reading job fails for malformed JSON, another top-level type, another shape than the one
-    asked for, and for a document in which no record has a key and a member header (a line of
-    ``shape="lines"``: has either), naming the headers that it has. Blank documents hold no rows.
+    asked for, and for a document in which no record has a key and a member header, naming the
+    headers that it has. With ``whole=False`` documents are parts of a relation (a line, a few
+    records) and may lack one of the two, but not both. Blank documents hold no rows.
     """
     text, found = F.col(text_col), F.col("_fp_shape")
     name = F.col(name_col) if name_col else F.lit("document")
@@ -73,7 +74,7 @@ def relation_from_docs(docs: DataFrame, text_col: str, key_aliases: Sequence[str
             F.try_element_at(r, _pick_alias(heads(r), member_aliases)).alias("member")))
         def has(r):
             k, m = _pick_alias(heads(r), key_aliases).isNotNull(), _pick_alias(heads(r), member_aliases).isNotNull()
-            return k | m if shape == "lines" else k & m     # a line alone may lack one of the two
+            return k & m if whole else k | m
         known = F.exists(recs, has)
         seen = F.array_join(F.array_distinct(F.flatten(F.transform(recs, heads))), ", ")
         return F.when((F.size(recs) > 0) & ~known, F.raise_error(F.concat(
@@ -110,8 +111,8 @@ def relation_from_column_docs(docs: DataFrame, text_col: str, key_aliases: Seque
 def relation_from_record_docs(docs: DataFrame, text_col: str, key_aliases: Sequence[str],
                               member_aliases: Sequence[str], key: str = "key", member: str = "member",
                               sentinels: Sequence[str] = ()) -> DataFrame:
-    """A3 + B17: list-of-records JSON documents only (see ``relation_from_docs``)."""
-    return relation_from_docs(docs, text_col, key_aliases, member_aliases, key, member, sentinels, "records")
+    """A3 + B17: list-of-records JSON documents that together make a relation (see ``relation_from_docs``)."""
+    return relation_from_docs(docs, text_col, key_aliases, member_aliases, key, member, sentinels, "records", whole=False)
 
 
 def count_members(rel: DataFrame, key: str = "key", member: str = "member",

@@ -31,4 +31,5 @@ def read_relation(spark: SparkSession, path: str | Sequence[str], key_aliases: S
     """
     docs = spark.read.text(path, wholetext=shape != "lines").select(
         F.col("value").alias("json"), F.col("_metadata.file_path").alias("file"))
-    return relation_from_docs(docs, "json", key_aliases, member_aliases, key, member, sentinels, shape, "file")
+    return relation_from_docs(docs, "json", key_aliases, member_aliases, key, member, sentinels, shape, "file",
+                              whole=shape != "lines")
