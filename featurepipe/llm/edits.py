@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.llm.common import list_array, text_groups
+from featurepipe.llm.common import list_array, text_groups, worker_cache
 
 SEGMENT = 512
 _SPACE = " \t\n\x0b\x0c\r"
@@ -29,7 +29,7 @@ _BORDER = re.compile(rf"(?<=\S)[{_SPACE}]")
 _CHUNK = re.compile(rf"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 #: white space to the tokenizer's pattern or to Python that chunks are not cut at
 _OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_KNOWN = 1 << 20
+_KNOWN = 1 << 19          # chunks whose counts a worker remembers
 
 
 class TokenCounter:
@@ -71,6 +71,14 @@ def segments(text: str) -> list[str]:
         at = border.start()
 
 
+def _counter(ranks_file: str, pattern: str) -> TokenCounter:
+    """The worker's counter for a vocabulary."""
+    held = worker_cache("token counters")
+    if (ranks_file, pattern) not in held:
+        held[ranks_file, pattern] = TokenCounter(ranks_file, pattern)
+    return held[ranks_file, pattern]
+
+
 class SegmentTree:
     """Sums of characters and tokens over segments, as two heaps (root at 1, leaves from ``size``)."""
 
@@ -154,6 +162,23 @@ class EditedText:
         return right in _SPACE and not left.isspace()
 
 
+def _tree(text: str | None, count: TokenCounter) -> SegmentTree:
+    parts = segments(text or "")
+    return SegmentTree.build([len(p) for p in parts], [count(p) for p in parts])
+
+
+def _edited(text: str | None, tree: SegmentTree, edits: list[dict], count: TokenCounter) -> tuple[str, int]:
+    """The text after its edits, and how many characters were encoded again; the tree is updated."""
+    text, at, parts = text or "", 0, []
+    for n in tree.chars[tree.size:].tolist():
+        parts.append(text[at: at + n])
+        at += n
+    held = EditedText(parts, tree, count)
+    for e in edits:
+        held.edit(e["start"] or 0, e["end"] or 0, e["new"] or "")
+    return "".join(held.parts), held.encoded
+
+
 _TREE = "tree_chars array<long>, tree_tokens array<long>"
 _EDIT = "array<struct<start: long, end: long, new: string>>"
 
@@ -171,13 +196,10 @@ def count_tokens(docs: DataFrame, ranks_file: str, pattern: str, *, text_col: st
     base = docs.drop("n_tokens", "tree_chars", "tree_tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = TokenCounter(ranks_file, pattern)
+        count = _counter(ranks_file, pattern)
         for batch in batches:
             for rows, texts in text_groups(batch, text_col):
-                trees = []
-                for t in texts:
-                    parts = segments(t or "")
-                    trees.append(SegmentTree.build([len(p) for p in parts], [count(p) for p in parts]))
+                trees = [_tree(t, count) for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.array([int(t.tokens[1]) for t in trees], pa.int64()),
                      list_array([t.chars for t in trees], pa.int64()), list_array([t.tokens for t in trees], pa.int64())],
@@ -209,7 +231,7 @@ def apply_edits(counted: DataFrame, ranks_file: str, pattern: str, *, text_col:
     names = out.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = TokenCounter(ranks_file, pattern)
+        count = _counter(ranks_file, pattern)
         for batch in batches:
             for rows, texts in text_groups(batch, text_col):
                 col = {n: rows.column(rows.schema.get_field_index(n)) for n in rows.schema.names}
@@ -220,15 +242,7 @@ def apply_edits(counted: DataFrame, ranks_file: str, pattern: str, *, text_col:
                     n_edits.append(len(edits or ()))
                     encoded.append(0)
                     if edits:
-                        tree, text, at = SegmentTree(c, t), texts[i] or "", 0
-                        parts = []
-                        for n in c[tree.size:].tolist():
-                            parts.append(text[at: at + n])
-                            at += n
-                        held = EditedText(parts, tree, count)
-                        for e in edits:
-                            held.edit(e["start"] or 0, e["end"] or 0, e["new"] or "")
-                        texts[i], encoded[i] = "".join(held.parts), held.encoded
+                        texts[i], encoded[i] = _edited(texts[i], SegmentTree(c, t), edits, count)
                     chars.append(c)
                     tokens.append(t)
                 col[text_col] = pa.array(texts, rows.schema.field(text_col).type)
@@ -246,18 +260,45 @@ CONTACTS = {"<email>": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "<ip>"
             "<phone>": r"\+?\d{1,2}? ?\(\d{3}\) ?\d{3}-\d{4}"}
 
 
+def _contact_finder():
+    kinds, tags = re.compile("|".join(f"({p})" for p in CONTACTS.values())), list(CONTACTS)
+
+    def find(text: str) -> list[dict]:
+        return [{"start": m.start(), "end": m.end(), "new": tags[m.lastindex - 1]} for m in kinds.finditer(text)][::-1]
+    return find
+
+
+def recount_contacts(docs: DataFrame, ranks_file: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """:func:`count_tokens`, :func:`contact_edits` and :func:`apply_edits` in one pass, so that a task
+    needs one Python worker: ``doc_id, text, n_tokens_before, n_tokens, n_edits, n_encoded``."""
+    base, find = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), _contact_finder()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = _counter(ranks_file, pattern)
+        for batch in batches:
+            for rows, texts in text_groups(batch, "text"):
+                out = []
+                for text in texts:
+                    tree, edits = _tree(text, count), find(text or "")
+                    before = int(tree.tokens[1])
+                    new, encoded = _edited(text, tree, edits, count) if edits else (text, 0)
+                    out.append((new, before, int(tree.tokens[1]), len(edits), encoded))
+                cols = list(zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:])],
+                                                 ["doc_id", "text", "n_tokens_before", "n_tokens", "n_edits", "n_encoded"])
+
+    return base.mapInArrow(run, f"doc_id {base.schema['doc_id'].dataType.simpleString()}, text string, n_tokens_before long, "
+                                "n_tokens long, n_edits long, n_encoded long")
+
+
 def contact_edits(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """``docs`` with ``edits`` that replace e-mail addresses, IP addresses and phone numbers, last one first."""
-    base = docs.drop("edits")
-    kinds = re.compile("|".join(f"({p})" for p in CONTACTS.values()))
-    tags = list(CONTACTS)
+    base, find = docs.drop("edits"), _contact_finder()
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("new", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in text_groups(batch, text_col):
-                found = [[{"start": m.start(), "end": m.end(), "new": tags[m.lastindex - 1]} for m in kinds.finditer(t or "")][::-1]
-                         for t in texts]
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, kind)], [*rows.schema.names, "edits"])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([find(t or "") for t in texts], kind)], [*rows.schema.names, "edits"])
 
     return base.mapInArrow(run, f"{_fields(base)}, edits {_EDIT}")

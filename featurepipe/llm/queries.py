@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from featurepipe.llm.chat import format_chats
 from featurepipe.llm.common import ASCII_LOWER, ASCII_UPPER
 from featurepipe.llm.decontam import contamination
-from featurepipe.llm.edits import apply_edits, contact_edits, count_tokens
+from featurepipe.llm.edits import recount_contacts
 from featurepipe.llm.langid import held_out, predict_language, train_language_id
 from featurepipe.llm.linededup import dedup_lines
 from featurepipe.llm.neardup import near_duplicates
@@ -107,8 +107,7 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents before and after contact data is replaced."""
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    counted = count_tokens(_documents(spark, sf_dir).select("doc_id", "text"), ranks, pattern)
-    edited = apply_edits(contact_edits(counted), ranks, pattern)
+    edited = recount_contacts(_documents(spark, sf_dir), ranks, pattern)
     return edited.select("doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_encoded", F.length("text").cast("long").alias("n_chars"))
 
 

@@ -69,6 +69,9 @@ def test_table_with_contact_edits(spark, count):
     tags = list(E.CONTACTS)
     rows = E.apply_edits(E.contact_edits(E.count_tokens(docs, RANKS, PATTERN)), RANKS, PATTERN).collect()
     texts = {r.doc_id: r.text for r in docs.collect()}
+    fields = ["doc_id", "text", "n_tokens_before", "n_tokens", "n_edits", "n_encoded"]
+    once = E.recount_contacts(docs, RANKS, PATTERN).select(*fields)
+    assert sorted(map(tuple, once.collect())) == sorted(tuple(r[f] for f in fields) for r in rows)
     assert len(rows) == len(texts) and sum(r.n_edits for r in rows) > 10
     for r in rows:
         want = pattern.sub(lambda m: tags[m.lastindex - 1], texts[r.doc_id])
