@@ -5,7 +5,7 @@ merged first, the leftmost of equals; a merge puts the pairs with its new neighb
 agenda. Symbols that end outside the vocabulary become byte pieces. No piece of these
 vocabularies joins a character to a following space mark (the codec verifies this on loading),
 so merges stay inside units of space marks and the characters after them; a unit's ids are
-remembered by the Python worker. Every new unit of an Arrow batch is checked against the sentencepiece
+remembered by the task. Every new unit of an Arrow batch is checked against the sentencepiece
 library, and any difference fails the job.
 """
 
@@ -21,11 +21,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.llm.common import text_groups, worker_cache
+from featurepipe.llm.common import text_groups
 
 SPACE = "▁"
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}]*")
-_BOUND = 1 << 20                                # units that a worker remembers
+_BOUND = 1 << 19                                # units that a task remembers
+_CHARS = 1 << 20                                # characters of text coded at once
 
 
 class PieceCodec:
@@ -186,10 +187,9 @@ def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_c
     one, so null ids, ties and repeated rows need no care. Other columns are not read.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = worker_cache("piece codecs")
-        codec = held.get(model) or held.setdefault(model, PieceCodec(model))
+        codec = PieceCodec(model)
         for batch in batches:
-            for rows, texts in text_groups(batch, "text"):
+            for rows, texts in text_groups(batch, "text", _CHARS):
                 ids = codec.encode(texts, check)
                 ends = pa.array([0, *_sums(map(len, ids))], pa.int32())
                 yield pa.RecordBatch.from_arrays(
