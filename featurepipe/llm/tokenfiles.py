@@ -15,6 +15,7 @@ Only id counts (bounded by the vocabulary) and shard bounds come to the driver.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -29,7 +30,9 @@ from featurepipe.llm.common import list_array, text_groups, worker_cache
 from featurepipe.session import checkpoint_dir
 
 BLOCK = 256
-_KNOWN = 5 << 18          # words whose ids a worker remembers
+_KNOWN = 1 << 20          # words whose ids a worker remembers
+#: Latin-1 letters, composed and with one lower case each, and at most one mark after them
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 _IDS_AT_ONCE = 2 << 20
 
 
@@ -133,8 +136,30 @@ def decode(payloads: list[bytes], sizes: np.ndarray, offsets: list[np.ndarray],
 def _tokenised(tokenizer_file: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         tokenizer, known = Tokenizer.from_file(tokenizer_file), worker_cache(f"ids of {tokenizer_file}")
+        # the same model without the normalizer's and splitter's patterns, for words that they leave alone
+        bare = Tokenizer(tokenizer.model)
+        bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(),
+                                                      pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+
+        def coded(by: Tokenizer, words: list[str]) -> Iterator[bytes]:
+            for e in by.encode_batch_fast(words, add_special_tokens=False):
+                ids = e.ids
+                yield struct.pack(f"<{len(ids)}{letter}", *ids)
+
+        tails = {"": b"", **dict(zip(".,", coded(tokenizer, [".", ","]), strict=True))}
+
+        def learn(fresh: list[bytes], known: dict[bytes, bytes]) -> None:
+            plain, rest = [], []
+            for w in fresh:
+                m = _PLAIN.fullmatch(w.decode("utf-8", "surrogatepass")) if lowers else None
+                plain.append((w, m[1].lower(), m[2])) if m else rest.append(w)
+            cores = [c for c in dict.fromkeys(c for _, c, _ in plain) if c.encode() not in known]
+            known.update(zip((c.encode() for c in cores), coded(bare, cores), strict=True))
+            known.update((w, known[c.encode()] + tails[tail]) for w, c, tail in plain)
+            known.update(zip(rest, coded(tokenizer, [w.decode("utf-8", "surrogatepass") for w in rest]), strict=True))
+
         end = np.array([end_id], kind).tobytes()
         for batch in batches:
             for rows, texts in text_groups(batch, "text"):
@@ -144,11 +169,7 @@ def _tokenised(tokenizer_file: str, end_id: int):
                 if len(known) + len(fresh) > _KNOWN:
                     known.clear()
                     fresh = list(set(chain.from_iterable(words)))
-                coded = tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in fresh], add_special_tokens=False)
-                pack = struct.Struct
-                for w, e in zip(fresh, coded, strict=True):
-                    ids = e.ids
-                    known[w] = pack(f"<{len(ids)}{letter}").pack(*ids)
+                learn(fresh, known)
                 out = [b"".join(map(known.__getitem__, w)) + end for w in words]
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array(out, pa.binary())], ["doc_id", "ids"])
@@ -157,6 +178,11 @@ def _tokenised(tokenizer_file: str, end_id: int):
     size = Tokenizer.from_file(tokenizer_file).get_vocab_size(with_added_tokens=True)
     wide = 2 if max(size, end_id + 1) <= 1 << 16 else 4
     kind, letter = f"<u{wide}", "H" if wide == 2 else "I"
+    # whether the file's tokenizer lower-cases and parts letters from a full stop or comma after them
+    known_form = Tokenizer.from_file(tokenizer_file)
+    lowers = [known_form.encode(x, add_special_tokens=False).ids for x in ("Ärger,", "straße.")] == [
+        known_form.encode("ärger", add_special_tokens=False).ids + known_form.encode(",", add_special_tokens=False).ids,
+        known_form.encode("STRAßE", add_special_tokens=False).ids + known_form.encode(".", add_special_tokens=False).ids]
     return run, max(size, end_id + 1), wide
 
 
