@@ -1,12 +1,14 @@
 """Operator 4: chat formatting by quotation linking, with DataFrame functions only.
 
-Each line's quote level is the number of ``>`` marks that begin it. Runs of lines of one level are
-passages; a passage of level 1 quotes the message that is answered. Passages and their
-single lines are normalised (white space runs to one space, A-Z lower-cased) and hashed, as
-are the whole own text, the paragraphs and the lines of every message. A join on (conversation,
-hash) with earlier turns finds the original: whole passages count before single lines, and the
-latest turn wins. Replies thus form trees; conversations are ordered tree by tree, every reply
-after its original, with quotes removed.
+Each line's quote level is the number of ``>`` marks that begin it; own text has level 0. Runs of
+quoted lines of one level are passages; a passage of level n quotes what the answered message holds
+at level n - 1. Passages and their single lines are normalised (white space runs to one space, A-Z
+lower-cased) and hashed, as are the whole own text of every message and the paragraphs and lines of
+all its levels. A join on (conversation, hash, level) with earlier turns finds the original. The
+level below counts first; where no turn holds a passage there, as when the message between is
+missing, the next lower one does, down to own text. Then the shallowest passages count first, whole
+passages before single lines, and the latest turn wins. Replies thus form trees; conversations are
+ordered tree by tree, every reply after its original, with quotes removed.
 
 Roots are found by pointer jumping, one join per doubling of the longest reply chain, and
 places by a range partitioning, so a conversation of any size never meets in one task.
@@ -51,10 +53,23 @@ def _own_text(lines: Column) -> Column:
     return F.regexp_replace(F.array_join(own, "\n"), r"^(?:[ \t]*\n)+|(?:\n[ \t]*)+$", "")
 
 
-def _passages(lines: Column) -> Column:
-    """Texts of the runs of level 1 lines, lines joined by spaces; deeper lines end a run."""
-    marked = F.array_join(F.transform(lines, lambda x: F.when(x["level"] == 1, F.concat(F.lit("\x02"), x["body"])).otherwise("\x01")), " ")
-    return F.filter(F.transform(F.split(marked, "\x01"), lambda s: F.trim(F.translate(s, "\x02", ""))), lambda s: s != "")
+def _run_starts(lines: Column) -> Column:
+    """0-based places of the lines whose level is not that of the line before."""
+    places = F.sequence(F.lit(0), F.size(lines) - 1)
+    return F.filter(places, lambda i: (i == 0) | (F.get(lines, i)["level"] != F.get(lines, i - 1)["level"]))
+
+
+def _passages(lines: Column, starts: Column) -> Column:
+    """array<struct<level, body>> of the runs of quoted lines of one level, lines kept apart by line ends."""
+    runs = F.transform(starts, lambda s, k: F.slice(lines, s + 1, F.coalesce(F.get(starts, k + 1), F.size(lines)) - s))
+    return F.transform(F.filter(runs, lambda r: F.get(r, F.lit(0))["level"] > 0), lambda r: F.struct(
+        F.get(r, F.lit(0))["level"].alias("level"), F.array_join(F.transform(r, lambda x: x["body"]), "\n").alias("body")))
+
+
+def _units(passages: Column, split: str) -> Column:
+    """array<struct<level, unit>>: the normalised parts of passages."""
+    return F.flatten(F.transform(passages, lambda p: F.transform(F.split(p["body"], split), lambda t: F.struct(
+        p["level"].alias("level"), _normal(t).alias("unit")))))
 
 
 def format_chats(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -62,7 +77,7 @@ def format_chats(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str =
     """``(conv_id, turn, role, text, n_quoted, parent_turn, root_turn, place)`` of every row.
 
     ``text`` is the message without quoted lines, ``n_quoted`` their number, ``parent_turn`` the
-    quoted earlier turn (null if none is found), ``root_turn`` the first of its reply tree and
+    quoted earlier turn (null if none is found at any level), ``root_turn`` the first of its reply tree and
     ``place`` the 0-based position in the conversation's reply order. Null texts are empty.
     Null conversations or turns quote nothing and are ordered first. Rows that repeat a turn stand
     side by side and quote alike only if their texts do. Other columns are not read.
@@ -72,21 +87,29 @@ def format_chats(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str =
     lines = _lines(F.col("said"))
     read = (base.withColumn("lines", lines)
             .select("conv_id", "turn", "role", "said", F.size(F.filter("lines", lambda x: x["level"] > 0)).cast("long").alias("n_quoted"),
-                    _own_text(F.col("lines")).alias("text"), F.when(F.exists("lines", lambda x: x["level"] == 1), F.col("lines")).alias("lines")))
-
-    quoting = read.where("lines IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL")
-    units = F.concat(F.transform(_passages(F.col("lines")), lambda s: F.struct(_normal(s).alias("unit"), F.lit(1).alias("rank"))),
-                     F.transform(F.filter("lines", lambda x: x["level"] == 1), lambda x: F.struct(_normal(x["body"]).alias("unit"), F.lit(0).alias("rank"))))
-    asked = (quoting.select("conv_id", "turn", "said", F.explode(units).alias("q")).where("q.unit != ''")
-             .select("conv_id", F.col("turn").alias("by"), F.xxhash64("said").alias("mark"), _hash(F.col("q.unit")).alias("h"), F.col("q.rank").alias("rank")).distinct())
+                    _own_text(F.col("lines")).alias("text"), F.when(F.exists("lines", lambda x: x["level"] > 0), F.col("lines")).alias("lines")))
+    read = (read.withColumn("starts", _run_starts(F.col("lines")))
+            .select("conv_id", "turn", "role", "said", "n_quoted", "text", _passages(F.col("lines"), F.col("starts")).alias("passages")))
+
+    quoting = read.where("passages IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL")
+    whole = F.transform("passages", lambda p: F.struct(p["level"].alias("level"), _normal(p["body"]).alias("unit"), F.lit(1).alias("rank")))
+    single = F.transform(_units(F.col("passages"), "\n"), lambda u: F.struct(u["level"], u["unit"], F.lit(0).alias("rank")))
+    # one row for each level below: as many as the quote has marks
+    asked = (quoting.select("conv_id", "turn", "said", F.explode(F.concat(whole, single)).alias("q")).where("q.unit != ''")
+             .select("conv_id", F.col("turn").alias("by"), F.xxhash64("said").alias("mark"), _hash(F.col("q.unit")).alias("h"), "q.level", "q.rank")
+             .distinct().withColumn("held", F.explode(F.sequence(F.lit(0), F.col("level") - 1))))
     # originals only of conversations that quote at all
     heard = read.join(asked.select("conv_id").distinct(), "conv_id", "left_semi").where("turn IS NOT NULL")
-    parts = F.array_distinct(F.transform(F.concat(F.array("text"), F.split("text", r"\n[ \t]*\n"), F.split("text", "\n")), _normal))
-    given = (heard.select("conv_id", "turn", F.explode(parts).alias("unit")).where("unit != ''")
-             .select("conv_id", "turn", _hash(F.col("unit")).alias("h")).distinct())
+    own = F.transform(F.concat(F.array("text"), F.split("text", r"\n[ \t]*\n"), F.split("text", "\n")),
+                      lambda t: F.struct(F.lit(0).alias("level"), _normal(t).alias("unit")))
+    quoted = F.concat(F.transform("passages", lambda p: F.struct(p["level"].alias("level"), _normal(p["body"]).alias("unit"))),
+                      _units(F.col("passages"), r"\n[ \t]*\n"), _units(F.col("passages"), "\n"))
+    parts = F.array_distinct(F.when(F.col("passages").isNull(), own).otherwise(F.concat(own, quoted)))
+    given = (heard.select("conv_id", "turn", F.explode(parts).alias("p")).where("p.unit != ''")
+             .select("conv_id", "turn", F.col("p.level").alias("held"), _hash(F.col("p.unit")).alias("h")).distinct())
     # the latest earlier turn of each conversation with this passage; one row of many copies
-    parent = (asked.join(given, ["conv_id", "h"]).where("turn < by").groupBy("conv_id", "by", "mark")
-              .agg(F.max(F.struct("rank", "turn")).alias("best"))
+    best = F.max(F.struct((F.col("held") - F.col("level")).alias("near"), -F.col("level"), "rank", "turn")).alias("best")
+    parent = (asked.join(given, ["conv_id", "h", "held"]).where("turn < by").groupBy("conv_id", "by", "mark").agg(best)
               .select("conv_id", F.col("by").alias("turn"), "mark", F.col("best.turn").alias("parent_turn")))
     parent = materialize(parent, "chat-parents")
 
@@ -99,7 +122,7 @@ def format_chats(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str =
         if not jumped.where("moved").limit(1).count():
             break
 
-    out = (read.withColumn("mark", F.xxhash64("said")).drop("lines", "said")
+    out = (read.withColumn("mark", F.xxhash64("said")).drop("passages", "said")
            .join(parent, ["conv_id", "turn", "mark"], "left").join(up, ["conv_id", "turn"], "left")
            .withColumn("root_turn", F.coalesce("up", "turn")))
     order = ["root_turn", "turn", "mark", F.coalesce("role", F.lit(""))]

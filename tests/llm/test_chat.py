@@ -36,3 +36,19 @@ def test_odd_rows(spark):
     assert out == sorted([(1, None, "", 1, 0), (1, 0, "", 0, 1), (1, 1, "", 0, 2), (1, 2, "x", 0, 3), (1, 2, "x", 0, 4),
                           (None, 0, "y", 1, 0)], key=str)
     assert format_chats(df.limit(0)).collect() == []
+
+
+def test_deeper_quotes_link_too(spark):
+    rows = [(1, 0, "a", "The original\nin two lines"), (1, 1, "b", "> The original\n> in two lines\nFirst reply"),
+            (1, 2, "c", ">> The original\n>> in two lines\nonly deeper quotes"),                 # holds it at level 1: turn 1
+            (1, 3, "d", "> > The original\n> > in two lines\n> First re-ply\naltered above"),    # level 1 unknown: turn 1
+            (1, 4, "e", ">>> in two lines\ndeeper still"),                                       # a level 2 line: turn 3
+            (1, 5, "f", "> made up\n>> First reply\n>>> the ORIGINAL\n>>> in two lines\nmixed"),  # level 3 held by turn 3
+            (1, 6, "g", "> First reply\n>> in two lines\nshallow"),                              # the shallowest match
+            (2, 0, "a", "The original"), (2, 1, "b", ">> The original\nno message between"), (2, 2, "c", ">> elsewhere\nx"),
+            (3, 0, "a", "> p one\n> p two\n>\n> q one\n> q two\nsaid"), (3, 1, "b", ">> q one\n>> q two\nits paragraph")]
+    out = got(format_chats(spark.createDataFrame(rows, SCHEMA).repartition(3)))
+    assert {k: v[2] for k, v in out.items()} == {(1, 0): None, (1, 1): 0, (1, 2): 1, (1, 3): 1, (1, 4): 3, (1, 5): 3, (1, 6): 1,
+                                                 (2, 0): None, (2, 1): 0, (2, 2): None, (3, 0): None, (3, 1): 0}
+    assert {v[3] for k, v in out.items() if k[0] == 1} == {0}
+    assert out[1, 2][:2] == ("only deeper quotes", 2) and out[2, 1][:2] == ("no message between", 1)
