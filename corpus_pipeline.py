@@ -19,6 +19,7 @@ from featurepipe.llm.linededup import dedup_lines
 from featurepipe.llm.neardup import near_duplicates
 from featurepipe.llm.pieces import encode_pieces
 from featurepipe.llm.repetition import keep_unrepetitive
+from featurepipe.operators.ordering import dense_index
 from featurepipe.session import materialize
 
 ORACLE_SQL = None
@@ -44,14 +45,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more.
 
-    The smallest id of a group stays, as one row (of rows that repeat it, the one with the
-    smallest text). Rows with a null id stay.
+    The smallest id of a group stays. Rows that repeat an id and its text are one document and give
+    one row; other texts under the id are documents of their own. Documents with a null id come
+    after all others; those of them without words all stay.
     """
-    kept = near_duplicates(docs, width=5).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.select(F.col("doc_id").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    one = (rows.join(kept, F.col("_id") == F.col("_kept"), "left_semi").groupBy("_id")
-           .agg(F.min_by("_row", F.coalesce("_row.text", F.lit(""))).alias("_row")).select("_row.*"))
-    return one.unionByName(docs.where("doc_id IS NULL"))
+    rows = docs.select(F.col("doc_id").alias("_id"), F.coalesce(F.sha2("text", 256), F.lit("")).alias("_mark"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    held = rows.groupBy("_id").agg(F.min("_mark").alias("low"), F.max("_mark").alias("high"))
+    loose = held.where("_id IS NULL OR low != high").limit(1).count() > 0      # ids that do not name a text
+    keyed, left = rows.select(F.col("_id").alias("_key"), "_row"), docs.limit(0)
+    if loose:
+        blank = F.col("_row.doc_id").isNull() & ~F.coalesce("_row.text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+        left, rows = rows.where(blank).select("_row.*"), rows.where(~blank)
+        keys = dense_index(rows.select("_id", "_mark").distinct(), [F.col("_id").isNull(), "_id", "_mark"], name="_key")
+        keys = keys.select(F.col("_id").alias("_of"), F.col("_mark").alias("_as"), "_key")
+        keyed = rows.join(keys, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_as"))).select("_key", "_row")
+        keyed = materialize(keyed.groupBy("_key").agg(F.any_value("_row").alias("_row")), "near-documents")
+    kept = (near_duplicates(keyed.select("_key", "_row.text"), id_col="_key", width=5)
+            .where("kept").select(F.col("doc_id").alias("_kept")).distinct())
+    one = (keyed.join(kept, F.col("_key") == F.col("_kept"), "left_semi").groupBy("_key")
+           .agg(F.any_value("_row").alias("_row")).select("_row.*"))
+    return one.unionByName(left)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,3 +83,17 @@ def test_stages_take_an_empty_table(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = materialize(stage(spark, docs, SF), f"test-{name}")
         assert docs.count() == 0
+
+
+def test_near_dedup_judges_texts_not_ids(spark):
+    rng = random.Random(2)
+    a, b, c, d = (" ".join(prose(rng, 60, 5000)) for _ in range(4))
+    rows = [(1, a), (1, b), (1, b), (2, b + " end"), (3, c), (3, c + " more"), (None, a), (None, d), (None, d), (None, " "), (None, " "),
+            (4, None), (4, ""), (5, d)]
+    docs = frame(spark, [t for _, t in rows], [i for i, _ in rows]).selectExpr("*", "1 AS _key", "2 AS _id")
+    out = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    third = [t for i, t in got if i == 3]
+    assert len(third) == 1 and third[0] in (c, c + " more")
+    assert [r for r in got if r[0] != 3] == sorted([(1, a), (1, b), (4, None), (4, ""), (5, d), (None, " "), (None, " ")], key=str)
