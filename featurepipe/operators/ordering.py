@@ -106,6 +106,6 @@ def head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 def before_after(df: DataFrame, col: str, k: int = 10, fn: Callable[[Column], Column] = strip_accents,
                  tiebreak: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
     """F8: (dirty, clean) pairs for the k largest values changed by ``fn`` (C2 + F4), ascending."""
-    dirty = df.select(*keep, *[t for t in tiebreak if t not in keep], F.col(col).alias("dirty"), fn(F.col(col)).alias("clean"))
-    changed = dirty.where(~F.col("dirty").eqNullSafe(F.col("clean")))
-    return top_k(changed, "dirty", k, tiebreak).select(*keep, "dirty", "clean")
+    dirty = df.select(*keep, *[t for t in tiebreak if t not in keep], F.col(col).alias("dirty"))
+    top = top_k(dirty.where(~F.col("dirty").eqNullSafe(fn(F.col("dirty")))), "dirty", k, tiebreak)
+    return top.select(*keep, "dirty", fn(F.col("dirty")).alias("clean"))

@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.functions import null_if_sentinel
+from featurepipe.functions import null_if_sentinel, once
 
 _DOC_TYPE_COLUMNS = "map<string,map<string,string>>"
 _DOC_TYPE_RECORDS = "array<map<string,string>>"
@@ -42,7 +42,7 @@ def document_shape(text: Column) -> Column:
     NULL, anything else the empty string. One object per line with no comma between is lines, and
     so is a single object whose first value is not an object."""
     lead = F.regexp_extract(text, r"^\s*(\S)", 1)
-    lines = text.rlike(r"\}[ \t]*[\r\n]+\s*\{") | ~text.rlike(r'^\s*\{\s*(?:"(?:[^"\\]|\\.)*"\s*:\s*\{|\}\s*$)')
+    lines = text.rlike(r"\}[ \t]*[\r\n]+\s*\{") | ~text.rlike(r'^\s*\{\s*(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"\s*:\s*\{|\}\s*$)')
     return (F.when(lead == "", F.lit(None)).when(lead == "[", "records")
             .when((lead == "{") & lines, "lines").when(lead == "{", "columns").otherwise(""))
 
@@ -92,10 +92,11 @@ def relation_from_docs(docs: DataFrame, text_col: str, key_aliases: Sequence[str
     allowed = SHAPES if shape == "auto" else (shape,)
     wrong = F.raise_error(F.concat(name, F.when(found == "", F.lit(": unexpected top-level JSON type, expected shape ")).otherwise(
         F.concat(F.lit(": found shape "), found, F.lit(", expected "))), F.lit(" or ".join(allowed)))).cast(f"array<{pair}>")
+    # each shape's parse is evaluated once for all its uses
     pairs = (F.when(found.isNull(), F.lit(None)).when(~found.isin(*allowed), wrong)
-             .when(found == "columns", of_columns(_parsed(text, _DOC_TYPE_COLUMNS)))
-             .when(found == "records", of_records(_parsed(text, _DOC_TYPE_RECORDS)))
-             .otherwise(of_records(lines)))
+             .when(found == "columns", once(_parsed(text, _DOC_TYPE_COLUMNS), of_columns))
+             .when(found == "records", once(_parsed(text, _DOC_TYPE_RECORDS), of_records))
+             .otherwise(once(lines, of_records)))
     rows = (docs.withColumn("_fp_shape", document_shape(text)).select(F.explode(pairs).alias("_fp_p"))
             .select(F.col("_fp_p.key").alias(key), F.col("_fp_p.member").alias(member)))
     return clean_relation(rows, key, member, sentinels)

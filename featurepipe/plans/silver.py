@@ -1,6 +1,9 @@
 """The silver composite. Strip accents -> repair swapped years -> four lenient casts ->
 label map -> dedup keep-first -> dense row id, for one frame (or each split of it when it carries
 a split column). The row id runs its range partitioning while the stage is composed.
+
+The first four steps are row-local and leave key and order alone, so duplicates go first: each
+kept row is cleaned once, after the shuffle that spreads the rows over all tasks.
 """
 
 from __future__ import annotations
@@ -36,9 +39,8 @@ def silver_clean(df: DataFrame, order: Sequence[str], cfg: PipelineConfig = DEFA
                  split_col: str | None = None, keep_order: bool = False) -> DataFrame:
     """``order`` names unique row-order columns (file position or a natural key); they are
     dropped after the row id is assigned unless ``keep_order``."""
-    out = clean_values(df, cfg)
     parts = [split_col] if split_col else []
-    out = dedup_first(out, [*parts, cfg.key], order)
+    out = clean_values(dedup_first(df, [*parts, cfg.key], order), cfg)
     out = with_row_id(out, order, cfg.row_id, partition_by=parts)
     if not keep_order:
         out = out.drop(*order)

@@ -7,7 +7,7 @@ from featurepipe.operators import profile
 from featurepipe.plans.bindings import ENTITY_ORDER, entity_bronze_raw, entity_relations
 from featurepipe.plans.build import build_frames, split_frames
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 
 
 def test_flagship_invariants(spark):

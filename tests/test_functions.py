@@ -61,3 +61,24 @@ def test_python_whitespace_semantics(spark):
         assert r.w == len(v.split())
         assert r.p == v.strip()
         assert r.d == int(any(ch.isdecimal() for ch in v))
+
+
+def test_strip_accents_equals_python_everywhere(spark):
+    import random
+    import unicodedata
+
+    def expected(t):
+        return "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn")
+
+    points = [chr(cp) for cp in range(1, 0x30000) if not 0xD800 <= cp < 0xE000] + [chr(cp) for cp in range(0xE0000, 0xE0200)]
+    rng = random.Random(3)
+    marks = [c for c in points if unicodedata.combining(c)]
+    odd = [c for c in marks if unicodedata.category(c) != "Mn"]
+    long = [c for c in points if len(unicodedata.normalize("NFD", c)) > 1 and not 0xAC00 <= ord(c) < 0xD7A4]
+    free = [c for c in points if unicodedata.category(c) == "Mn" and not unicodedata.combining(c)]
+    runs = ["".join(rng.choice(rng.choice([marks, odd, odd, long, free, ["a", "é", "한", "\uffff"]])) for _ in range(rng.randrange(1, 12)))
+            for _ in range(10_000)]
+    texts = [c + "x" for c in points] + runs
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    got = dict(df.select("i", strip_accents("t")).collect())
+    assert [(texts[i], got[i]) for i in range(len(texts)) if got[i] != expected(texts[i])] == []

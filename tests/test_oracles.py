@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from featurepipe.plans.bindings import TABLES
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 
 FAST = ["hooks_chain", "strip_accents_turns", "csv_union_files", "csv_tolerant_files", "relation_files", "median_null_group",
         "profile_empty", "compare_stages", "gate_failure", "hook_audit", "stage_round_trip", "cv_scores", "importances",

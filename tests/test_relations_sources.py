@@ -154,3 +154,27 @@ def test_stage_round_trip_and_sinks(spark, tmp_dir):
     write_report(model_report(spark, ["Best model: X", "", "Feature importances:"]), rep)
     text = "".join(open(os.path.join(rep, f)).read() for f in sorted(os.listdir(rep)) if f.startswith("part-"))
     assert text.splitlines() == ["Best model: X", "", "Feature importances:"]
+
+
+def test_long_headers_and_values(spark, tmp_dir):
+    million = 1_000_000
+    path = os.path.join(tmp_dir, "long.json")
+    os.makedirs(path)
+    _write(os.path.join(path, "a.json"), json.dumps({'\\"' * 20_000: {"0": "x"}, "movie": {"0": "t1"}, "director": {"0": "n" * million}}))
+    _write(os.path.join(path, "b.json"), json.dumps([{"movie": "t" * million, "director": "n2"}]))
+    _write(os.path.join(path, "c.json"), json.dumps({"movie": "\\" * million, "director": "n"}))
+    got = sorted((len(k), len(m)) for k, m in read_relation(spark, path, KEY_ALIASES, DIRECTOR_ALIASES).collect())
+    assert got == [(2, million), (million, 1), (million, 2)]
+    # the JSON parser takes names of up to 50,000 characters: a longer one fails the job, not the executor
+    _write(os.path.join(tmp_dir, "name.json"), json.dumps({'\\"' * (million // 2): {"0": "x"}, "movie": {}, "director": {}}))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_relation(spark, os.path.join(tmp_dir, "name.json"), KEY_ALIASES, DIRECTOR_ALIASES).collect()
+    assert spark.range(3).count() == 3
+
+
+def test_each_document_is_parsed_once_a_shape(spark):
+    from featurepipe.operators import relation_from_column_docs, relation_from_record_docs
+    docs = spark.createDataFrame([('[{"movie": "a", "director": "b"}]',)], "json string")
+    for read in (relation_from_column_docs, relation_from_record_docs):
+        plan = read(docs, "json", KEY_ALIASES, DIRECTOR_ALIASES)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") <= 3                     # one for each of the three shapes
