@@ -20,11 +20,14 @@ from featurepipe.llm.decontam import contamination
 from featurepipe.llm.edits import recount_contacts
 from featurepipe.llm.langid import held_out, predict_language, train_language_id
 from featurepipe.llm.linededup import dedup_lines
+from featurepipe.llm.maintext import extract_text, train_extractor
 from featurepipe.llm.neardup import near_duplicates
+from featurepipe.llm.periodic import collapse_runs
 from featurepipe.llm.pieces import encode_pieces
 from featurepipe.llm.repetition import RepetitionRules, repetition_report
 from featurepipe.llm.tokenfiles import read_token_files, write_token_files
 from featurepipe.llm.urlfilter import filter_urls
+from featurepipe.llm.variants import group_variants, word_counts
 from featurepipe.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -234,3 +237,26 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@_query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of all documents, one of ten made periodic, and their texts without the repeats."""
+    found = collapse_runs(_documents(spark, sf_dir), plant=True)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("doc_id", "n_runs", "start", "length", "period",
+                        F.expr("(1000 * length) DIV period").alias("exponent_milli"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
+
+
+@_query("op12_main_text")
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by a labeller trained on a bounded sample of the pages."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return extract_text(pages, train_extractor(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@_query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their more frequent spelling and the root of its chain."""
+    return group_variants(word_counts(_documents(spark, sf_dir), plant=97))
