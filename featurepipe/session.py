@@ -11,6 +11,7 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,30 +60,69 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _MATERIALIZED: dict[str, list[str]] = {}
 
 
+def _delete(spark: SparkSession, paths: Iterable[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+
+
+def keep_until_release(spark: SparkSession, path: str) -> None:
+    """Count the folder ``path`` among the intermediates: it goes with them, at the latest when the
+    application ends."""
+    _MATERIALIZED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hp)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and return the re-read frame.
 
     Cuts lineage (a lost executor re-reads files instead of recomputing a non-deterministic
-    shuffle) and lets later passes read only the columns they need.
+    shuffle) and lets later passes read only the columns they need. The folder is an intermediate:
+    see ``release_materialized`` and ``only_result``.
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     path = os.path.join(base, "featurepipe", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    _MATERIALIZED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    keep_until_release(spark, path)
     return spark.read.parquet(path)
 
 
-def release_materialized(spark: SparkSession) -> int:
-    """Delete this application's materialized intermediates (call once every frame built on them
-    has been written). Returns the number of folders removed."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    paths = _MATERIALIZED.pop(spark.sparkContext.applicationId, [])
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(conf).delete(hp, True)
-    return len(paths)
+def release_materialized(spark: SparkSession, since: int = 0, keep: Sequence[str] = ()) -> int:
+    """Delete this application's intermediates (call once every frame built on them has been
+    written), of those made after the first ``since`` and without the folders ``keep``. Returns the
+    number of folders removed."""
+    held = _MATERIALIZED.get(spark.sparkContext.applicationId, [])
+    gone = [p for p in held[since:] if p not in keep]
+    held[since:] = [p for p in held[since:] if p in keep]
+    _delete(spark, gone)
+    return len(gone)
+
+
+def intermediates(spark: SparkSession) -> int:
+    """Number of intermediate folders at present: the mark that ``release_materialized`` takes."""
+    return len(_MATERIALIZED.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete one intermediate folder."""
+    _MATERIALIZED[spark.sparkContext.applicationId].remove(path)
+    _delete(spark, [path])
+
+
+def newest(spark: SparkSession) -> str:
+    """The intermediate folder made last."""
+    return _MATERIALIZED[spark.sparkContext.applicationId][-1]
+
+
+def only_result(spark: SparkSession, build: Callable[[], DataFrame], name: str = "result") -> DataFrame:
+    """The frame of ``build()``, written and read again, with all intermediates that it made deleted."""
+    mark = intermediates(spark)
+    out = materialize(build(), name)
+    release_materialized(spark, mark, keep=[newest(spark)])
+    return out
 
 
 def stable(df: DataFrame) -> DataFrame:
