@@ -29,7 +29,7 @@ _BORDER = re.compile(rf"(?<=\S)[{_SPACE}]")
 _CHUNK = re.compile(rf"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 #: white space to the tokenizer's pattern or to Python that chunks are not cut at
 _OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_KNOWN = 1 << 19          # chunks whose counts a worker remembers
+_HELD = 96 << 20          # bytes of chunks whose counts a worker remembers
 
 
 class TokenCounter:
@@ -41,6 +41,7 @@ class TokenCounter:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.known: dict[str, int] = {}
+        self.held = 0
 
     def whole(self, text: str) -> int:
         return len(self.encoding.encode_ordinary(text))
@@ -53,8 +54,10 @@ class TokenCounter:
         for chunk in _CHUNK.findall(text):
             n = known.get(chunk)
             if n is None:
-                if len(known) >= _KNOWN:
+                self.held += 160 + len(chunk)
+                if self.held > _HELD:
                     known.clear()
+                    self.held = 160 + len(chunk)
                 n = known[chunk] = self.whole(chunk)
             total += n
         return total

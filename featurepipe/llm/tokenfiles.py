@@ -15,8 +15,6 @@ Only id counts (bounded by the vocabulary) and shard bounds come to the driver.
 from __future__ import annotations
 
 import os
-import re
-import struct
 import uuid
 from collections.abc import Iterator
 from itertools import chain
@@ -26,13 +24,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurepipe.llm.common import list_array, text_groups, worker_cache
-from featurepipe.session import checkpoint_dir
+from featurepipe.llm.common import Remembered, byte_slices, closed, in_order, list_array, looked_up, text_groups, worker_cache
+from featurepipe.session import checkpoint_dir, keep_until_release
 
 BLOCK = 256
-_KNOWN = 1 << 20          # words whose ids a worker remembers
-#: Latin-1 letters, composed and with one lower case each, and at most one mark after them
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+_HELD = 192 << 20         # bytes of words and their ids that a worker remembers
+_TOGETHER = 128           # words in one call of the library
+# lower-case Latin-1 letters, and marks that the tokenizer parts from letters before them
+_LETTERS = bytes([*range(97, 123), *(c for c in range(0xDF, 0x100) if c != 0xF7)])
+_MARKS = b".,;:!?*#%&$|"
+_LOWER = bytes(ord(chr(c).lower()) for c in range(256))
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_LETTER, _MARK = (np.isin(np.arange(256), list(x)) for x in (_LETTERS, _MARKS))
 _IDS_AT_ONCE = 2 << 20
 
 
@@ -133,68 +136,126 @@ def decode(payloads: list[bytes], sizes: np.ndarray, offsets: list[np.ndarray],
 
 # ---------------------------------------------------------------- tokenising
 
-def _tokenised(tokenizer_file: str, end_id: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class WordTokenizer:
+    """Packed ids of single words, by a file of the tokenizers library, remembered by the worker.
+
+    Latin-1 texts are lower-cased and parted between a letter and a mark first, where loading shows
+    that the file's tokenizer does both itself; words of letters then go through its model without
+    normalizer and patterns, many in one call, as the model marks the last token of a word. All
+    other words, and the words of all other texts, go through the tokenizer one by one.
+    """
+
+    def __init__(self, tokenizer_file: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
-        tokenizer, known = Tokenizer.from_file(tokenizer_file), worker_cache(f"ids of {tokenizer_file}")
-        # the same model without the normalizer's and splitter's patterns, for words that they leave alone
-        bare = Tokenizer(tokenizer.model)
-        bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(),
-                                                      pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-
-        def coded(by: Tokenizer, words: list[str]) -> Iterator[bytes]:
-            for e in by.encode_batch_fast(words, add_special_tokens=False):
-                ids = e.ids
-                yield struct.pack(f"<{len(ids)}{letter}", *ids)
-
-        tails = {"": b"", **dict(zip(".,", coded(tokenizer, [".", ","]), strict=True))}
-
-        def learn(fresh: list[bytes], known: dict[bytes, bytes]) -> None:
-            plain, rest = [], []
-            for w in fresh:
-                m = _PLAIN.fullmatch(w.decode("utf-8", "surrogatepass")) if lowers else None
-                plain.append((w, m[1].lower(), m[2])) if m else rest.append(w)
-            cores = [c for c in dict.fromkeys(c for _, c, _ in plain) if c.encode() not in known]
-            known.update(zip((c.encode() for c in cores), coded(bare, cores), strict=True))
-            known.update((w, known[c.encode()] + tails[tail]) for w, c, tail in plain)
-            known.update(zip(rest, coded(tokenizer, [w.decode("utf-8", "surrogatepass") for w in rest]), strict=True))
-
-        end = np.array([end_id], kind).tobytes()
-        for batch in batches:
-            for rows, texts in text_groups(batch, "text"):
-                # the tokenizer drops white space and never joins across it
-                words = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
-                fresh = list(set(chain.from_iterable(words)).difference(known))
-                if len(known) + len(fresh) > _KNOWN:
-                    known.clear()
-                    fresh = list(set(chain.from_iterable(words)))
-                learn(fresh, known)
-                out = [b"".join(map(known.__getitem__, w)) + end for w in words]
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(out, pa.binary())], ["doc_id", "ids"])
-
-    from tokenizers import Tokenizer
-    size = Tokenizer.from_file(tokenizer_file).get_vocab_size(with_added_tokens=True)
-    wide = 2 if max(size, end_id + 1) <= 1 << 16 else 4
-    kind, letter = f"<u{wide}", "H" if wide == 2 else "I"
-    # whether the file's tokenizer lower-cases and parts letters from a full stop or comma after them
-    known_form = Tokenizer.from_file(tokenizer_file)
-    lowers = [known_form.encode(x, add_special_tokens=False).ids for x in ("Ärger,", "straße.")] == [
-        known_form.encode("ärger", add_special_tokens=False).ids + known_form.encode(",", add_special_tokens=False).ids,
-        known_form.encode("STRAßE", add_special_tokens=False).ids + known_form.encode(".", add_special_tokens=False).ids]
-    return run, max(size, end_id + 1), wide
+        self.whole = Tokenizer.from_file(tokenizer_file)
+        self.size = max(self.whole.get_vocab_size(with_added_tokens=True), end_id + 1)
+        self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        self.end = end_id
+        self.known = Remembered(_HELD)
+        self.bare = Tokenizer(self.whole.model)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(),
+                                                           pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = getattr(self.whole.model, "end_of_word_suffix", None)
+        self.ends = np.array([bool(suffix) and (self.whole.id_to_token(i) or "").endswith(suffix) for i in range(self.size)])
+        self.folds = bool(suffix) and self._folds()
+
+    def _folds(self) -> bool:
+        def ids(text: str) -> list[int]:
+            return self.whole.encode(text, add_special_tokens=False).ids
+
+        letters, marks = _LETTERS.decode("latin-1"), _MARKS.decode()
+        return (all(ids(chr(c) * 2 + "x") == ids((chr(c) * 2 + "x").lower()) for c in range(33, 256))
+                and ids("straße") == self.bare.encode("straße", add_special_tokens=False).ids
+                and all(ids(f"a{x}b {x}") == self.bare.encode(f"a{x}b {x}", add_special_tokens=False).ids for x in letters)
+                and all(ids(x + m * n + "b1") == ids(x) + ids(m * n + "b1") for x in "aéß" for m in marks for n in (1, 3))
+                and all(ids("a" + m + k) == ids("a") + ids(m + k) for m in marks for k in marks))
+
+    def _packed(self, words: list[str]) -> Iterator[bytes]:
+        for e in self.whole.encode_batch_fast(words, add_special_tokens=False):
+            yield np.array(e.ids, self.kind).tobytes()
+
+    def _cores(self, words: list[str]) -> Iterator[bytes]:
+        wide = self.kind.itemsize
+        calls = [words[k: k + _TOGETHER] for k in range(0, len(words), _TOGETHER)]
+        for call, e in zip(calls, self.bare.encode_batch_fast([" ".join(c) for c in calls], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, self.kind)
+            cuts = (np.flatnonzero(self.ends[ids]) + 1) * wide
+            if len(cuts) != len(call) or cuts[-1] != len(ids) * wide:
+                raise AssertionError("the model does not mark the ends of words")
+            raw, cuts = ids.tobytes(), cuts.tolist()
+            yield from [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+
+    def _cut(self, raws: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+        """Words of Latin-1 texts, folded and parted, and the number of each text. White space is dropped
+        by the tokenizer and never joined across."""
+        codes = np.frombuffer(b"\n".join([*raws, b""]).translate(_LOWER), np.uint8)
+        first = np.cumsum([0, *(len(r) + 1 for r in raws)])
+        said = ~_SPACE[codes]
+        begin = said.copy()
+        begin[1:] &= ~said[:-1] | (_LETTER[codes[:-1]] & _MARK[codes[1:]])
+        at = np.flatnonzero(begin)
+        return byte_slices(codes[said], (np.cumsum(said) - 1)[at]), np.diff(np.searchsorted(at, first))
+
+    def _learn(self, fresh: list) -> None:
+        cores, rest = [], []
+        for w in fresh:
+            (rest if isinstance(w, str) or w.translate(None, _LETTERS) else cores).append(w)
+        self.known.put_all(cores, list(self._cores([w.decode("latin-1") for w in cores])))
+        self.known.put_all(rest, list(self._packed([w if isinstance(w, str) else w.decode("latin-1") for w in rest])))
+
+    def pack(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each with the end id, in one array, and the number of each; null is empty."""
+        folded, raws, rest = [], [], []
+        for k, t in enumerate(texts):
+            t = t or ""
+            try:
+                if not self.folds or "<|" in t:               # the file's special tokens begin so, in their case
+                    rest.append(k)
+                else:
+                    raws.append(t.encode("latin-1"))
+                    folded.append(k)
+            except UnicodeEncodeError:
+                rest.append(k)
+        parts, kind = [], self.kind
+        if folded or not rest:
+            keys, n = self._cut(raws)
+            ids, sizes = looked_up(keys, self.known, self._learn, kind)
+            ends = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(n)))]
+            parts.append((folded, *closed(ids, np.diff(ends), self.end)))
+        if rest:
+            split = [[w.decode("utf-8", "surrogatepass") for w in (texts[k] or "").encode("utf-8", "surrogatepass").split()] for k in rest]
+            self._learn(self.known.missing(chain.from_iterable(split)))
+            packed = [b"".join(map(self.known.__getitem__, u)) for u in split]
+            parts.append((rest, *closed(np.frombuffer(b"".join(packed), kind), np.array([len(x) // kind.itemsize for x in packed]), self.end)))
+        return in_order(parts, len(texts), kind)
+
+
+_DRAWN = "doc_id long, ids binary, counted array<struct<id:long,n:long>>"
 
 
-def _count(kind: str, size: int):
+def _tokenised(tokenizer_file: str, end_id: int):
+    """Rows (doc_id, ids, null) of all texts, and a last row of each partition with the counts of its ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(size, np.int64)
+        held = worker_cache("word tokenizers")
+        if (tokenizer_file, end_id) not in held:
+            held[tokenizer_file, end_id] = WordTokenizer(tokenizer_file, end_id)
+        tokenizer = held[tokenizer_file, end_id]
+        counts, kind = np.zeros(tokenizer.size, np.int64), pa.list_(pa.struct([("id", pa.int64()), ("n", pa.int64())]))
+        names = ["doc_id", "ids", "counted"]
         for batch in batches:
-            for ids in batch.column(0):
-                counts += np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=size)
+            for rows, texts in text_groups(batch, "text"):
+                ids, sizes = tokenizer.pack(texts)
+                counts += np.bincount(ids, minlength=tokenizer.size)
+                starts = (np.cumsum(sizes) - sizes) * tokenizer.kind.itemsize
+                yield pa.RecordBatch.from_arrays([rows.column(0), byte_slices(ids.view(np.uint8), starts), pa.nulls(len(sizes), kind)], names)
         seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(counts[seen])], ["id", "n"])
-    return run
+        each = pa.StructArray.from_arrays([pa.array(seen, pa.int64()), pa.array(counts[seen])], ["id", "n"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                                          pa.ListArray.from_arrays(pa.array([0, len(seen)], pa.int32()), each)], names)
+
+    tokenizer = WordTokenizer(tokenizer_file, end_id)
+    return run, tokenizer.size, tokenizer.kind.itemsize
 
 
 def _grouped(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -216,16 +277,21 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, *, id_col
     and empty texts are the end id alone; null ids come last; rows that repeat an id keep all
     their rows, side by side. Other columns are not read. An empty table gives empty files.
     """
+    if not 1 <= max_bits <= 25:
+        raise ValueError("max_bits must be 1 to 25: codes are read from windows of 32 bits")
     spark = docs.sparkSession
     run, size, wide = _tokenised(tokenizer_file, end_id)
     kind = f"<u{wide}"
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     drawn = os.path.join(checkpoint_dir(spark), "featurepipe", f"token-ids-{uuid.uuid4().hex}")
-    base.mapInArrow(run, "doc_id long, ids binary").write.option("compression", "zstd").parquet(drawn)
-    ids = spark.read.parquet(drawn)
+    base.mapInArrow(run, _DRAWN).write.option("compression", "zstd").parquet(drawn)
+    keep_until_release(spark, drawn)
+    drawn = spark.read.parquet(drawn)
+    ids = drawn.where("counted IS NULL").select("doc_id", "ids")
 
     counts = np.zeros(size, np.int64)
-    for row in ids.select("ids").mapInArrow(_count(kind, size), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    each = drawn.select(F.explode("counted").alias("c")).select("c.*")
+    for row in each.groupBy("id").agg(F.sum("n").alias("n")).collect():        # bounded by the vocabulary
         counts[row["id"]] = row["n"]
     lengths = code_lengths(counts, max_bits)
     seen = [(int(i), int(lengths[i]), max_bits) for i in np.flatnonzero(lengths)]
