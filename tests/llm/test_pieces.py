@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -33,6 +34,28 @@ def test_decoding_any_ids_equals_the_library(codec):
         assert codec.decode(ids) == codec.library.decode(ids), ids
 
 
+def test_table_of_texts_equals_the_library(codec):
+    rng = random.Random(3)
+    for _ in range(60):
+        runs = [[rng.choice([rng.randrange(32000), rng.randrange(3, 259), rng.randrange(3), 259, 28705]) for _ in range(rng.randrange(9))]
+                for _ in range(rng.randrange(5))]
+        runs += [x for x in codec.encode([rng.choice(ODD) for _ in range(rng.randrange(5))])]
+        flat = np.array([i for r in runs for i in r], np.int32)
+        assert codec.texts(flat, np.array([len(r) for r in runs], np.int64)).to_pylist() == [codec.library.decode(r) for r in runs]
+
+
+def test_memory_is_bounded_by_bytes():
+    codec = PieceCodec(MODEL)
+    codec.known.limit = 1 << 20
+    rng = random.Random(4)
+    for k in range(30):                                        # texts without a space are one unit each
+        texts = ["".join(rng.choice("abcdefgh") for _ in range(20_000)) for _ in range(5)] + [f"w{k} w{k}x"]
+        assert codec.encode(texts[-1:])[0] == codec.library.encode(texts[-1], add_eos=True)
+        codec.encode(texts)
+        held = sum(len(x) + len(y) for d in (codec.known, codec.known.old) for x, y in d.items())
+        assert held <= (1 << 20) + 6 * sum(map(len, texts))      # a group of texts may go beyond each half
+
+
 def test_table_round_trip(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     lib = PieceCodec(MODEL).library
@@ -53,7 +76,6 @@ def test_nulls_repeats_empty_table_and_clashing_columns(spark):
 
 def test_a_difference_from_the_library_fails(codec):
     other = PieceCodec(MODEL)
-    other.known = {}
     other.score = {k: -v for k, v in other.score.items()}
     with pytest.raises(AssertionError, match="agenda"):
         other.encode(["therefore whatever international statistics understanding"])
