@@ -386,11 +386,13 @@ def fit(data: list[tuple[list[Block], np.ndarray]], *, epochs: int = 14, batch:
 
 def train_extractor(pages: DataFrame, *, html_col: str = "html", sample: int = 384, most_chars: int = 32_768, each: int = 4,
                     seed: int = 7) -> BlockLabeller:
-    """A labeller trained on ``sample`` pages of at most ``most_chars`` characters, chosen by a hash of their text, and on ``each``
-    made pages for each of them. Sample and size bound what comes to the driver (12 MB as given)."""
+    """A labeller trained on ``sample`` different pages of at most ``most_chars`` characters, those of the smallest hashes of their
+    text, and on ``each`` made pages for each of them. Hashes are chosen first, so the pages that come to the driver are bounded
+    by sample and size alone (12 MB as given)."""
     text = F.col(html_col)
-    rows = (pages.where(text.isNotNull() & (F.length(text) <= most_chars)).select(text.alias("html"), F.xxhash64(text).alias("h"))
-            .orderBy("h", "html").limit(sample).collect())
+    fit_in = pages.where(text.isNotNull() & (F.length(text) <= most_chars)).select(text.alias("html"), F.xxhash64(text).alias("h"))
+    least = [r["h"] for r in fit_in.select("h").distinct().orderBy("h").limit(sample).collect()]
+    rows = fit_in.where(F.col("h").isin(least)).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect()
     return fit(training_pages([r["html"] for r in rows], each, seed), seed=seed)
 
 
