@@ -40,12 +40,14 @@ def _hash(text: Column) -> list[Column]:
 def _lines(text: Column) -> Column:
     """array<struct<level, body>> of the lines of a text; the level is the number of ``>`` that begin
     the line, spaces and tabs between them allowed, and bodies lose these marks and one space."""
-    marked = F.transform(F.split(F.coalesce(text, F.lit("")), r"\r?\n", -1), lambda s: F.struct(
-        F.regexp_extract(s, _MARKS, 0).alias("marks"), s.alias("line")))
-    bare = F.transform(marked, lambda x: F.struct(
-        F.length(F.translate(x["marks"], " \t", "")).alias("level"), F.substr(x["line"], F.length(x["marks"]) + 1).alias("body")))
-    return F.transform(bare, lambda x: F.struct(x["level"], F.when(
-        (x["level"] > 0) & x["body"].startswith(" "), F.substr(x["body"], F.lit(2))).otherwise(x["body"]).alias("body")))
+    def told(marks: Column, line: Column) -> Column:
+        body = F.substr(line, F.length(marks) + 1)
+        return F.struct(F.length(F.translate(marks, " \t", "")).alias("level"), F.when(
+            (F.length(marks) > 0) & body.startswith(" "), F.substr(body, F.lit(2))).otherwise(body).alias("body"))
+
+    return F.transform(F.split(F.coalesce(text, F.lit("")), r"\r?\n", -1), lambda s: F.when(
+        s.contains(">"), once(F.regexp_extract(s, _MARKS, 0), lambda marks: told(marks, s))).otherwise(
+        F.struct(F.lit(0).alias("level"), s.alias("body"))))
 
 
 def _own_text(lines: Column) -> Column:
@@ -56,9 +58,13 @@ def _own_text(lines: Column) -> Column:
     def cut(own: Column) -> Column:
         said = F.transform(own, lambda s, i: F.when(F.length(F.translate(s, " \t", "")) > 0, i))
         first, last = (F.coalesce(end(said), F.size(own) - 1) for end in (F.array_min, F.array_max))
-        return F.when(F.size(own) == 0, "").otherwise(F.array_join(F.slice(own, first + 1, last - first + 1), "\n"))
+        return F.array_join(F.slice(own, first + 1, last - first + 1), "\n")
+
+    def whole(own: Column) -> Column:
+        full = [F.length(F.translate(F.element_at(own, k), " \t", "")) > 0 for k in (1, -1)]
+        return F.when(F.size(own) == 0, "").when(full[0] & full[1], F.array_join(own, "\n")).otherwise(cut(own))
 
-    return once(own, cut)
+    return once(own, whole)
 
 
 def _run_starts(lines: Column) -> Column:

@@ -1,7 +1,7 @@
 """The registered queries ``opN_<name>`` of the text operators and their DuckDB twins.
 
 Every query applies its operator with production parameters to its whole table and returns the
-full result. ``ORACLES`` holds SQL where SQL can express the operator on whole tables.
+full result; what operators left in the shared folder on the way is deleted when that is written. ``ORACLES`` holds SQL where SQL can express the operator on whole tables.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from featurepipe.llm.repetition import RepetitionRules, repetition_report
 from featurepipe.llm.tokenfiles import read_token_files, write_token_files
 from featurepipe.llm.urlfilter import filter_urls
 from featurepipe.llm.variants import group_variants, word_counts
-from featurepipe.session import checkpoint_dir
+from featurepipe.session import checkpoint_dir, keep_until_release, only_result
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,15 +72,18 @@ LEFT JOIN n ON n.doc_id = d.doc_id
 """)
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components over all documents: 4-word shingles, 80 percent."""
-    return near_duplicates(_documents(spark, sf_dir), width=4)
+    return only_result(spark, lambda: near_duplicates(_documents(spark, sf_dir), width=4), "op1")
 
 
 @_query("op2_token_files")
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents written in Huffman-coded files and read back from them."""
-    path = os.path.join(checkpoint_dir(spark), "featurepipe", f"token-files-{uuid.uuid4().hex}")
-    write_token_files(_documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"))
-    return read_token_files(spark, path, as_bytes=True).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    def files() -> DataFrame:
+        path = os.path.join(checkpoint_dir(spark), "featurepipe", f"token-files-{uuid.uuid4().hex}")
+        write_token_files(_documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"))
+        keep_until_release(spark, path)
+        return read_token_files(spark, path, as_bytes=True).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return only_result(spark, files, "op2")
 
 
 @_query("op3_language")
@@ -103,7 +106,7 @@ FROM d
 """)
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations in reply order, without quotes (the twin covers tables whose quotes link nothing)."""
-    return format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return only_result(spark, lambda: format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet")), "op4")
 
 
 @_query("op5_edit_counts")
@@ -130,8 +133,8 @@ FROM j GROUP BY doc_id
 """)
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that another document holds already are dropped, over all documents."""
-    return dedup_lines(_documents(spark, sf_dir)).select(
-        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    return only_result(spark, lambda: dedup_lines(_documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")), "op6")
 
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
@@ -170,7 +173,7 @@ FROM r
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
-    return filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+    return only_result(spark, lambda: filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict"), "op7")
 
 
 @_query("op8_sentencepiece")
@@ -259,4 +262,4 @@ def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op13_spelling_variants")
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with their more frequent spelling and the root of its chain."""
-    return group_variants(word_counts(_documents(spark, sf_dir), plant=97))
+    return only_result(spark, lambda: group_variants(word_counts(_documents(spark, sf_dir), plant=97)), "op13")
