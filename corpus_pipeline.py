@@ -20,7 +20,7 @@ from featurepipe.llm.neardup import near_duplicates
 from featurepipe.llm.pieces import encode_pieces
 from featurepipe.llm.repetition import keep_unrepetitive
 from featurepipe.operators.ordering import dense_index
-from featurepipe.session import materialize
+from featurepipe.session import materialize, newest, only_result, release
 
 ORACLE_SQL = None
 
@@ -60,11 +60,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         keys = dense_index(rows.select("_id", "_mark").distinct(), [F.col("_id").isNull(), "_id", "_mark"], name="_key")
         keys = keys.select(F.col("_id").alias("_of"), F.col("_mark").alias("_as"), "_key")
         keyed = rows.join(keys, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_as"))).select("_key", "_row")
-        keyed = materialize(keyed.groupBy("_key").agg(F.any_value("_row").alias("_row")), "near-documents")
+        keyed = materialize(keyed.groupBy("_key").agg(F.min("_row").alias("_row")), "near-documents")
     kept = (near_duplicates(keyed.select("_key", "_row.text"), id_col="_key", width=5)
             .where("kept").select(F.col("doc_id").alias("_kept")).distinct())
     one = (keyed.join(kept, F.col("_key") == F.col("_kept"), "left_semi").groupBy("_key")
-           .agg(F.any_value("_row").alias("_row")).select("_row.*"))
+           .agg(F.min("_row").alias("_row")).select("_row.*"))
     return one.unionByName(left)
 
 
@@ -85,8 +85,12 @@ STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_d
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``, each written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of ``sf_dir``, each written and read again. A stage's own
+    intermediates go when it is written, its documents when the next stage is."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = only_result(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before:
+            release(spark, before)
+        before = newest(spark)
     return docs
