@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from featurepipe.session import intermediates, materialize, newest, release_materialized
+from featurepipe.session import materialized, release
 
 ASCII_SPACE = " \t\n\x0b\x0c\r"          # [\x20\x09-\x0D], what bytes.split() splits at
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -176,8 +176,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     edge = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(
         F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct()
     spark = edges.sparkSession
-    mark, before = intermediates(spark), None
-    edge = materialize(edge, "components")
+    before = None
+    edge, folder = materialized(edge, "components")
     while True:
         both = edge.unionByName(edge.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
@@ -186,8 +186,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u != v").unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        edge = materialize(small, "components")
-        release_materialized(spark, mark, keep=[newest(spark)])
+        last, (edge, folder) = folder, materialized(small, "components")
+        release(spark, last)
         now = edge.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -2,20 +2,12 @@
 positive counts (E8).
 
 ``exact_median`` never holds a large group in one task. Spark's exact ``percentile`` keeps every
-distinct value of a group in one aggregation buffer; here each group is narrowed instead:
-
-1. count the non-NULL, non-NaN values per group -> target ranks k_lo = (n-1)//2, k_hi = n//2.
-   If the largest group holds at most ``cap`` values (proven by that count), Spark's exact
-   ``percentile`` runs directly: its buffer is then bounded. Otherwise:
-2. while a group has more than ``cap`` candidates: one pass computes a fixed grid of approximate
-   quantiles of the candidates (mergeable sketches, partial aggregation), picks the grid cells
-   around the target ranks, and a second pass counts exactly how many candidates fall below the
-   new bounds. A bound is only accepted when the exact counts prove the targets are still
-   inside, so approximation never changes the answer. Each round keeps ~3/grid of the
-   candidates (10**12 values -> under 10**5 in three rounds);
-3. the candidates left (at most ``cap`` per group, or a bracket of few distinct values once
-   narrowing stops shrinking) are reduced to a (value, count) histogram and the two middle ranks read off
-   running counts.
+distinct value of a group in one aggregation buffer, which is right as long as a count proves the
+groups small. Larger ones go through ``radix_select``: doubles become 64-bit whole numbers of the
+same order, and four rounds find the number of a rank 16 bits at a time. A round is one partially
+aggregated count by (group, next digit) of the rows that share the digits known so far, then a running
+sum over at most 65,536 digits. Counts are exact and every round is deterministic: a recomputed
+task changes nothing.
 """
 
 from __future__ import annotations
@@ -26,12 +18,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featurepipe.session import broadcast_if_small, stable
+from featurepipe.functions import once
+from featurepipe.session import broadcast_if_small, materialized, release
 
-_GRID = 1000          # quantile grid per narrowing round
-_ACCURACY = 20_000    # sketch accuracy; rank error <= n / accuracy, below one grid step
 _CAP = 500_000        # values per group an exact in-task median may hold
-_FEW = 1000           # distinct values that a final histogram of a group may always hold
 _BROADCAST_GROUPS = 100_000   # per-group tables up to this many rows are broadcast
 
 
@@ -45,34 +35,85 @@ def _join_groups(left: DataFrame, right: DataFrame, by: Sequence[str], how: str
     names = {c: f"_fp_k{i}" for i, c in enumerate(by)}
     right = right.select(*[F.col(c).alias(names.get(c, c)) for c in right.columns])
     cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
-    return left.join(F.broadcast(right) if broadcast else right, cond, how).drop(*names.values())
+    out = left.join(F.broadcast(right) if broadcast else right, cond, how)
+    return out if how == "left_semi" else out.drop(*names.values())
 
 
-def exact_median(df: DataFrame, col: str, by: Sequence[str] = (), cap: int = _CAP,
-                 grid: int = _GRID, accuracy: int = _ACCURACY) -> DataFrame:
+_DIGIT = 16
+
+
+def ordered_bits(x: Column) -> Column:
+    """Whole number of a double with the same order: its IEEE bits, negated for negative values.
+
+    Exponent and mantissa come from arithmetic that is exact: scaling by powers of two, in two steps so
+    that none leaves the range. -0.0 counts as 0.0; NaN and null give null.
+    """
+    size = F.abs(x)
+    near = F.least(F.greatest(F.floor(F.log2(size)), F.lit(-1022)), F.lit(1023)).cast("int")     # may be one off
+
+    def scaled(e: Column) -> Column:                             # size / 2**e, exactly
+        half = F.floor(e / 2).cast("int")
+        return size * F.pow(F.lit(2.0), (-half).cast("double")) * F.pow(F.lit(2.0), (half - e).cast("double"))
+
+    power = once(near, lambda e: F.when(scaled(e) < 1.0, F.greatest(e - 1, F.lit(-1022))).when(scaled(e) >= 2.0, e + 1).otherwise(e))
+    two52 = float(1 << 52)
+    normal = once(power, lambda e: (e + 1023).cast("long") * (1 << 52) + (scaled(e) * two52 - two52).cast("long"))
+    low = (size * float(2 ** 537) * float(2 ** 537)).cast("long")
+    bits = (F.when(x.isNull() | F.isnan(x), None).when(size == 0.0, F.lit(0).cast("long")).when(size == float("inf"), F.lit(0x7FF << 52))
+            .when(size < 2.2250738585072014e-308, low).otherwise(normal))
+    return F.when(x < 0, -bits).otherwise(bits)
+
+
+def radix_select(values: DataFrame, ranks: DataFrame, by: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
+    """``(*by, fit, rank, value)``: the value of each 0-based ``rank`` among the group's values in order.
+
+    ``ranks`` holds (*by, fit, rank). A row counts as often as ``weight`` says, an array with one number
+    for each fit (0, 1, ...); without it every row counts once and fit is 0. Values that are null
+    or NaN count for nothing; ranks beyond a group's values have no row. NULL is a group like others.
+    """
+    by = list(by)
+    spark = values.sparkSession
+    rows = values.select(*by, F.col(value).cast("double").alias("_v"), *([F.col(weight).alias("_w")] if weight else []))
+    rows = rows.withColumn("_key", ordered_bits(F.col("_v"))).where("_key IS NOT NULL")
+    found, folder = materialized(ranks.select(*by, "fit", "rank", F.col("rank").alias("_left"), F.lit(0).cast("long").alias("_known")), "radix")
+    for shift in range(64 - _DIGIT, -1, -_DIGIT):
+        known = F.lit(0).cast("long") if shift + _DIGIT == 64 else F.shiftright("_key", shift + _DIGIT)
+        open_ = found.select(*by, "_known").distinct()
+        # one or two rows a group and fit; a group may hold most of the rows, so it is not shuffled by
+        near = _join_groups(rows.withColumn("_known", known), broadcast_if_small(open_, _BROADCAST_GROUPS), [*by, "_known"], "left_semi")
+        near = near.withColumn("_next", F.shiftright("_key", shift))
+        if weight:
+            fits = len(near.select("_w").head()["_w"]) if near.head(1) else 0
+            sums = near.groupBy(*by, "_known", "_next").agg(*[F.sum(F.col("_w")[i]).alias(f"_w{i}") for i in range(fits)], F.max("_v").alias("_v"))
+            each = F.array(*[F.col(f"_w{i}") for i in range(fits)]) if fits else F.array().cast("array<long>")
+            counts = sums.select(*by, "_known", "_next", "_v", F.posexplode(each).alias("fit", "_n")).where("_n > 0")
+        else:
+            counts = near.groupBy(*by, "_known", "_next").agg(F.count(F.lit(1)).alias("_n"), F.max("_v").alias("_v")).withColumn("fit", F.lit(0))
+        upto = Window.partitionBy(*by, "_known", "fit").orderBy("_next").rowsBetween(Window.unboundedPreceding, 0)
+        counts = counts.withColumn("_upto", F.sum("_n").over(upto))
+        found = _join_groups(found.drop("_v"), counts, [*by, "_known", "fit"]).where("_left < _upto AND _left >= _upto - _n").select(
+            *by, "fit", "rank", (F.col("_left") - F.col("_upto") + F.col("_n")).alias("_left"), F.col("_next").alias("_known"), "_v")
+        last, (found, folder) = folder, materialized(found, "radix")
+        release(spark, last)
+    return found.select(*by, "fit", "rank", F.col("_v").alias("value"))
+
+
+def exact_median(df: DataFrame, col: str, by: Sequence[str] = (), cap: int = _CAP) -> DataFrame:
     """Exact median of ``col`` per ``by`` group (NULL and NaN ignored): one row per group that has
     at least one value, columns ``(*by, median)``. Mean of the two middle values for even n.
+    Groups of more than ``cap`` values are selected by radix.
     """
-    return _median_table(df, col, by, cap, grid, accuracy)[0]
+    return _median_table(df, col, by, cap)[0]
 
 
-def _median_table(df: DataFrame, col: str, by: Sequence[str] = (), cap: int = _CAP,
-                  grid: int = _GRID, accuracy: int = _ACCURACY) -> tuple[DataFrame, int]:
+def _median_table(df: DataFrame, col: str, by: Sequence[str] = (), cap: int = _CAP) -> tuple[DataFrame, int]:
     """``exact_median`` plus the number of groups (known from its first, one-row job)."""
     out_by = list(by)
     by = out_by or ["_fp_g"]          # one constant group when no grouping is asked for
     src = df if out_by else df.withColumn("_fp_g", F.lit(0))
     x = src.select(*by, F.col(col).cast("double").alias("_x")).where(_valid(F.col("_x")))
-    bounds = (x.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-              .select(*by, "_n",
-                      ((F.col("_n") - 1) / 2).cast("long").alias("_klo"),
-                      (F.col("_n") / 2).cast("long").alias("_khi"),
-                      F.lit(None).cast("double").alias("_lo"),
-                      F.lit(None).cast("double").alias("_hi"),
-                      F.lit(0).cast("long").alias("_below"),
-                      F.col("_n").alias("_m"),
-                      F.lit(False).alias("_done")))
-    shape = bounds.agg(F.count(F.lit(1)).alias("g"), F.max("_m").alias("m")).first()
+    sizes = x.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    shape = sizes.agg(F.count(F.lit(1)).alias("g"), F.max("_n").alias("m")).first()
     n_groups, largest = int(shape["g"]), (shape["m"] or 0)
     if largest <= cap:
         # Every group is proven to hold at most ``cap`` values: Spark's exact percentile keeps
@@ -80,68 +121,10 @@ def _median_table(df: DataFrame, col: str, by: Sequence[str] = (), cap: int = _C
         # 0.5*a + 0.5*b equals (a + b) / 2 bit for bit (halving is exact).
         return (x.groupBy(*by).agg(F.percentile("_x", F.lit(0.5)).alias("median"))
                 .select(*out_by, "median")), n_groups
-    # Only narrowing rounds (approximate sketches, whose merge order may vary on recomputation)
-    # need their bounds made stable.
-    bounds = stable(bounds)
-
-    def candidates(b: DataFrame) -> DataFrame:
-        # ``b`` has one row per group; a group may be a third of the rows, so no shuffle on it.
-        j = _join_groups(x, b, by, broadcast=n_groups <= _BROADCAST_GROUPS)
-        inside = ((F.col("_lo").isNull() | (F.col("_x") >= F.col("_lo")))
-                  & (F.col("_hi").isNull() | (F.col("_x") <= F.col("_hi"))))
-        return j.where(inside)
-
-    while not (big := bounds.where((F.col("_m") > cap) & ~F.col("_done"))).isEmpty():
-        pct = [i / grid for i in range(grid + 1)]
-        qs = candidates(big).groupBy(*by).agg(F.percentile_approx("_x", pct, accuracy).alias("_qs"))
-        rel_lo = (F.col("_klo") - F.col("_below")) / F.col("_m")
-        rel_hi = (F.col("_khi") - F.col("_below")) / F.col("_m")
-        i_lo = F.greatest(F.floor(rel_lo * grid) - 1, F.lit(0)).cast("int")
-        i_hi = F.least(F.ceil(rel_hi * grid) + 1, F.lit(grid)).cast("int")
-        prop = stable(_join_groups(big, qs, by).select(
-            *big.columns, F.element_at("_qs", i_lo + 1).alias("_plo"),
-            F.element_at("_qs", i_hi + 1).alias("_phi")))
-        counts = candidates(prop).groupBy(*by).agg(
-            F.count_if(F.col("_x") < F.col("_plo")).cast("long").alias("_clt"),
-            F.count_if(F.col("_x") <= F.col("_phi")).cast("long").alias("_cle"))
-        # Accept a proposed bound only if the exact counts keep both target ranks inside.
-        lo_ok = (F.col("_below") + F.col("_clt")) <= F.col("_klo")
-        hi_ok = F.col("_cle") >= (F.col("_khi") - F.col("_below") + 1)
-        le = F.when(hi_ok, F.col("_cle")).otherwise(F.col("_m"))
-        lt = F.when(lo_ok, F.col("_clt")).otherwise(F.lit(0))
-        new_m = le - lt
-        nb = _join_groups(prop, counts, by).select(
-            *by, "_n", "_klo", "_khi",
-            F.when(lo_ok, F.col("_plo")).otherwise(F.col("_lo")).alias("_lo"),
-            F.when(hi_ok, F.col("_phi")).otherwise(F.col("_hi")).alias("_hi"),
-            (F.col("_below") + lt).alias("_below"),
-            new_m.alias("_m"), (new_m >= F.col("_m")).alias("_stuck"))
-        nb = stable(nb)
-        rest = bounds.where((F.col("_m") <= cap) | F.col("_done"))
-        # A bracket that did not shrink is done if it holds few distinct values (ties); where it
-        # holds more, only the sketch was too coarse: the next round has a finer one.
-        stuck = nb.where("_stuck")
-        if stuck.isEmpty():
-            nb = nb.drop("_stuck").withColumn("_done", F.lit(False))
-        else:
-            kinds = (candidates(stuck).groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
-                     .groupBy(*by).agg((F.count(F.lit(1)) <= max(cap, _FEW)).alias("_few")))
-            nb = _join_groups(nb, kinds, by, "left").withColumn("_done", F.coalesce("_few", F.lit(False))).drop("_stuck", "_few")
-            grid, accuracy = grid * 2, accuracy * 10
-        bounds = stable(rest.unionByName(nb).repartition(*by))
-
-    # Final step on a (value, count) histogram of the candidates: at most max(cap, _FEW) distinct
-    # values in each group.
-    hist = candidates(bounds).groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    upto = Window.partitionBy(*by).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    hist = hist.withColumn("_cum", F.sum("_c").over(upto))
-    j = _join_groups(hist, bounds.select(*by, "_klo", "_khi", "_below"), by)
-    r_lo = F.col("_klo") - F.col("_below")
-    r_hi = F.col("_khi") - F.col("_below")
-    start = F.col("_cum") - F.col("_c")
-    a = F.max(F.when((start <= r_lo) & (r_lo < F.col("_cum")), F.col("_x")))
-    b = F.max(F.when((start <= r_hi) & (r_hi < F.col("_cum")), F.col("_x")))
-    return j.groupBy(*by).agg(((a + b) / 2).alias("median")).select(*out_by, "median"), n_groups
+    middle = F.array_distinct(F.array(((F.col("_n") - 1) / 2).cast("long"), (F.col("_n") / 2).cast("long")))
+    ranks = sizes.select(*by, F.lit(0).alias("fit"), F.explode(middle).alias("rank"))
+    found = radix_select(x, ranks, by, "_x")
+    return found.groupBy(*by).agg(((F.min("value") + F.max("value")) / 2).alias("median")).select(*out_by, "median"), n_groups
 
 
 def group_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -76,7 +76,12 @@ def keep_until_release(spark: SparkSession, path: str) -> None:
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as Parquet under the checkpoint folder and return the re-read frame.
+    """``materialized`` without the folder's name."""
+    return materialized(df, name)[0]
+
+
+def materialized(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet under the checkpoint folder; the re-read frame and the folder.
 
     Cuts lineage (a lost executor re-reads files instead of recomputing a non-deterministic
     shuffle) and lets later passes read only the columns they need. The folder is an intermediate:
@@ -87,7 +92,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = os.path.join(base, "featurepipe", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     keep_until_release(spark, path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
 
 
 def release_materialized(spark: SparkSession, since: int = 0, keep: Sequence[str] = ()) -> int:
@@ -120,8 +125,8 @@ def newest(spark: SparkSession) -> str:
 def only_result(spark: SparkSession, build: Callable[[], DataFrame], name: str = "result") -> DataFrame:
     """The frame of ``build()``, written and read again, with all intermediates that it made deleted."""
     mark = intermediates(spark)
-    out = materialize(build(), name)
-    release_materialized(spark, mark, keep=[newest(spark)])
+    out, path = materialized(build(), name)
+    release_materialized(spark, mark, keep=[path])
     return out
 
 

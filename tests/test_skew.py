@@ -23,7 +23,7 @@ def test_hot_key_results_exact(spark):
     got = {r.key: r.n for r in count_members(df, "key", "member", "n").collect()}
     assert got["hot"] == len({m for _, k, m, _ in rows if k == "hot"})
     med = {r.key: r.median for r in exact_median(df.where(F.col("key").isin("hot", "k1")), "x", ["key"],
-                                                  cap=50, grid=10, accuracy=100).collect()}
+                                                  cap=50).collect()}
     assert med["hot"] == statistics.median([x for _, k, _, x in rows if k == "hot"])
 
 

@@ -1,6 +1,7 @@
 import random
 import statistics
 
+from pyspark.sql import functions as F
 
 from featurepipe.operators.stats import group_medians
 from featurepipe.operators import coverage, exact_median, impute_median, label_summary, profile
@@ -18,11 +19,11 @@ def test_exact_median_narrowing_paths(spark):
     rows += [(9, float("nan")), (9, None)]
     df = spark.createDataFrame(rows, "g int, x double")
     for cap in (10**6, 25, 1):
-        got = {r.g: r.median for r in exact_median(df, "x", ["g"], cap=cap, grid=10, accuracy=100).collect()}
+        got = {r.g: r.median for r in exact_median(df, "x", ["g"], cap=cap).collect()}
         for g in range(4):
             assert got[g] == _median_py([x for gg, x in rows if gg == g]), (cap, g)
         assert 9 not in got
-        assert exact_median(df, "x", cap=cap, grid=10, accuracy=100).first()["median"] == \
+        assert exact_median(df, "x", cap=cap).first()["median"] == \
             _median_py([x for _, x in rows])
 
 
@@ -38,7 +39,7 @@ def test_null_group_is_a_group_on_both_ways(spark):
     df = spark.createDataFrame(rows, "g string, x double")
     want = {"a": 19.0, None: 20.0}
     for cap in (10**6, 5):
-        assert {r.g: r.median for r in exact_median(df, "x", ["g"], cap=cap, grid=10, accuracy=100).collect()} == want
+        assert {r.g: r.median for r in exact_median(df, "x", ["g"], cap=cap).collect()} == want
     filled = impute_median(df, "x", ["g"])
     assert sorted(r.x for r in filled.where("g IS NULL").collect())[10] == 20.0 and filled.where("x IS NULL").count() == 0
 
@@ -77,3 +78,42 @@ def test_coverage_and_label_summary(spark):
     cov = {r.column: r.pct_available for r in coverage(df, ["x", "f", "missing"]).collect()}
     assert cov == {"x": 200 / 3, "f": 200 / 3}
     assert label_summary(df, ["label", "f"]).first().asDict() == {"sum_label": 2, "sum_f": 1}
+
+
+def test_ordered_bits_equal_the_ieee_bits(spark):
+    import math
+    import struct
+
+    from featurepipe.operators.stats import ordered_bits
+    rng = random.Random(6)
+    xs = [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(4000)]
+    for e in range(-1074, 1024, 3):
+        p = math.ldexp(1.0, e)
+        xs += [p, math.nextafter(p, 0), math.nextafter(p, math.inf), -p]
+    xs += [0.0, -0.0, math.inf, -math.inf, math.nan, 5e-324, 1.7976931348623157e308, 2.2250738585072014e-308, 2.225073858507201e-308, None]
+    df = spark.createDataFrame(list(enumerate(xs)), "i int, x double")
+    got = dict(df.select("i", ordered_bits(F.col("x"))).collect())
+    for i, x in enumerate(xs):
+        if x is None or x != x:
+            assert got[i] is None
+            continue
+        bits = struct.unpack("<q", struct.pack("<d", abs(x)))[0]
+        assert got[i] == (-bits if x < 0 else bits), x
+
+
+def test_radix_select_with_weights(spark):
+    from featurepipe.operators.stats import radix_select
+    rng = random.Random(7)
+    rows = [(rng.choice(["a", None]), rng.choice([rng.gauss(0, 1e3), rng.gauss(0, 1e-300), 2.0, float("nan"), None]), [rng.randrange(3), rng.randrange(2)])
+            for _ in range(300)]
+    df = spark.createDataFrame(rows, "g string, v double, w array<long>").repartition(3)
+    ranks, want = [], {}
+    for g in ("a", None):
+        for fit in (0, 1):
+            flat = sorted(v for h, v, w in rows if h == g and v is not None and v == v for _ in range(w[fit]))
+            for k in (0, len(flat) // 2, len(flat) - 1, len(flat)):
+                ranks.append((g, fit, k))
+                if k < len(flat):
+                    want[g, fit, k] = flat[k]
+    got = radix_select(df, spark.createDataFrame(ranks, "g string, fit int, rank long"), ["g"], "v", weight="w")
+    assert {(r.g, r.fit, r["rank"]): r.value for r in got.collect()} == want
