@@ -398,12 +398,13 @@ def split_report(dataset: DataFrame, features: Sequence[str], label: str, rules:
         rows = with_gradients(rows.withColumn("score", F.lit(base))).persist(StorageLevel.MEMORY_AND_DISK)
         tree = grow(rows, rules, (len(edges), max(map(len, edges)) + 2))
         rows.unpersist()
-        order = [0]
-        for k in order:                                       # numbers by level, left to right
+        place = {0: 0}                                        # numbers by level: 2k + 1 and 2k + 2 under k
+        for k in range(len(tree.left)):
             if tree.left[k] >= 0:
-                order += [tree.left[k], tree.right[k]]
-        for new, k in enumerate(order):
+                place[tree.left[k]], place[tree.right[k]] = 2 * place[k] + 1, 2 * place[k] + 2
             inner = tree.left[k] >= 0
-            out.append((new, tree.depth[k], features[tree.feature[k]] if inner else None, _threshold(edges, tree.feature[k], tree.cut[k]) if inner else None,
-                        tree.missing_left[k] if inner else None, tree.gain[k] if inner else None, tree.sums[k][2], rules.value(tree.sums[k])))
+            if k in place:
+                out.append((place[k], tree.depth[k], features[tree.feature[k]] if inner else None,
+                            _threshold(edges, tree.feature[k], tree.cut[k]) if inner else None, tree.missing_left[k] if inner else None,
+                            tree.gain[k] if inner else None, tree.sums[k][2], rules.value(tree.sums[k])))
     return dataset.sparkSession.createDataFrame(out, "node int, depth int, feature string, threshold double, missing_left boolean, gain double, n_rows long, value double")

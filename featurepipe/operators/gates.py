@@ -8,9 +8,9 @@ NULL keys, bad labels and out-of-range years at once; G1 is a schema check with
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurepipe.functions import to_number
@@ -105,6 +105,29 @@ def enforce(report: DataFrame, df: DataFrame | None = None, label: str | None =
         raise GateError(msg)
 
 
+def gate_metrics(split: str, df: DataFrame, key: str, label: str | None, year: str | None, lo: float, hi: float,
+                 unlabelled: Sequence[str] = ()) -> tuple[DataFrame, dict[str, Column]]:
+    """G2-G5 of one split as aggregates that a write can observe: the frame, with a flag on all rows of a
+    key but one, and the violations by gate. Keys meet in one task; more rows of a key than one
+    are themselves the violation."""
+    one = Window.partitionBy(key).orderBy(key)
+    out = {"key_not_null": F.count_if(F.col(key).isNull()), "key_unique": F.count_if(F.col("_fp_again"))}
+    if label and label in df.columns and split not in unlabelled:
+        out["label_values"] = F.count_if(_bad_label(label))
+    if year and year in df.columns:
+        y = to_number(year, df.schema[year].dataType)
+        out["year_range"] = F.count_if(y.isNotNull() & ((y < float(lo)) | (y > float(hi))))
+    return df.withColumn("_fp_again", F.row_number().over(one) > 1), out
+
+
+def judge_metrics(seen: Mapping[str, Mapping[str, int]]) -> None:
+    """G6 on observed violations: raise ``GateError`` for the first failing gate (by gate order, then split)."""
+    for gate in GATE_ORDER:
+        for split in sorted(seen):
+            if seen[split].get(gate):
+                raise GateError(f"[{split}] gate {gate} failed: {seen[split][gate]} violation(s)")
+
+
 def run_all_gates(df: DataFrame, split: str, required: Sequence[str], key: str, label: str | None,
                   year: str | None, lo: float, hi: float, split_col: str | None = None,
                   unlabelled: Sequence[str] = ()) -> DataFrame:

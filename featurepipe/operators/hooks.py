@@ -9,6 +9,7 @@ runs (and is checkpointed) while the chain is composed.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -32,31 +33,60 @@ class _Audit:
     cols_added: list[str]
     before: DataFrame
     after: DataFrame
+    seen: tuple[str, str] | None = None        # names of the counts before and after
 
 
 @dataclass
 class HookRegistry:
-    """Ordered hook list with an audit trail."""
+    """Ordered hook list with an audit trail. With ``audited`` every boundary of the chain counts its
+    rows as they pass, so the audit is one run of the chain; the counts keep projections from being
+    merged across hooks, so it is off by default, and the audit then counts each boundary by itself."""
 
     hooks: list[tuple[str, Hook]] = field(default_factory=list)
+    audited: bool = False
     _audit: list[_Audit] = field(default_factory=list)
 
     def register(self, fn: Hook, name: str | None = None) -> Hook:
         self.hooks.append((name or getattr(fn, "__name__", f"hook_{len(self.hooks)}"), fn))
         return fn
 
+    def _watched(self, df: DataFrame) -> tuple[DataFrame, str]:
+        name = f"fp_rows_{uuid.uuid4().hex}"
+        return df.observe(name, F.count(F.lit(1)).alias("n")), name
+
     def apply(self, df: DataFrame, split: str = "all") -> DataFrame:
         """Run every hook in registration order."""
+        if self.audited and self.hooks:
+            df, last = self._watched(df)
         for name, fn in self.hooks:
             before, df = df, fn(df)
-            self._audit.append(_Audit(name, split, sorted(set(df.columns) - set(before.columns)), before, df))
+            added, seen = sorted(set(df.columns) - set(before.columns)), None
+            if self.audited:
+                df, now = self._watched(df)
+                seen, last = (last, now), now
+            self._audit.append(_Audit(name, split, added, before, df, seen))
         return df
 
     def audit(self, spark) -> DataFrame:
-        """(hook, split, rows_dropped, cols_added), rows counted in one job."""
+        """(hook, split, rows_dropped, cols_added).
+
+        An audited chain runs once for all its counts, which are read from that very execution: jobs that
+        other users of the frame start (range sampling, RDDs) have counts of their own.
+        """
         schema = "hook string, split string, rows_dropped long, cols_added array<string>"
         if not self._audit:
             return spark.createDataFrame([], schema)
+        if all(a.seen for a in self._audit):
+            n: dict = {}
+            for a, after in zip(self._audit, [*self._audit[1:], None]):
+                if after is None or after.seen[0] != a.seen[1]:          # the last hook of a chain
+                    run = a.after.select("*")._jdf.queryExecution()      # a plan of its own
+                    run.toRdd().count()
+                    metrics = run.observedMetrics()
+                    for x in (y for b in self._audit for y in b.seen):
+                        if metrics.contains(x):
+                            n[x] = metrics.apply(x).getLong(0)
+            return spark.createDataFrame([(a.hook, a.split, n[a.seen[0]] - n[a.seen[1]], a.cols_added) for a in self._audit], schema)
         frames: list[DataFrame] = []
         places: list[tuple[int, int]] = []
         for a in self._audit:                             # neighbours share their boundary

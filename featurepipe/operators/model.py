@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 
 from featurepipe.operators.boosting import HistogramBooster
 from featurepipe.operators.ordering import dense_index
-from featurepipe.operators.stats import exact_median
-from featurepipe.session import broadcast_if_small
+from featurepipe.operators.stats import exact_median, radix_select
+from featurepipe.session import broadcast_if_small, materialized, release
 
 
 # ---------------------------------------------------------------- I1 / I2: preprocessing -------
@@ -175,7 +176,7 @@ class ModelSettings:
 
     @staticmethod
     def quick() -> "ModelSettings":
-        return ModelSettings(lr_iter=15, rf_trees=8, rf_depth=4, gbt_iter=5, gbt_depth=3, gbt_step=0.1,
+        return ModelSettings(lr_iter=15, rf_trees=8, rf_depth=4, gbt_iter=3, gbt_depth=2, gbt_step=0.3,
                              parallelism=4)
 
 
@@ -216,6 +217,9 @@ class NearestClassMean(Estimator, HasFeaturesCol, HasLabelCol, DefaultParamsRead
         rows = sorted((r["_l"], [float(v) for v in r["_m"]]) for r in rows if r["_l"] is not None)
         return NearestClassMeanModel(featuresCol=self.getFeaturesCol(), labels=[r[0] for r in rows], means=[r[1] for r in rows])
 
+    def of_statistics(self, fit: FoldFit) -> "NearestClassMeanModel":
+        return NearestClassMeanModel(featuresCol=self.getFeaturesCol(), labels=fit.labels, means=fit.means)
+
 
 class NearestClassMeanModel(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
     labels = Param(Params._dummy(), "labels", "class labels", TypeConverters.toListFloat)
@@ -255,6 +259,9 @@ class MajorityClass(Estimator, HasLabelCol, DefaultParamsReadable, DefaultParams
         row = dataset.groupBy(label.alias("_l")).count().orderBy(F.col("count").desc(), "_l").first()
         return MajorityClassModel(value=row["_l"])
 
+    def of_statistics(self, fit: FoldFit) -> "MajorityClassModel":
+        return MajorityClassModel(value=min(zip([-n for n in fit.counts], fit.labels))[1] if fit.labels else None)
+
 
 class MajorityClassModel(Model, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
     value = Param(Params._dummy(), "value", "the label given", TypeConverters.toFloat)
@@ -278,6 +285,84 @@ def pipeline_for(model, features: Sequence[str]) -> Pipeline:
     return Pipeline(stages=[*preprocess_stages(features), model])
 
 
+# ---------------------------------------------------------------- I5: leave one fold out -------
+@dataclass
+class FoldFit:
+    """What the rows of all folds but one (the last fit: of all folds) say: preprocessing and class figures."""
+
+    pre: PipelineModel
+    rows: int
+    labels: list[float]
+    counts: list[int]
+    means: list[list[float]]           # of the prepared features, by label
+
+
+def fold_histograms(train: DataFrame, features: Sequence[str], label: str, fold_col: str, folds: int) -> tuple[DataFrame, str]:
+    """``(f, y, v, w)``: rows by feature, label and value (null for a missing one), counted for each fit, and
+    the folder that holds the table.
+
+    ``w`` has a number for every fold, the rows of all *other* folds, and one for all rows. It is one
+    pass over the rows and everything that a fit needs: tables of shards add up, and each "all but
+    fold i" is a subtraction.
+    """
+    cells = [F.struct(F.lit(i).alias("f"), F.col(c).cast("double").alias("v")) for i, c in enumerate(features)]
+    long = train.select(F.col(label).cast("double").alias("y"), F.col(fold_col).alias("_k"), F.explode(F.array(*cells)).alias("c"))
+    value = F.when(~F.isnan("c.v"), F.col("c.v"))
+    table = (long.select("y", "_k", "c.f", value.alias("v")).groupBy("f", "y", "v")
+             .agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("_k") == i).alias(f"n{i}") for i in range(folds)]))
+    weights = F.array(*[F.col("n") - F.col(f"n{i}") for i in range(folds)], F.col("n"))
+    return materialized(table.select("f", "y", "v", weights.alias("w")), "fold-values")
+
+
+def leave_one_out(train: DataFrame, features: Sequence[str], label: str, fold_col: str, folds: int, cap: int = 500_000) -> list[FoldFit]:
+    """Fits for every "all folds but i" and, last, for all rows, from one pass over ``train``.
+
+    Medians, means, deviations and class means come from the value histograms; only (features x
+    fits) and (features x fits x labels) numbers come to the driver. Features of more than ``cap``
+    different values have their medians selected by radix.
+    """
+    features, fits = list(features), folds + 1
+    table, folder = fold_histograms(train, features, label, fold_col, folds)
+    known = table.where("v IS NOT NULL")
+    most = known.groupBy("f").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    med = [[float("nan")] * len(features) for _ in range(fits)]
+    if most <= cap:
+        row = known.groupBy("f").agg(*[F.percentile("v", F.lit(0.5), F.col("w")[i]).alias(f"m{i}") for i in range(fits)])
+        for r in row.collect():
+            for i in range(fits):
+                med[i][r["f"]] = float("nan") if r[f"m{i}"] is None else r[f"m{i}"]
+    else:
+        sizes = known.groupBy("f").agg(F.array(*[F.sum(F.col("w")[i]) for i in range(fits)]).alias("n")).select("f", F.posexplode("n").alias("fit", "n"))
+        ranks = sizes.where("n > 0").select("f", "fit", F.explode(F.array_distinct(F.array(
+            ((F.col("n") - 1) / 2).cast("long"), (F.col("n") / 2).cast("long")))).alias("rank"))
+        for r in radix_select(known, ranks, ["f"], "v", "w").groupBy("f", "fit").agg(((F.min("value") + F.max("value")) / 2).alias("m")).collect():
+            med[r["fit"]][r["f"]] = r["m"]
+    # sums of imputed values, then of squares around their means: both over the small table
+    filled = F.expr("array(" + ",".join("array(" + ",".join(f"double('{x!r}')" for x in m) + ")" for m in med) + ")")
+    cells = table.select("f", "y", "v", F.posexplode("w").alias("fit", "n")).where("n > 0")
+    cells = cells.withColumn("x", F.coalesce("v", F.get(F.get(filled, F.col("fit")), F.col("f"))))
+    sums = [[{} for _ in features] for _ in range(fits)]
+    for r in cells.groupBy("f", "fit", "y").agg(F.sum("n").alias("n"), F.sum(F.col("x") * F.col("n")).alias("s")).collect():
+        sums[r["fit"]][r["f"]][r["y"]] = (r["n"], r["s"])
+    mean = [[sum(s for _, s in by.values()) / max(1, sum(n for n, _ in by.values())) for by in fit] for fit in sums]
+    middle = F.expr("array(" + ",".join("array(" + ",".join(f"double('{x!r}')" for x in m) + ")" for m in mean) + ")")
+    off = F.col("x") - F.get(F.get(middle, F.col("fit")), F.col("f"))
+    spread = [[1.0] * len(features) for _ in range(fits)]
+    for r in cells.groupBy("f", "fit").agg(F.sum("n").alias("n"), F.sum(off * off * F.col("n")).alias("s")).collect():
+        sd = (r["s"] / r["n"]) ** 0.5 if r["s"] is not None else 0.0
+        spread[r["fit"]][r["f"]] = sd if sd and sd == sd else 1.0
+    release(train.sparkSession, folder)
+    out = []
+    for i in range(fits):
+        pre = PipelineModel(stages=[ExactMedianImputerModel(inputCols=features, values=med[i]),
+                                    PopulationScalerModel(inputCols=features, values=mean[i], scales=spread[i]),
+                                    VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")])
+        labels = sorted(y for y in (sums[i][0] if features else {}) if y is not None)
+        out.append(FoldFit(pre, sum(n for n, _ in sums[i][0].values()) if features else 0, labels, [sums[i][0][y][0] for y in labels],
+                           [[(sums[i][f][y][1] / sums[i][f][y][0] - mean[i][f]) / spread[i][f] for f in range(len(features))] for y in labels]))
+    return out
+
+
 # ---------------------------------------------------------------- I5-I9 ------------------------
 def accuracy(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> float:
     """Share of rows whose prediction equals the label."""
@@ -291,9 +376,10 @@ def cross_validate(train: DataFrame, cands: Callable[[int], Mapping[str, object]
     """I5 + I6: per candidate train accuracy, mean and population std of fold accuracy.
 
     Same protocol as ``CrossValidator(foldCol=...)`` with the preprocessing inside the pipeline:
-    the imputer and scaler are refitted on every fold's training rows. Because the folds are
-    shared by all candidates, each fold's preprocessing is fitted once and its assembled vectors
-    cached, then every candidate trains on them (``parallelism`` candidates at a time).
+    imputer and scaler are those of every fold's training rows, and so are closed-form candidates
+    (those with ``of_statistics``); all of them come from one pass (``leave_one_out``) and are judged
+    in one more. Any other candidate trains on each fold's assembled vectors, cached once
+    (``parallelism`` candidates at a time).
     ``cands`` may be a function of the number of rows a fit sees (``candidates``): the L2 strength
     depends on it, and a fold trains on fewer rows than the whole.
     """
@@ -301,26 +387,45 @@ def cross_validate(train: DataFrame, cands: Callable[[int], Mapping[str, object]
     evaluator = MulticlassClassificationEvaluator(metricName="accuracy", labelCol=label)
     make = cands if callable(cands) else lambda _n: cands
     names = list(make(1))
-
-    def score_all(fit_rows: DataFrame, eval_rows: DataFrame) -> list[float]:
-        pre = Pipeline(stages=preprocess_stages(features)).fit(fit_rows)
-        fx = pre.transform(fit_rows).select(label, "features").cache()
-        ex = fx if eval_rows is fit_rows else pre.transform(eval_rows).select(label, "features").cache()
-        models = make(fx.count())
+    fits = leave_one_out(train, features, label, fold_col, s.folds)
+    closed = [n for n, est in make(1).items() if hasattr(est, "of_statistics")]
+    scored: dict[str, list[float]] = {}
+    if closed:
+        parts = []
+        for i, fit in enumerate(fits):
+            part = fit.pre.transform(train.where(F.col(fold_col) == i) if i < s.folds else train)
+            for j, name in enumerate(closed):
+                model = make(fit.rows)[name].of_statistics(fit)
+                part = model.copy({model.predictionCol: f"_fp_p{j}"}).transform(part)
+            parts.append(part.select(F.lit(i).alias("fit"), *[(F.col(f"_fp_p{j}") == F.col(label).cast("double")).cast("double").alias(f"_fp_p{j}")
+                                                              for j in range(len(closed))]))
+        got = {r["fit"]: r for r in reduce(DataFrame.unionAll, parts).groupBy("fit").agg(
+            *[F.avg(f"_fp_p{j}").alias(f"a{j}") for j in range(len(closed))]).collect()}
+        for j, name in enumerate(closed):
+            scored[name] = [float(got[i][f"a{j}"]) if i in got else float("nan") for i in range(len(fits))]
+    others = [n for n in names if n not in closed]
+
+    def score_others(i: int) -> None:
+        fit_rows = train.where(F.col(fold_col) != i) if i < s.folds else train
+        fx = fits[i].pre.transform(fit_rows).select(label, "features").cache()
+        ex = fits[i].pre.transform(train.where(F.col(fold_col) == i)).select(label, "features").cache() if i < s.folds else fx
+        models = make(fits[i].rows)
 
         def one(name: str) -> float:
             return float(evaluator.evaluate(models[name].fit(fx).transform(ex)))
 
         with ThreadPoolExecutor(max_workers=max(1, s.parallelism)) as pool:
-            out = list(pool.map(one, names))
+            for name, a in zip(others, pool.map(one, others)):
+                scored.setdefault(name, []).append(a)
         fx.unpersist()
         if ex is not fx:
             ex.unpersist()
-        return out
 
-    train_acc = score_all(train, train)
-    per_fold = [score_all(train.where(F.col(fold_col) != i), train.where(F.col(fold_col) == i))
-                for i in range(s.folds)]
+    if others:
+        for i in range(len(fits)):
+            score_others(i)
+    per_fold = [[scored[n][i] for n in names] for i in range(s.folds)]
+    train_acc = [scored[n][s.folds] for n in names]
     rows = []
     for j, name in enumerate(names):
         accs = [f[j] for f in per_fold]

@@ -218,6 +218,50 @@ def profile(df: DataFrame, name: str, approx: bool = False, by: str | None = Non
                     F.col("o").alias("ordinal")))
 
 
+_REGISTERS = 12                  # bits of a hash that name a register
+
+
+def profile_state(df: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """E5 in a form that can be stored and merged: ``(*group, ordinal, column, dtype, register, most, n)``.
+
+    Values are hashed; the first 12 bits of a hash name a register, which keeps the greatest place of
+    the first set bit of the rest (``most``, a HyperLogLog) and the rows that fell into it; missing
+    values have register -1. There are at most 4,097 rows a column and group. States merge by
+    maximum and sum, so the order in which files or shards come plays no part.
+    ``group`` names e.g. the split and the file or day that the rows came with.
+    """
+    names = list(group)
+    cells = [F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column"), F.lit(t).alias("dtype"),
+                      F.when(~_missing(F.col(c), t), F.xxhash64(F.col(c).cast("string"))).alias("h"))
+             for i, (c, t) in enumerate(x for x in df.dtypes if x[0] not in names)]
+    long = df.select(*names, F.explode(F.array(*cells)).alias("_fp_c")).select(*names, "_fp_c.*")
+    rest = 64 - _REGISTERS
+    place = F.lit(rest + 1) - F.length(F.bin(F.col("h").bitwiseAND(F.lit((1 << rest) - 1))))      # bin(0) has one digit
+    register = F.coalesce(F.shiftrightunsigned("h", rest).cast("int"), F.lit(-1))
+    return long.groupBy(*names, "ordinal", "column", "dtype", register.alias("register")).agg(F.max(place).alias("most"), F.count(F.lit(1)).alias("n"))
+
+
+def merged_profile(states: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """The profile of all rows that went into ``states`` (of each ``by`` group), without reading them again.
+
+    It equals that of a single state of all rows. ``n_unique`` is estimated: its relative standard
+    error is 1.04 / sqrt(4096), 1.63 percent; ``profile`` counts exactly.
+    """
+    keys = ([by] if by else []) + ["ordinal", "column", "dtype"]
+    one = states.groupBy(*keys, "register").agg(F.max("most").alias("most"), F.sum("n").alias("n"))
+    live, m = F.col("register") >= 0, 1 << _REGISTERS
+    out = one.groupBy(*keys).agg(
+        F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(~live, F.col("n"))), F.lit(0)).alias("n_missing"), F.count_if(live).alias("k"),
+        F.coalesce(F.sum(F.when(live, F.pow(F.lit(2.0), -F.col("most").cast("double")))), F.lit(0.0)).alias("z"))
+    raw = F.lit(0.7213 / (1 + 1.079 / m) * m * m) / (F.col("z") + (m - F.col("k")))
+    few = F.lit(float(m)) * F.ln(m / (m - F.col("k")).cast("double"))          # while registers are empty
+    estimate = F.when((raw <= 2.5 * m) & (F.col("k") < m), few).otherwise(raw)
+    split = F.concat(F.lit(name + "_"), F.col(by).cast("string")) if by else F.lit(name)
+    return out.select(split.alias("split"), "column", "n_rows", "n_missing",
+                      F.bround(F.col("n_missing") / F.greatest(F.col("n_rows"), F.lit(1)) * 100, 2).alias("pct_missing"),
+                      F.round(estimate).cast("long").alias("n_unique"), "dtype", "ordinal")
+
+
 def coverage(df: DataFrame, cols: Sequence[str], stage: str | None = None) -> DataFrame:
     """Percent of non-missing values per column, one row per column (single pass); 0 for no rows."""
     present = [c for c in cols if c in df.columns]

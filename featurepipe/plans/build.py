@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featurepipe.config import DEFAULT, PipelineConfig
-from featurepipe.operators.gates import run_all_gates
+from featurepipe.operators.gates import GateError, gate_metrics, judge_metrics, run_all_gates
 from featurepipe.operators.hooks import HookRegistry, default_hooks
 from featurepipe.operators.relations import clean_relation
 from featurepipe.plans.gold import crew_counts, gold_build
@@ -106,18 +106,26 @@ def run_build(spark, raw_dir: str, out_dir: str, cfg: PipelineConfig = DEFAULT,
               profiles: bool = True, approx_profile: bool = False, release: bool = False) -> Stages:
     """J5 end to end from files: merged / cleaned / processed stages (one folder per split, rows in
     order, no label column in hidden splits) and one profile per stage and split, as the
-    reference's build writes them. ``release=True`` deletes the intermediates afterwards (the
-    returned frames then read the written outputs only through ``out_dir``)."""
+    reference's build writes them. A stage is published whole (``sources.published``): the cleaned
+    stage's gates are judged on counts that its own write observes, and a failing one leaves the
+    old stages. ``release=True`` deletes the intermediates afterwards (the returned frames then
+    read the written outputs only through ``out_dir``)."""
     from featurepipe.operators.stats import profile
     from featurepipe.sources.csv import ORDER_COLS
-    from featurepipe.sources.stages import write_profile, write_stage
+    from featurepipe.sources.published import publish_stage
+    from featurepipe.sources.stages import write_profile
     bronze_raw, rels = read_raw(spark, raw_dir, cfg)
-    st = build_frames(bronze_raw, rels, list(ORDER_COLS), cfg, split_col=cfg.split)
+    st = build_frames(bronze_raw, rels, list(ORDER_COLS), cfg, split_col=cfg.split, gates=False)
+    missing = sorted(set(cfg.required) - set(st.hooked.columns))
+    if missing:
+        raise GateError(f"gate required_columns failed: missing {missing}; available columns: {sorted(st.hooked.columns)}")
     outputs = {"merged": (st.bronze, ORDER_COLS, ORDER_COLS), "cleaned": (st.hooked, [cfg.row_id], ()),
                "processed": (st.gold, [cfg.row_id], ())}
     for stage, (df, order, drop) in outputs.items():
-        for name, part in split_frames(df, cfg.split, label=cfg.label).items():
-            write_stage(part, f"{out_dir}/{stage}/{cfg.split}={name}", fmt, order_by=order, drop=drop)
+        gated = stage == "cleaned"
+        publish_stage(split_frames(df, cfg.split, label=cfg.label), f"{out_dir}/{stage}", fmt, cfg.split, order, drop,
+                      (lambda name, part: gate_metrics(name, part, cfg.key, cfg.label, cfg.start_year, cfg.year_min, cfg.year_max, HIDDEN))
+                      if gated else None, judge_metrics if gated else None)
     if profiles:
         layer = {"merged": "bronze", "cleaned": "silver", "processed": "gold"}
         hidden = [f"{x}_{name}" for x in layer.values() for name in HIDDEN]

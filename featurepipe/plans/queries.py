@@ -630,23 +630,17 @@ def q_stratified_folds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --- I3 I5 I6 I7 I8 I9 A9 B19: closed-form candidates, CV, best, refit, predict, importances -----
-_TRAINED: dict = {}
-
-
 def _trained(spark: SparkSession, sf: str):
-    """One training run per (application, tables), shared by the three model queries."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _TRAINED:
-        from featurepipe.operators.model import closed_form_candidates
-        from featurepipe.plans.bindings import DOC_FEATURES, doc_features
-        from featurepipe.plans.train import train_and_predict
-        docs = doc_features(spark, sf).persist()
-        train = docs.where(F.col("split") == "train").drop("split")
-        hidden = {"hidden": doc_features(spark, sf).where(F.col("split") == "hidden").drop("split", "label")}
-        _TRAINED[key] = train_and_predict(train, hidden, DOC_FEATURES, "label", ["doc_id"],
-                                          make=lambda _n: closed_form_candidates("label"))
-        docs.unpersist()
-    return _TRAINED[key]
+    """The whole protocol: folds, scores, best candidate, refit, predictions, importances."""
+    from featurepipe.operators.model import closed_form_candidates
+    from featurepipe.plans.bindings import DOC_FEATURES, doc_features
+    from featurepipe.plans.train import train_and_predict
+    docs = doc_features(spark, sf).persist()
+    train = docs.where(F.col("split") == "train").drop("split")
+    hidden = {"hidden": doc_features(spark, sf).where(F.col("split") == "hidden").drop("split", "label")}
+    out = train_and_predict(train, hidden, DOC_FEATURES, "label", ["doc_id"], make=lambda _n: closed_form_candidates("label"))
+    docs.unpersist()
+    return out
 
 
 def _model_sql() -> str:
@@ -829,15 +823,19 @@ def q_median_null_group(spark: SparkSession, sf: str) -> DataFrame:
             .unionByName(exact_median(d, "n_chars", ["g"], cap=40).withColumn("way", F.lit("narrowed"))))
 
 
-# --- E5 on an empty frame ------------------------------------------------------------------------
+# --- E5 on all rows and on an empty split beside them --------------------------------------------
 @register("profile_empty", """
-SELECT 'none' AS split, * FROM (VALUES ('c_custkey', 'bigint'), ('c_name', 'string'), ('c_acctbal', 'double')) v("column", dtype),
-  (SELECT COUNT(*) AS n_rows, COUNT(*) AS n_missing, 0.0::DOUBLE AS pct_missing, COUNT(DISTINCT c_name) AS n_unique
-   FROM customer WHERE c_custkey < 0)
+WITH c AS (SELECT 'all' AS split, c_custkey, c_name, c_acctbal FROM customer),
+s AS (SELECT unnest(['all', 'none']) AS split)
+SELECT s.split, v."column", v.dtype, COUNT(c.split) AS n_rows, 0::BIGINT AS n_missing, 0.0::DOUBLE AS pct_missing,
+  CASE v."column" WHEN 'c_custkey' THEN COUNT(DISTINCT c_custkey) WHEN 'c_name' THEN COUNT(DISTINCT c_name) ELSE COUNT(DISTINCT c_acctbal) END AS n_unique
+FROM s CROSS JOIN (VALUES ('c_custkey', 'bigint'), ('c_name', 'string'), ('c_acctbal', 'double')) v("column", dtype) LEFT JOIN c ON c.split = s.split
+GROUP BY 1, 2, 3
 """)
 def q_profile_empty(spark: SparkSession, sf: str) -> DataFrame:
-    c = table(spark, sf, "customer").where("c_custkey < 0").select("c_custkey", "c_name", F.col("c_acctbal").cast("double").alias("c_acctbal"))
-    return profile(c, "none").drop("ordinal")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", F.col("c_acctbal").cast("double").alias("c_acctbal"))
+    both = profile(c, "all").unionByName(profile(c.where(F.lit(False)), "none"))
+    return both.drop("ordinal")
 
 
 # --- J7: stage comparison ------------------------------------------------------------------------
@@ -882,7 +880,7 @@ UNION ALL SELECT 'keep_cheap', 'all', COUNT(*) FILTER (WHERE o_totalprice >= 100
 """)
 def q_hook_audit(spark: SparkSession, sf: str) -> DataFrame:
     from featurepipe.operators import HookRegistry
-    reg = HookRegistry()
+    reg = HookRegistry(audited=True)
     reg.register(lambda d: d.where("o_orderstatus <> 'P'"), "drop_pending")
     reg.register(lambda d: d.withColumns({"yr": F.year("o_orderdate"), "half": F.quarter("o_orderdate")}), "add_year")
     reg.register(lambda d: d.where("o_totalprice < 100000"), "keep_cheap")
@@ -904,3 +902,124 @@ def q_stage_round_trip(spark: SparkSession, sf: str) -> DataFrame:
         write_stage(o, f"{base}/{fmt}", fmt, order_by="o_orderkey")
         parts.append(read_stage(spark, f"{base}/{fmt}", fmt, schema="o_orderkey bigint, price double, title string").withColumn("fmt", F.lit(fmt)))
     return parts[0].unionByName(parts[1])
+
+
+# --- I3: the first tree of both boosters, with all its gains --------------------------------------
+BOOST_FEATURES = {
+    "len": "CAST(floor(least(length(text), 4000) / 100) AS DOUBLE)",
+    "chars": "CASE WHEN doc_id % 9 = 0 THEN NULL ELSE CAST(floor(least(n_chars, 8000) / 250) AS DOUBLE) END",
+    "lang": "CAST(CASE lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 ELSE 3 END AS DOUBLE)",
+    "source": "CAST(length(source) AS DOUBLE)",
+}
+
+
+def _tree_sql(depth: int, l2: float, min_hessian: float, min_rows: int) -> str:
+    """Levels of one tree: every cut of every feature of every node, both ways for missing values."""
+    names = list(BOOST_FEATURES)
+    unit = 1 << 30
+
+    def worth(g: str, h: str) -> str:
+        return f"({g} / {unit}.0) * ({g} / {unit}.0) / ({h} / {unit}.0 + {l2})"
+
+    out = [f"""WITH r AS (SELECT doc_id, quality AS y, {", ".join(f"{e} AS {n}" for n, e in BOOST_FEATURES.items())}
+  FROM documents JOIN labels USING (doc_id)),
+b AS (SELECT ln(SUM(y) / (COUNT(*) - SUM(y))) AS s FROM r),
+r0 AS (SELECT r.*, 0 AS node, CAST(round((1 / (1 + exp(-s)) - y) * {unit}) AS BIGINT) AS g,
+  CAST(round((1 / (1 + exp(-s))) * (1 - 1 / (1 + exp(-s))) * {unit}) AS BIGINT) AS h FROM r, b),
+vals AS ({" UNION ALL ".join(f"SELECT DISTINCT {i} AS f, {n} AS v FROM r WHERE {n} IS NOT NULL" for i, n in enumerate(names))}),
+cuts AS (SELECT f, v, v + (lead(v) OVER (PARTITION BY f ORDER BY v) - v) / 2 AS threshold FROM vals)"""]
+    for d in range(depth + 1):
+        out.append(f"t{d} AS (SELECT node, SUM(g)::BIGINT AS g, SUM(h)::BIGINT AS h, COUNT(*) AS n FROM r{d} GROUP BY node)")
+        if d == depth:
+            break
+        out.append(f"c{d} AS ({' UNION ALL '.join(f'SELECT node, g, h, {i} AS f, {n} AS v FROM r{d}' for i, n in enumerate(names))})")
+        out.append(f"m{d} AS (SELECT node, f, SUM(g)::BIGINT AS mg, SUM(h)::BIGINT AS mh, COUNT(*) AS mn FROM c{d} WHERE v IS NULL GROUP BY node, f)")
+        out.append(f"l{d} AS (SELECT t.node, k.f, k.v, k.threshold, COALESCE(SUM(c.g), 0)::BIGINT AS lg, COALESCE(SUM(c.h), 0)::BIGINT AS lh, COUNT(c.g) AS ln "
+                   f"FROM t{d} t CROSS JOIN cuts k LEFT JOIN c{d} c ON c.node = t.node AND c.f = k.f AND c.v <= k.v GROUP BY ALL)")
+        out.append(f"w{d} AS (SELECT l.node, l.f, l.v, l.threshold, w.way, t.g, t.h, t.n, lg + w.way * COALESCE(mg, 0) AS lg, lh + w.way * COALESCE(mh, 0) AS lh, "
+                   f"ln + w.way * COALESCE(mn, 0) AS ln FROM l{d} l JOIN t{d} t ON t.node = l.node LEFT JOIN m{d} m ON m.node = l.node AND m.f = l.f, "
+                   f"(SELECT unnest([0, 1]) AS way) w)")
+        out.append(f"""s{d} AS (SELECT node, f, v, threshold, way, gain FROM (
+  SELECT *, 0.5 * ({worth('lg', 'lh')} + {worth('(g - lg)', '(h - lh)')} - {worth('g', 'h')}) AS gain FROM w{d}
+  WHERE least(lh, h - lh) >= {min_hessian} * {unit} AND least(ln, n - ln) >= {min_rows}) WHERE gain > 0
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v, way) = 1)""")
+        value = "CASE s.f " + " ".join(f"WHEN {i} THEN r.{n}" for i, n in enumerate(names)) + " END"
+        out.append(f"r{d + 1} AS (SELECT r.* REPLACE (2 * r.node + CASE WHEN CASE WHEN {value} IS NULL THEN s.way = 1 ELSE {value} <= s.v END THEN 1 ELSE 2 END AS node) "
+                   f"FROM r{d} r JOIN s{d} s ON s.node = r.node)")
+    feature = "CASE s.f " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(names)) + " END"
+    rows = []
+    for d in range(depth + 1):
+        value = f"round(-(t.g / {unit}.0) / (t.h / {unit}.0 + {l2}), 6) AS value"
+        if d < depth:
+            rows.append(f"SELECT t.node::INTEGER AS node, {d} AS depth, {feature} AS feature, round(s.threshold, 6) AS threshold, s.way = 1 AS missing_left, "
+                        f"round(s.gain, 6) AS gain, t.n AS n_rows, {value} FROM t{d} t LEFT JOIN s{d} s ON s.node = t.node")
+        else:
+            rows.append(f"SELECT t.node::INTEGER, {d}, NULL, NULL, NULL, NULL, t.n, {value} FROM t{d} t")
+    return ",\n".join(out) + "\n" + "\nUNION ALL ".join(rows)
+
+
+@register("booster_splits", _tree_sql(3, 1.0, 1.0, 1))
+def q_booster_splits(spark: SparkSession, sf: str) -> DataFrame:
+    from featurepipe.operators.boosting import GrowthRules, split_report
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    d = d.select("quality", *[F.expr(e).alias(n) for n, e in BOOST_FEATURES.items()])
+    rep = split_report(d, list(BOOST_FEATURES), "quality", GrowthRules("level", depth=3))
+    return rep.withColumns({"threshold": F.when(F.col("threshold") != float("inf"), F.round("threshold", 6)),
+                            "gain": F.round("gain", 6), "value": F.round("value", 6)})
+
+
+# --- A7: profile files read back ------------------------------------------------------------------
+@register("profile_sink", f"""
+WITH dirty AS ({_PR_DIRTY}), p AS ({_PR_PARTS})
+SELECT p.*, CASE WHEN "column" = 'c_custkey' THEN 'bigint' WHEN "column" = 'c_nationkey' THEN 'int' WHEN "column" = 'c_acctbal' THEN 'double' ELSE 'string' END AS dtype,
+       list_position([{", ".join(f"'{n}'" for n in PR_COLS)}], "column")::BIGINT - 1 AS line FROM p
+""")
+def q_profile_sink(spark: SparkSession, sf: str) -> DataFrame:
+    from featurepipe.sources import write_profile
+    path = _scratch(spark, "profile")
+    c = table(spark, sf, "customer").select(*[F.expr(e).alias(n) for n, e in PR_COLS.items()])
+    write_profile(profile(c, "customer"), path)
+    back = spark.read.option("header", True).option("escape", '"').schema(
+        "split string, column string, n_rows long, n_missing long, pct_missing double, n_unique long, dtype string").csv(path)
+    return with_row_id(back.withColumn("_at", F.monotonically_increasing_id()), ["_at"], "line").drop("_at")   # one file: its order
+
+
+# --- F3 A6: rows of a written stage lie in order ----------------------------------------------------
+@register("stage_order", """
+SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS line FROM orders
+""")
+def q_stage_order(spark: SparkSession, sf: str) -> DataFrame:
+    from featurepipe.sources import write_stage
+    path = _scratch(spark, "stage-order")
+    write_stage(table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), path, "csv", order_by=["o_orderdate", "o_orderkey"], drop=["o_orderdate"])
+    back = spark.read.option("header", True).schema("o_orderkey bigint").csv(path)
+    back = back.select("o_orderkey", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().alias("_at"))
+    return with_row_id(back, ["_file", "_block", "_at"], "line").select("o_orderkey", "line")
+
+
+# --- J6 A9 A10: training run's files: the joined submission and the report ----------------------------
+@register("train_files", f"""
+WITH {_model_sql()},
+imp AS ({_importance_sql()}),
+acc1 AS (SELECT train_acc, model FROM scores WHERE model = (SELECT model FROM best))
+SELECT 'predictions' AS file, row_number() OVER (ORDER BY doc_id) - 1 AS line, CASE WHEN pred = 1 THEN 'True' ELSE 'False' END AS value
+FROM p WHERE run = 5 AND fold IS NULL AND model = (SELECT model FROM best)
+UNION ALL SELECT 'report', 0, 'Best model: ' || model FROM acc1
+UNION ALL SELECT 'report', 1, 'Train accuracy: ' || printf('%.4f', train_acc) FROM acc1
+UNION ALL SELECT 'report', 2, ''
+UNION ALL SELECT 'report', 3, 'Feature importances:'
+UNION ALL SELECT 'report', 3 + rank, '  ' || rpad(feature, 25, ' ') || ' ' || printf('%.4f', importance) FROM imp
+""")
+def q_train_files(spark: SparkSession, sf: str) -> DataFrame:
+    from featurepipe.sources import model_report, write_predictions, write_report
+    base = _scratch(spark, "train")
+    res = _trained(spark, sf)
+    write_predictions(res.predictions["hidden"], "doc_id", f"{base}/parts", single_file=f"{base}/predictions/hidden.txt")
+    write_report(model_report(spark, res.report_lines()), f"{base}/report")
+    out = []
+    for name in ("predictions", "report"):
+        lines = spark.read.text(f"{base}/{name}").select("value", F.col("_metadata.file_block_start").alias("_block"),
+                                                         F.monotonically_increasing_id().alias("_at"))
+        out.append(with_row_id(lines, ["_block", "_at"], "line").select(F.lit(name).alias("file"), "line", "value"))
+    return out[0].unionByName(out[1])

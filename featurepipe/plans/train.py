@@ -61,15 +61,17 @@ def read_processed(spark, processed_dir: str, cfg, fmt: str = "csv") -> dict[str
     """The processed splits; CSV with the gold types, so nothing is inferred."""
     from featurepipe.plans.build import HIDDEN, SPLITS
     from featurepipe.plans.gold import gold_types
+    from featurepipe.sources.published import stage_path
     from featurepipe.sources.stages import read_stage
-    return {s: read_stage(spark, f"{processed_dir}/{cfg.split}={s}", fmt,
+    folder = stage_path(spark, processed_dir)
+    return {s: read_stage(spark, f"{folder}/{cfg.split}={s}", fmt,
                           gold_types(cfg, label=s not in HIDDEN) if fmt == "csv" else None) for s in SPLITS}
 
 
 def run_train(spark, processed_dir: str, out_dir: str, cfg=None, settings: ModelSettings = ModelSettings(),
               fmt: str = "csv") -> TrainResult:
     """J6 end to end from the processed stage: predictions for val and test (True/False lines in
-    row order) and the model report."""
+    row order, as part files and as one file each) and the model report."""
     from featurepipe.config import DEFAULT
     from featurepipe.sources.sinks import model_report, write_predictions, write_report
     cfg = cfg or DEFAULT
@@ -77,6 +79,6 @@ def run_train(spark, processed_dir: str, out_dir: str, cfg=None, settings: Model
     res = train_and_predict(parts["train"], {"val": parts["val"], "test": parts["test"]}, cfg.features,
                             cfg.label, [cfg.row_id], settings)
     for split, pred in res.predictions.items():
-        write_predictions(pred, cfg.row_id, f"{out_dir}/predictions_{split}")
+        write_predictions(pred, cfg.row_id, f"{out_dir}/predictions_{split}", single_file=f"{out_dir}/predictions_{split}.txt")
     write_report(model_report(spark, res.report_lines()), f"{out_dir}/model_report")
     return res

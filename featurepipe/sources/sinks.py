@@ -13,15 +13,37 @@ def prediction_text(pred: Column) -> Column:
     return F.when(pred == 1, F.lit("True")).otherwise(F.lit("False"))
 
 
+def join_parts(spark: SparkSession, folder: str, file: str) -> None:
+    """One file of the part files of ``folder`` in name order. The bytes go from stream to stream, in
+    blocks, so nothing is held; the file appears whole, by a rename."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source, target = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(file)
+    fs = source.getFileSystem(conf)
+    parts = sorted(str(s.getPath().toString()) for s in fs.listStatus(source) if s.getPath().getName().startswith("part-"))
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{file}._joining")
+    out = fs.create(fresh, True)
+    try:
+        for part in parts:
+            stream = fs.open(jvm.org.apache.hadoop.fs.Path(part))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, conf, False)
+            finally:
+                stream.close()
+    finally:
+        out.close()
+    fs.delete(target, False)
+    fs.rename(fresh, target)
+
+
 def write_predictions(df: DataFrame, order_col: str, path: str, pred_col: str = "prediction",
-                      single_file: bool = False) -> None:
-    """One line per row, in ``order_col`` order. Spark writes range-sorted part files whose
-    concatenation (part-00000, part-00001, ...) is the submission; ``single_file`` coalesces
-    to one task and is meant for small outputs only."""
+                      single_file: str | None = None) -> None:
+    """One line per row, in ``order_col`` order. Spark writes range-sorted part files; their
+    concatenation (part-00000, part-00001, ...) is the submission, which ``single_file`` names: any
+    number of tasks writes the parts, and the file system joins them."""
     out = df.orderBy(order_col).select(prediction_text(F.col(pred_col)).alias("value"))
-    if single_file:
-        out = out.coalesce(1)
     out.write.mode("overwrite").text(path)
+    if single_file:
+        join_parts(df.sparkSession, path, single_file)
 
 
 def model_report(spark: SparkSession, lines: Sequence[str]) -> DataFrame:

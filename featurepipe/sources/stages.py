@@ -4,19 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def write_stage(df: DataFrame, path: str, fmt: str = "parquet", order_by: str | Sequence[str] | None = None,
-                partition_by: str | None = None, drop: Sequence[str] = ()) -> None:
+                partition_by: str | None = None, drop: Sequence[str] = (),
+                observed: tuple[Observation, Sequence[Column]] | None = None) -> None:
     """Overwrite ``path`` with ``df``. ``order_by`` range-sorts the output (row order at the sink, F3:
     files in name order hold the rows in order); ``drop`` leaves columns out after that. CSV is
     written with a header, quotes doubled. ``partition_by`` lays out one folder per value (e.g. the
-    split) so a reader of one split prunes the others."""
+    split) so a reader of one split prunes the others. ``observed`` names aggregates that the write
+    itself gathers: behind the sort, in the writing tasks, so that sampling and lost tasks add nothing."""
     order = [order_by] if isinstance(order_by, str) else list(order_by or [])
     if partition_by and order:
         order = [partition_by, *order]
-    out = (df.orderBy(*order) if order else df).drop(*drop)
+    out = df.orderBy(*order) if order else df
+    if observed:
+        out = out.observe(observed[0], *observed[1])
+    out = out.drop(*drop)
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from featurepipe.operators.model import ModelSettings
 from featurepipe.plans.build import run_build
 from featurepipe.plans.train import run_train
+from featurepipe.sources.published import stage_path
 
 
 def _w(path, text):
@@ -45,10 +46,11 @@ def test_build_and_train_from_files(spark, tmp_dir):
     st = run_build(spark, raw, out, fmt="parquet")
     counts = {r.split: r["count"] for r in st.gold.groupBy("split").count().collect()}
     assert counts == {"train": 45, "val": 10, "test": 8}
-    gold = spark.read.option("mergeSchema", True).parquet(os.path.join(out, "processed"))
-    hidden = spark.read.parquet(os.path.join(out, "processed", "split=val"))
+    folder = stage_path(spark, os.path.join(out, "processed"))
+    gold = spark.read.option("mergeSchema", True).parquet(folder)
+    hidden = spark.read.parquet(os.path.join(folder, "split=val"))
     assert "label" not in hidden.columns and len(hidden.columns) + 1 == len(spark.read.parquet(
-        os.path.join(out, "processed", "split=train")).columns)
+        os.path.join(folder, "split=train")).columns)
     tr = {r.tconst: r for r in gold.where(F.col("split") == "train").collect()}
     assert tr["tt5"].startYear == 1905.0                 # swapped year repaired
     assert tr["tt1"].primaryTitle == "Title 1"           # accents stripped
@@ -68,6 +70,7 @@ def test_build_and_train_from_files(spark, tmp_dir):
         d = os.path.join(out, "model", f"predictions_{split}")
         lines = [ln for f in sorted(os.listdir(d)) if f.startswith("part-") for ln in open(os.path.join(d, f)).read().splitlines()]
         assert len(lines) == n and set(lines) <= {"True", "False"}
+        assert open(f"{d}.txt").read().splitlines() == lines
     assert res.report_lines()[0].startswith("Best model: ")
     from featurepipe.session import release_materialized
     assert release_materialized(spark) >= 1     # the row-id intermediate

@@ -8,7 +8,7 @@ from featurepipe.plans.bindings import TABLES
 
 from tables import SF_SMALL
 
-FAST = ["hooks_chain", "strip_accents_turns", "csv_union_files", "csv_tolerant_files", "relation_files", "median_null_group",
+FAST = ["booster_splits", "profile_sink", "stage_order", "train_files", "hooks_chain", "strip_accents_turns", "csv_union_files", "csv_tolerant_files", "relation_files", "median_null_group",
         "profile_empty", "compare_stages", "gate_failure", "hook_audit", "stage_round_trip", "cv_scores", "importances",
         "fit_predict", "null_sentinels", "strip_accents", "changed_rows_topk", "repair_swap", "cast_range", "map_label",
         "dedup_first", "row_id", "row_id_by_group", "head", "union_by_name", "clean_relation",
@@ -44,7 +44,7 @@ def duck():
     return con
 
 
-_DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
+_DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
 
 
 @pytest.mark.parametrize("name", FAST)
