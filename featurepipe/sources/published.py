@@ -52,6 +52,15 @@ def _set_current(spark: SparkSession, path: str, version: str) -> None:
     context.rename(fs.makeQualified(fresh), fs.makeQualified(_fs(spark, f"{path}/{MANIFEST}")[1]), over)
 
 
+def _apart(df: DataFrame) -> DataFrame:
+    """``df`` in a session of its own, with the same settings and cache. A session that has observed a
+    frame can no longer be sent along with tasks, as evaluators of ``pyspark.ml`` do with theirs."""
+    spark = df.sparkSession
+    other = spark._jsparkSession.cloneSession()
+    plan = spark.sparkContext._jvm.org.apache.spark.sql.classic.Dataset.ofRows(other, df._jdf.logicalPlan())
+    return type(df)(plan, SparkSession(spark.sparkContext, other))
+
+
 def publish_stage(frames: Mapping[str, DataFrame], path: str, fmt: str = "parquet", split_col: str = "split",
                   order_by: str | Sequence[str] | None = None, drop: Sequence[str] = (),
                   metrics: Callable[[str, DataFrame], tuple[DataFrame, dict[str, Column]]] | None = None,
@@ -71,7 +80,7 @@ def publish_stage(frames: Mapping[str, DataFrame], path: str, fmt: str = "parque
         for name, df in frames.items():
             observed = None
             if metrics is not None:
-                df, counts = metrics(name, df)
+                df, counts = metrics(name, _apart(df))
                 watch = Observation()
                 observed = (watch, [c.alias(n) for n, c in counts.items()])
             write_stage(df, f"{staging}/{split_col}={name}", fmt, order_by=order_by,

@@ -47,6 +47,10 @@ def test_publish_all_or_nothing(spark, tmp_dir):
     _publish({"train": good.where("k < 20"), "val": val}, path)
     assert len(_rows(spark, path)) == 20 and not os.path.isdir(first)
     assert stage_path(spark, tmp_dir) == tmp_dir
+    # evaluators send the session with their tasks
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    pred = good.selectExpr("CAST(label AS DOUBLE) AS label", "CAST(label AS DOUBLE) AS prediction")
+    assert MulticlassClassificationEvaluator(metricName="accuracy").evaluate(pred) == 1.0
 
 
 def test_audit_reads_the_table_once(spark, tmp_dir):
