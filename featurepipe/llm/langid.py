@@ -27,7 +27,12 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16              # of each width
 EMBED = 8
 _BLOCK = 512              # windows that go through the network at once
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE = re.compile(r"[^\W\d_]+")       # letters, and some numbers beside
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter (Unicode category L)."""
+    return any(any(map(str.isalpha, m[0])) for m in _MAYBE.finditer(text))
 
 
 def windows(text: str) -> np.ndarray:
@@ -193,7 +198,7 @@ def predict_language(docs: DataFrame, net: ByteNet | None, *, text_col: str = "t
         for batch in batches:
             for rows, texts in text_groups(batch, "_text"):
                 lang, score = ["und"] * len(texts), np.zeros(len(texts))
-                judged = [i for i, t in enumerate(texts) if own is not None and t and _LETTER.search(t)]
+                judged = [i for i, t in enumerate(texts) if own is not None and t and has_letter(t)]
                 if judged:
                     cut = [windows(texts[i]) for i in judged]
                     p = own.probabilities(np.concatenate(cut), tables)

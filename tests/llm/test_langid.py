@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from featurepipe.llm.langid import EMBED, WIDTHS, ByteNet, held_out, predict_language, train_language_id, windows
+from featurepipe.llm.langid import EMBED, WIDTHS, ByteNet, has_letter, held_out, predict_language, train_language_id, windows
 
 from helpers import frame
 
@@ -79,3 +79,24 @@ def test_the_sample_is_bounded_and_the_same_for_any_partitioning(spark):
     a = train_language_id(docs, per_language=5, epochs=1)
     b = train_language_id(docs.repartition(7), per_language=5, epochs=1)
     assert all(np.array_equal(x, y) for x, y in zip(a.filters, b.filters, strict=True))
+
+
+def test_letters_are_category_l():
+    import unicodedata
+    for cp in [*range(0x3000), *range(0x1F000, 0x1F400), *range(0x10000, 0x10400)]:
+        if not 0xD800 <= cp < 0xE000:
+            assert has_letter(f"1 {chr(cp)}_") == unicodedata.category(chr(cp)).startswith("L")
+
+
+def test_answers_equal_a_direct_convolution():
+    rng = np.random.default_rng(5)
+    net = ByteNet.fresh(["a", "b", "c"], rng)
+    x = rng.integers(0, 256, (4, 256)).astype(np.uint8)
+    got = net.probabilities(x, net.pair_tables())
+    for row, p in zip(x, got, strict=True):
+        best = []
+        for width, kernel in zip(WIDTHS, net.filters, strict=True):
+            answers = [sum(net.embed[row[i + k]] @ kernel[k] for k in range(width)) for i in range(len(row) - width + 1)]
+            best.append(np.max(answers, axis=0))
+        h = np.maximum(np.concatenate(best) + net.bias, 0) @ net.out + net.out_bias
+        assert np.allclose(np.exp(h - h.max()) / np.exp(h - h.max()).sum(), p, atol=1e-5)
