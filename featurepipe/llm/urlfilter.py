@@ -52,9 +52,29 @@ def rule_verdict(rule: Column, rules: Sequence[Rule]) -> Column:
     return reduce(lambda rest, r: F.when(rule == r[1], F.lit(r[0])).otherwise(rest), rules, F.lit(None).cast("string"))
 
 
+def _decoded(text: Column) -> Column:
+    """Attribute text with the character references that URLs use."""
+    for pattern, char in ((r"&(?:quot|#34|#x22);", '"'), (r"&(?:apos|#39|#x27);", "'"), (r"&(?:lt|#60|#x3c);", "<"), (r"&(?:gt|#62|#x3e);", ">"),
+                          (r"&(?:amp|#38|#x26);", "&")):
+        text = F.regexp_replace(text, f"(?i){pattern}", char)
+    return text
+
+
+def _without_dots(path: Column) -> Column:
+    """A path without ``.`` and ``..`` segments."""
+    parts = F.split(path, "/", -1)
+    last = F.element_at(parts, -1)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, s: F.when(s == ".", acc).when(
+        s == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc)).otherwise(F.concat(acc, F.array(s))))
+    joined = F.concat(F.array_join(kept, "/"), F.when(last.isin(".", ".."), F.lit("/")).otherwise(""))
+    return F.when(path.contains("/."), joined).otherwise(path)
+
+
 def _resource(url: Column) -> Column:
-    """The URL without its fragment."""
-    return F.regexp_replace(url, r"(?s)#.*$", "")
+    """The URL without its fragment, scheme and host in lower case, ``./`` and ``../`` resolved."""
+    bare = F.regexp_replace(url, r"(?s)#.*$", "")
+    head, path, rest = (F.regexp_extract(bare, r"(?s)^(.*?://[^/?]*)([^?]*)(.*)$", k) for k in (1, 2, 3))
+    return F.when(bare.contains("://"), F.concat(F.translate(head, ASCII_UPPER, ASCII_LOWER), _without_dots(path), rest)).otherwise(bare)
 
 
 def _absolute(link: Column, url: Column) -> Column:
@@ -71,11 +91,12 @@ def _absolute(link: Column, url: Column) -> Column:
 
 
 def page_links(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(a, b)``: page URL and the target of its canonical link or refresh redirect, where it has one."""
-    tag = F.regexp_extract(html_col, _CANONICAL, 0)
-    href = F.concat(*[F.regexp_extract(tag, _HREF, k) for k in (1, 2, 3)])
-    move = F.regexp_extract(F.regexp_extract(html_col, _REFRESH, 0), _TARGET, 1)
-    found = pages.select(F.col(url_col).alias("a"), F.explode(F.array(F.trim(href), F.trim(move))).alias("link"))
+    """``(a, b)``: page URL and the target of each canonical link or refresh redirect, where it has one."""
+    tags = F.regexp_extract_all(html_col, F.lit(_CANONICAL), F.lit(0))
+    moves = F.regexp_extract_all(html_col, F.lit(_REFRESH), F.lit(0))
+    targets = F.concat(F.transform(tags, lambda t: F.concat(*[F.regexp_extract(t, _HREF, k) for k in (1, 2, 3)])),
+                       F.transform(moves, lambda t: F.regexp_extract(t, _TARGET, 1)))
+    found = pages.select(F.col(url_col).alias("a"), F.explode(targets).alias("link")).withColumn("link", F.trim(_decoded(F.col("link"))))
     return (found.where("link != ''").select(_resource(F.col("a")).alias("a"), _resource(_absolute(F.col("link"), F.col("a"))).alias("b"))
             .where("a IS NOT NULL AND b IS NOT NULL AND a != b"))
 

@@ -55,3 +55,14 @@ def test_clashing_columns_repeats_and_empty_table(spark):
     rows = filter_urls(df.unionByName(df), RULES).collect()
     assert [(r.host, r.verdict, r.node, r["a.b"], r["row"]) for r in rows] == [("w.com", "block", 2, 3, 4)] * 2
     assert filter_urls(df.limit(0), RULES).collect() == []
+
+
+def test_links_are_decoded_lowered_and_resolved(spark):
+    rows = [("https://a.net/x/p?a=1&b=2", None), ("http://b.net/1", canonical("HTTPS://A.net/x/y/../p?a=1&amp;b=2")),
+            ("https://a.net/x/q", canonical("./p?a=1&#38;b=2")), ("http://c.net/a/b/c", canonical("../../d/.")),
+            ("http://C.net/d/", '<link rel="canonical" href=""><link rel="canonical" href="http://e.net/">'
+                                '<meta http-equiv=refresh content="0;url=http://w.com/de/">'), ("http://e.net/", None), ("http://f.net/..", None)]
+    moves = spark.createDataFrame([("https://a.net/x/p?a=1&b=2", "http://w.com/de/1")], "source string, target string")
+    out = got(filter_urls(pages(spark, rows), RULES, redirects=moves))
+    assert [out[i][3] for i in range(7)] == ["block"] * 6 + ["allow"]
+    assert out[4][:2] == ("c.net", "/d/") and out[1][:2] == ("b.net", "/1")
