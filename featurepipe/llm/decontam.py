@@ -8,25 +8,29 @@ each separator. Test phrases are searched backwards, all at once, by wavelet ran
 the found ranges walk back to a sampled position. The occurrences give spans of words, which
 are merged per document. Documents are never shuffled.
 
-The phrases are the windows of the benchmark items. Items go to the tasks in blocks of bounded
-size (``block_bytes`` of text, counted first), so neither driver nor task holds a whole benchmark.
+The phrases are the windows of the benchmark items. Items form blocks of bounded size
+(``block_bytes`` of text, counted first). There is one pass over the documents for each block, and a
+block's phrases are at the driver and in the tasks only during its pass, so nothing holds a whole
+benchmark; a benchmark of one block takes one pass and no intermediate.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featurepipe.llm.common import list_array, text_groups
 from featurepipe.llm.suffixes import suffix_ranks
+from featurepipe.session import materialized, newest, release
 
 SAMPLE = 16
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 #: bytes of words: digits, letters (lower-cased) and everything beyond ASCII; all others part words
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -187,25 +191,40 @@ def _merge(spans: list[np.ndarray]) -> np.ndarray:
     return np.column_stack((pairs[new, 0], reach[last])).ravel() if len(pairs) else pairs.ravel()
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> list:
-    """Broadcast variables with the phrases of item blocks of about ``block_bytes`` each."""
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where(
-        "item IS NOT NULL AND text IS NOT NULL")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // block_bytes)
-    sc = benchmark.sparkSession.sparkContext
-    part = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [sc.broadcast(astuple(Phrases.of([tuple(r) for r in items.where(part == k).collect()], window)))
-            for k in range(n)]
-
-
-def _searched(texts: list, blocks: list) -> tuple[list[list[bytes]], list[np.ndarray], list[set]]:
-    words = [item_words(t) for t in texts]
-    found = [Phrases(*b.value).search(words) for b in blocks]
-    if len(found) == 1:
-        return words, *found[0]
-    return (words, [_merge([np.empty(0, np.int64), *(s[d] for s, _ in found)]) for d in range(len(words))],
-            [set().union(*(i[d] for _, i in found)) for d in range(len(words))])
+class _Blocks:
+    """Benchmark items in blocks of about ``block_bytes`` of text, one of which is out at a time."""
+
+    def __init__(self, benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int):
+        items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where(
+            "item IS NOT NULL AND text IS NOT NULL")
+        self.spark, self.window = benchmark.sparkSession, window
+        self.count = -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes)
+        items = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(max(1, self.count))))
+        self.items, self.folder = materialized(items, "benchmark-blocks") if self.count > 1 else (items, None)
+
+    def shared(self, k: int) -> Broadcast:
+        """Phrases of block ``k``."""
+        rows = self.items.where(F.col("block") == k).select("item", "text").collect()
+        return self.spark.sparkContext.broadcast(astuple(Phrases.of([tuple(r) for r in rows], self.window)))
+
+    def passes(self, frame: DataFrame, step: Callable[[Broadcast, bool], Callable], schema) -> Iterator[DataFrame]:
+        """``frame`` after each block's pass (``step`` makes the function of a block's phrases, and is told of the
+        first pass). Where there are several blocks, each result is written and its phrases and input go."""
+        last = None
+        for k in range(self.count):
+            phrases = self.shared(k)
+            frame = frame.mapInArrow(step(phrases, k == 0), schema)
+            if self.count > 1:
+                frame, folder = materialized(frame, "benchmark-pass")
+                phrases.destroy()
+                if last:
+                    release(self.spark, last)
+                last = folder
+            yield frame
+
+    def close(self) -> None:
+        if self.folder:
+            release(self.spark, self.folder)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -218,20 +237,42 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     empty texts have no words; items without id or text are no phrases; repeated rows are
     judged one by one; with an empty benchmark nothing is hit. Other columns are not read.
     """
-    blocks = _blocks(benchmark, item_col, text_col, window, block_bytes)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, texts in text_groups(batch, "text"):
-                words, spans, items = _searched(texts, blocks)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array([len(w) for w in words], pa.int64()),
-                     pa.array([int((s[1::2] - s[::2]).sum()) for s in spans], pa.int64()),
-                     pa.array([sorted(x) for x in items], pa.list_(pa.string())), list_array(spans, pa.int64())],
-                    ["doc_id", "n_words", "n_hit", "items", "spans"])
+    def step(phrases: Broadcast, first: bool) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            search = Phrases(*phrases.value).search
+            for batch in batches:
+                for rows, texts in text_groups(batch, "text"):
+                    words = [item_words(t) for t in texts]
+                    spans, items = search(words)
+                    if not first:
+                        before = [x.values.to_numpy(zero_copy_only=False) for x in rows.column("spans")]
+                        spans = [_merge([x, y]) for x, y in zip(before, spans, strict=True)]
+                        items = [y.union(x.as_py()) for x, y in zip(rows.column("items"), items, strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [rows.column(0), rows.column(1), pa.array([len(w) for w in words], pa.int64()),
+                         pa.array([int((s[1::2] - s[::2]).sum()) for s in spans], pa.int64()),
+                         pa.array([sorted(x) for x in items], pa.list_(pa.string())), list_array(spans, pa.int64())],
+                        ["doc_id", "text", "n_words", "n_hit", "items", "spans"])
+        return run
 
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return base.mapInArrow(run, "doc_id long, n_words long, n_hit long, items array<string>, spans array<long>")
+    blocks = _Blocks(benchmark, item_col, text_col, window, block_bytes)
+    fields = "n_words long, n_hit long, items array<string>, spans array<long>"
+    out = base.mapInArrow(_words_only, f"doc_id long, {fields}") if not blocks.count else base
+    for out in blocks.passes(base, step, f"doc_id long, text string, {fields}"):
+        pass
+    blocks.close()
+    return out.drop("text")
+
+
+def _words_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents beside an empty benchmark."""
+    for batch in batches:
+        for rows, texts in text_groups(batch, "text"):
+            none = pa.array([[]] * len(texts), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), pa.array([len(item_words(t)) for t in texts], pa.int64()), pa.array([0] * len(texts), pa.int64()),
+                 none, pa.array([[]] * len(texts), pa.list_(pa.int64()))], ["doc_id", "n_words", "n_hit", "items", "spans"])
 
 
 def _without(text: str, spans: np.ndarray) -> str:
@@ -255,20 +296,40 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, *, text_col: str
 
     All other columns and all rows pass through; null texts stay null.
     """
-    blocks = _blocks(benchmark, item_col, text_col, window, block_bytes)
-    schema = docs.schema
-
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index(text_col)
-            for rows, texts in text_groups(batch, text_col):
-                todo = list(range(len(texts)))
-                while todo:                                  # a cut may bring words together anew
-                    _, spans, _ = _searched([texts[i] for i in todo], blocks)
-                    hit = [(i, s) for i, s in zip(todo, spans, strict=True) if len(s)]
-                    for i, s in hit:
-                        texts[i] = _without(texts[i], s)
-                    todo = [i for i, _ in hit]
-                yield rows.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-
-    return docs.mapInArrow(clean, schema) if blocks else docs
+    def step(phrases: Broadcast, _first: bool) -> Callable:
+        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            search = Phrases(*phrases.value).search
+            for batch in batches:
+                at, cut = batch.schema.get_field_index(text_col), batch.schema.get_field_index("_fp_cut")
+                for rows, texts in text_groups(batch, text_col):
+                    todo = list(range(len(texts)))
+                    done = rows.column(cut).to_pylist() if cut >= 0 else None
+                    while todo:                              # a cut may bring words together anew
+                        spans, _ = search([item_words(texts[i]) for i in todo])
+                        hit = [(i, s) for i, s in zip(todo, spans, strict=True) if len(s)]
+                        for i, s in hit:
+                            texts[i] = _without(texts[i], s)
+                            if done:
+                                done[i] += 1
+                        todo = [i for i, _ in hit]
+                    rows = rows.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+                    yield rows.set_column(cut, batch.schema.field(cut), pa.array(done, pa.int64())) if done else rows
+        return clean
+
+    blocks = _Blocks(benchmark, item_col, text_col, window, block_bytes)
+    if blocks.count <= 1:
+        return next(blocks.passes(docs, step, docs.schema), docs)
+    spark = docs.sparkSession
+    frame, before, last = docs.withColumn("_fp_cut", F.lit(0).cast("long")), 0, None
+    while True:                                              # until no block cuts anything any more
+        for out in blocks.passes(frame, step, frame.schema):
+            pass
+        frame, folder = out, newest(spark)
+        if last:
+            release(spark, last)
+        last, now = folder, frame.agg(F.sum("_fp_cut")).first()[0] or 0
+        if now == before:
+            break
+        before = now
+    blocks.close()
+    return frame.drop("_fp_cut")

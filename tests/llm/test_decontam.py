@@ -99,3 +99,33 @@ def test_index_finds_and_locates():
         for p, a, b in zip(phrases, low, high, strict=True):
             want = [i for i in range(len(text) - 2) if (text[i:i + 3] == p).all()]
             assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+
+
+def test_blocks_go_out_one_at_a_time(spark, monkeypatch):
+    from featurepipe.llm import decontam
+    from featurepipe.session import _MATERIALIZED
+    items, texts = planted(random.Random(9))
+    live, most = [0], [0]
+    made = decontam._Blocks.shared
+
+    def shared(self, k):
+        b = made(self, k)
+        live[0] += 1
+        most[0] = max(most)
+        most.append(live[0])
+        gone = b.destroy
+
+        def destroy(blocking=False):
+            live[0] -= 1
+            gone(blocking)
+        b.destroy = destroy
+        return b
+
+    monkeypatch.setattr(decontam._Blocks, "shared", shared)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    before = len(_MATERIALIZED.get(spark.sparkContext.applicationId, []))
+    out = contamination(frame(spark, texts), bench, block_bytes=100)
+    wins = windows(items)
+    assert {r.doc_id: (r.n_words, r.n_hit, r.items) for r in out.collect()} == {i: oracle(t, wins) for i, t in enumerate(texts)}
+    assert len(most) > 5 and max(most) == 1 and live[0] == 0
+    assert len(_MATERIALIZED[spark.sparkContext.applicationId]) == before + 1      # the result alone
