@@ -36,14 +36,15 @@ def join_parts(spark: SparkSession, folder: str, file: str) -> None:
 
 
 def write_predictions(df: DataFrame, order_col: str, path: str, pred_col: str = "prediction",
-                      single_file: str | None = None) -> None:
+                      single_file: str | bool = False) -> None:
     """One line per row, in ``order_col`` order. Spark writes range-sorted part files; their
-    concatenation (part-00000, part-00001, ...) is the submission, which ``single_file`` names: any
-    number of tasks writes the parts, and the file system joins them."""
+    concatenation (part-00000, part-00001, ...) is the submission. ``single_file`` asks for it as one
+    file of that name (``path`` with ``.txt`` if just true): any number of tasks writes the parts, and
+    the file system joins them."""
     out = df.orderBy(order_col).select(prediction_text(F.col(pred_col)).alias("value"))
     out.write.mode("overwrite").text(path)
     if single_file:
-        join_parts(df.sparkSession, path, single_file)
+        join_parts(df.sparkSession, path, f"{path}.txt" if single_file is True else single_file)
 
 
 def model_report(spark: SparkSession, lines: Sequence[str]) -> DataFrame:

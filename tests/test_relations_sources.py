@@ -150,6 +150,7 @@ def test_stage_round_trip_and_sinks(spark, tmp_dir):
         if f.startswith("part-"):
             lines += open(os.path.join(out, f)).read().splitlines()
     assert lines == ["False", "True", "True"]
+    assert open(out + ".txt").read().splitlines() == lines
     rep = os.path.join(tmp_dir, "report")
     write_report(model_report(spark, ["Best model: X", "", "Feature importances:"]), rep)
     text = "".join(open(os.path.join(rep, f)).read() for f in sorted(os.listdir(rep)) if f.startswith("part-"))
