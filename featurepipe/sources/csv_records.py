@@ -51,24 +51,37 @@ def line_ends(value: Column, sep: str) -> tuple[Column, Column]:
     return quote & value.rlike(outside), ~quote | value.rlike(inside)
 
 
+def _runs(batch) -> Iterator[tuple[str, int, int, int]]:
+    """``(file, block, start, end)`` of the stretches of a batch's rows that lie in one block."""
+    import numpy as np
+    files = batch.column("file").dictionary_encode()
+    where = np.stack([files.indices.to_numpy(zero_copy_only=False), batch.column("block").to_numpy()])
+    cuts = [0, *(np.flatnonzero((where[:, 1:] != where[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+    for lo, hi in zip(cuts, cuts[1:]):
+        if lo < hi:
+            yield files.dictionary[int(where[0, lo])].as_py(), int(where[1, lo]), lo, hi
+
+
 def _block_functions(batches: Iterator) -> Iterator:
     """Compose the functions of a block's lines, which come together and in order."""
     import pyarrow as pa
-    held: tuple | None = None
+
+    def row(*held) -> pa.RecordBatch:
+        types = (pa.string(), pa.int64(), pa.bool_(), pa.bool_())
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(held, types)], ["file", "block", "a", "b"])
+
+    key, a, b = None, False, True
     for batch in batches:
-        out = []
-        for file, block, a, b in zip(*(batch.column(n).to_pylist() for n in ("file", "block", "a", "b"))):
-            if held is None or held[:2] != (file, block):
-                if held is not None:
-                    out.append(held)
-                held = (file, block, False, True)
-            held = (file, block, b if held[2] else a, b if held[3] else a)
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.bool_(), pa.bool_()))],
-                                             ["file", "block", "a", "b"])
-    if held is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(held, (pa.string(), pa.int64(), pa.bool_(), pa.bool_()))],
-                                         ["file", "block", "a", "b"])
+        ends_a, ends_b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+        for file, block, lo, hi in _runs(batch):
+            if (file, block) != key:
+                if key is not None:
+                    yield row(*key, a, b)
+                key, a, b = (file, block), False, True
+            for x, y in zip(ends_a[lo:hi], ends_b[lo:hi]):
+                a, b = y if a else x, y if b else x
+    if key is not None:
+        yield row(*key, a, b)
 
 
 def block_states(lines: DataFrame, sep: str) -> DataFrame:
@@ -90,59 +103,85 @@ def block_states(lines: DataFrame, sep: str) -> DataFrame:
 
 
 def _cut(sep: str):
-    """The function that cuts lines, block by block, into records and pieces of records."""
+    """The function that cuts lines, block by block, into records and pieces of records. Lines with
+    neither a quote nor a carriage return go through whole stretches at a time."""
     outside, inside = _patterns(sep)
 
     def cut(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         opens, stays = (re.compile(p.replace(r"\z", r"\Z")).match for p in (outside, inside))
-        names = ["file", "block", "pos", "part", "head", "record"]
-        types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.string()]
-        key, held, state, entered, n, seen, out = None, [], False, False, 0, False, []
+        key, held, state, entered, n, seen = None, [], False, False, 0, False
+        parts, heads, texts = [], [], []
 
         def emit(part: int, text: str) -> None:
-            nonlocal n, seen
-            head = not seen and part in (WHOLE, BEGINS) and text.strip(BLANK) != ""
-            seen = seen or head
-            out.append((*key, n, part, head, text))
-            n += 1
-
-        def close() -> None:
-            if state:                                  # the block ends inside quotes
-                emit(WITHIN if entered else BEGINS, "".join(held))
-
-        def batch_of() -> pa.RecordBatch:
-            rows = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
-            out.clear()
+            nonlocal seen
+            heads.append(not seen and part in (WHOLE, BEGINS) and text.strip(BLANK) != "")
+            seen = seen or heads[-1]
+            parts.append(part)
+            texts.append(text)
+
+        def out() -> pa.RecordBatch:
+            nonlocal n
+            rows = pa.RecordBatch.from_arrays([
+                pa.repeat(pa.scalar(key[0], pa.string()), len(texts)), pa.repeat(pa.scalar(key[1], pa.int64()), len(texts)),
+                pa.array(np.arange(n, n + len(texts))), pa.array(parts, pa.int32()), pa.array(heads, pa.bool_()), pa.array(texts, pa.string()),
+            ], ["file", "block", "pos", "part", "head", "record"])
+            n += len(texts)
+            for rest in (parts, heads, texts):
+                rest.clear()
             return rows
 
+        def close() -> Iterator:
+            if key is not None and state:              # the block ends inside quotes
+                emit(WITHIN if entered else BEGINS, "".join(held))
+            if texts:
+                yield out()
+
+        def plain(lines: list[str]) -> None:
+            nonlocal held
+            if state:
+                held += ["\n".join(lines), "\n"]
+                return
+            while lines and not seen:
+                emit(WHOLE, lines.pop(0))
+            texts.extend(lines)
+            parts.extend([WHOLE] * len(lines))
+            heads.extend([False] * len(lines))
+
         for batch in batches:
-            for file, block, begins, value in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "inside", "value"))):
+            begins, values = batch.column("inside"), batch.column("value")
+            marked = pc.or_(pc.match_substring(values, '"'), pc.match_substring(values, "\r")).to_numpy(zero_copy_only=False)
+            for file, block, lo, hi in _runs(batch):
                 if (file, block) != key:
-                    if key is not None:
-                        close()
-                    key, held, state, entered, n, seen = (file, block), [], begins, begins, 0, block > 0
-                end = "\n"
-                if value.endswith("\r"):
-                    value, end = value[:-1], "\r\n"
-                pieces = value.split("\r")             # a lone carriage return ends a line too
-                for i, text in enumerate(pieces):
-                    if '"' in text:
-                        after = bool(stays(text) if state else opens(text))
-                    else:
+                    yield from close()
+                    key, held, n, seen = (file, block), [], 0, block > 0
+                    state = entered = begins[lo].as_py()
+                lines, at = values.slice(lo, hi - lo).to_pylist(), 0
+                for k in [*np.flatnonzero(marked[lo:hi]).tolist(), hi - lo]:
+                    if at < k:
+                        plain(lines[at:k])
+                    at = k + 1
+                    if k == hi - lo:
+                        break
+                    value, end = lines[k], "\n"
+                    if value.endswith("\r"):
+                        value, end = value[:-1], "\r\n"
+                    pieces = value.split("\r")             # a lone carriage return ends a line too
+                    for i, text in enumerate(pieces):
                         after = state
-                    if after:
-                        held.append(text + ("\r" if i < len(pieces) - 1 else end))
-                    else:
-                        emit(ENDS if entered else WHOLE, "".join(held) + text)
-                        held, entered = [], False
-                    state = after
-            if out:
-                yield batch_of()
-        if key is not None:
-            close()
-        if out:
-            yield batch_of()
+                        if '"' in text:
+                            after = bool(stays(text) if state else opens(text))
+                        if after:
+                            held.append(text + ("\r" if i < len(pieces) - 1 else end))
+                        else:
+                            emit(ENDS if entered else WHOLE, "".join(held) + text)
+                            held, entered = [], False
+                        state = after
+                if texts:
+                    yield out()
+        yield from close()
 
     return cut
 
