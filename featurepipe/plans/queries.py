@@ -765,17 +765,43 @@ SELECT 'kept' AS what, CAST(o_orderkey AS STRING) AS k, {CSV_TITLE} AS title FRO
 UNION ALL SELECT 'rejected', CAST(o_orderkey AS STRING), NULL FROM orders WHERE o_orderkey % 10 IN (3, 7)
 """)
 def q_csv_tolerant_files(spark: SparkSession, sf: str) -> DataFrame:
-    from featurepipe.sources import csv_rejects, read_csv_union
+    from featurepipe.sources import read_csv_tolerant
     base = _scratch(spark, "csv-tolerant")
     o = table(spark, sf, "orders")
     quoted = F.concat(F.lit('"'), F.replace(F.expr(CSV_TITLE), F.lit('"'), F.lit('""')), F.lit('"'))
     k, last = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 10
     line = F.when(last == 3, F.concat(k, F.lit(",a,b,c,d"))).when(last == 7, k).otherwise(F.concat_ws(",", k, quoted, F.lit("x")))
     _write_lines(o.select(line.alias("value")), "k,title,z", base)
-    kept = read_csv_union(spark, f"{base}/part-*", ["k", "title"], on_error="drop").select(F.lit("kept").alias("what"), "k", "title")
-    gone = csv_rejects(spark, f"{base}/part-*").select(F.lit("rejected").alias("what"), F.split("record", ",")[0].alias("k"),
-                                                       F.lit(None).cast("string").alias("title"))
-    return kept.unionByName(gone)
+    rows, rejects = read_csv_tolerant(spark, f"{base}/part-*", ["k", "title"])
+    gone = rejects.select(F.lit("rejected").alias("what"), F.split("record", ",")[0].alias("k"), F.lit(None).cast("string").alias("title"))
+    return rows.select(F.lit("kept").alias("what"), "k", "title").unionByName(gone)
+
+
+# A1 A2: line breaks inside quotes, in rows that stay and in rows that go; two header orders
+CSV_BROKEN = "NULLIF(REPLACE(text, ' a', chr(10) || 'a'), '')"
+
+
+@register("csv_quoted_breaks", f"""
+SELECT 'kept' AS what, CAST(doc_id AS STRING) AS k, NULLIF(lang, '') AS lang, md5({CSV_BROKEN}) AS text_md5,
+       CAST(length({CSV_BROKEN}) AS BIGINT) AS n_chars
+FROM documents WHERE doc_id % 10 <> 3
+UNION ALL SELECT 'rejected', CAST(doc_id AS STRING), NULL, NULL, CAST(length({CSV_BROKEN}) AS BIGINT) FROM documents WHERE doc_id % 10 = 3
+""")
+def q_csv_quoted_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    from featurepipe.sources import read_csv_tolerant
+    base = _scratch(spark, "csv-breaks")
+    docs = table(spark, sf, "documents").select("doc_id", "lang", F.coalesce(F.expr(CSV_BROKEN), F.lit("")).alias("text"))
+    k, lang = F.col("doc_id").cast("string"), F.coalesce("lang", F.lit(""))
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    for odd, header, cols in ((0, 'k,"the\ntext",lang', [k, quoted, lang]), (1, 'lang,k,"the\ntext"', [lang, k, quoted])):
+        line = F.when(F.col("doc_id") % 10 == 3, F.concat_ws(",", k, quoted, F.length("text"), F.lit("x"), F.lit("y"))).otherwise(F.concat_ws(",", *cols))
+        _write_lines(docs.where(F.pmod("doc_id", F.lit(2)) == odd).select(line.alias("value")), header, f"{base}/{odd}")
+    rows, rejects = read_csv_tolerant(spark, f"{base}/*/part-*", ["k", "lang", "the\ntext"])
+    text, none = F.col("the\ntext"), F.lit(None).cast("string")
+    gone = rejects.select(F.lit("rejected").alias("what"), F.split("record", ",")[0].alias("k"), none.alias("lang"), none.alias("text_md5"),
+                          F.nullif(F.regexp_extract("record", r",(\d+),x,y\z", 1).cast("long"), F.lit(0)).alias("n_chars"))
+    return rows.select(F.lit("kept").alias("what"), "k", "lang", F.md5(text).alias("text_md5"),
+                       F.length(text).cast("long").alias("n_chars")).unionByName(gone)
 
 
 # Files of all three shapes through the reader
