@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from featurepipe.session import materialized
-from featurepipe.sources.csv_records import cut_records, line_ends, text_lines
+from featurepipe.sources.csv_records import cut_records, first_records, line_ends, text_lines
 
 ORDER_COLS = ("_src_file", "_src_block", "_src_pos")
 _BAD = "_fp_bad"
@@ -87,7 +87,10 @@ def _scanned_headers(spark: SparkSession, files: list[str], sep: str) -> list[tu
         F.min(F.struct("block", "pos", F.regexp_replace("value", r"\r\z", "").alias("value"), opens.alias("opens"))).alias("first"),
         F.max(breaks).alias("breaks")).collect()
     long = [unquote(r.file) for r in rows if r["first"]["opens"]]        # headers that hold line breaks themselves
-    heads = {r.file: r.record for r in cut_records(text_lines(spark, long), sep).where("head").collect()} if long else {}
+    heads = {r.file: r.record for r in first_records(text_lines(spark, long), sep).collect()} if long else {}
+    longer = [f for f in long if f not in set(map(unquote, heads))]        # longer than a block
+    if longer:
+        heads |= {r.file: r.record for r in cut_records(text_lines(spark, longer), sep).where("head").collect()}
     out = []
     for r in rows:
         head = heads.get(r.file)

@@ -20,10 +20,11 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from featurepipe.session import broadcast_if_small
+from featurepipe.session import materialized
 
 BLOCK = ("file", "block")
 WHOLE, BEGINS, WITHIN, ENDS = 0, 1, 2, 3          # what of a record a row of ``_cut`` holds
+_BROADCAST_ROWS = 100_000                         # most block states that a join broadcasts
 BLANK = "".join(map(chr, range(33)))              # a record of these only is no row
 
 
@@ -186,20 +187,33 @@ def _cut(sep: str):
     return cut
 
 
+def _parts(placed: DataFrame, sep: str) -> DataFrame:
+    return placed.select(*BLOCK, F.coalesce("inside", F.lit(False)).alias("inside"), "value").mapInArrow(
+        _cut(sep), "file string, block long, pos long, part int, head boolean, record string")
+
+
+def first_records(lines: DataFrame, sep: str = ",") -> DataFrame:
+    """``file, record``: each file's first record that is not blank, where its first block holds it whole."""
+    first = _parts(lines.where("block = 0").withColumn("inside", F.lit(False)), sep)
+    return first.where(F.col("head") & (F.col("part") == WHOLE)).select("file", "record")
+
+
 def cut_records(lines: DataFrame, sep: str = ",") -> DataFrame:
     """``file, block, pos, head, record``: the records of files (``text_lines``), each with the place
     where it begins and whether it is the first of its file that is not blank.
 
     A record keeps the line breaks inside its quotes as they are. One that never closes its quotes
     goes on to the end of its file, as for any reader of such files. Lines are cut twice: for the
-    whole records, which no shuffle moves, and for the pieces at the borders of blocks.
+    whole records, which no shuffle moves, and for the pieces at the borders of blocks. The blocks
+    that begin inside quotes are found beforehand and written, a narrow row each.
     """
-    states = block_states(lines, sep)
-    # a broadcast join keeps the scan's order, another one does not; sorting sorted rows is cheap
-    placed = (lines.join(broadcast_if_small(states), list(BLOCK), "left")
-              .select(*BLOCK, "pos", F.coalesce("inside", F.lit(False)).alias("inside"), "value")
-              .sortWithinPartitions(*BLOCK, "pos").select(*BLOCK, "inside", "value"))
-    parts = placed.mapInArrow(_cut(sep), "file string, block long, pos long, part int, head boolean, record string")
+    states, _ = materialized(block_states(lines, sep), "csv-states")
+    n = states.count()
+    if n <= _BROADCAST_ROWS:                       # a broadcast join keeps the scan's order
+        placed = lines.join(F.broadcast(states), list(BLOCK), "left") if n else lines.withColumn("inside", F.lit(False))
+    else:
+        placed = lines.join(states, list(BLOCK), "left").sortWithinPartitions(*BLOCK, "pos")
+    parts = _parts(placed, sep)
     whole = parts.where(F.col("part") == WHOLE).drop("part")
     # a file has at most two pieces a block: the end of a record and the beginning of another
     order = Window.partitionBy("file").orderBy("block", "pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
