@@ -208,9 +208,8 @@ def cut_records(lines: DataFrame, sep: str = ",") -> DataFrame:
     that begin inside quotes are found beforehand and written, a narrow row each.
     """
     states, _ = materialized(block_states(lines, sep), "csv-states")
-    n = states.count()
-    if n <= _BROADCAST_ROWS:                       # a broadcast join keeps the scan's order
-        placed = lines.join(F.broadcast(states), list(BLOCK), "left") if n else lines.withColumn("inside", F.lit(False))
+    if states.count() <= _BROADCAST_ROWS:                       # a broadcast join keeps the scan's order
+        placed = lines.join(F.broadcast(states), list(BLOCK), "left")
     else:
         placed = lines.join(states, list(BLOCK), "left").sortWithinPartitions(*BLOCK, "pos")
     parts = _parts(placed, sep)
