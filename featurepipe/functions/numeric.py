@@ -25,10 +25,9 @@ def to_number(c: str | Column, dtype=None) -> Column:
     col = _col(c)
     if dtype is not None and isinstance(dtype, NumericType):
         d = col.cast("double")
-    else:
-        s = col.cast("string")
-        d = F.when(s.rlike(NUMBER_PATTERN), F.btrim(s, F.lit(" \t\n\r\f\x0b")).try_cast("double"))
-    return F.when(~F.isnan(d), d)
+        return F.when(~F.isnan(d), d)
+    s = col.cast("string")             # no text of the grammar is NaN
+    return F.when(s.rlike(NUMBER_PATTERN), F.btrim(s, F.lit(" \t\n\r\f\x0b")).try_cast("double"))
 
 
 def null_outside(c: Column, lo: float | None = None, hi: float | None = None) -> Column:

@@ -20,7 +20,8 @@ PY_WHITESPACE_CLASS = (
     r"[\t\n\x0B\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
     r"\x{202F}\x{205F}\x{3000}]"
 )
-PY_NON_WHITESPACE = PY_WHITESPACE_CLASS.replace("[", "[^", 1)
+PY_WHITESPACE = ("\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
+                 + "\u2028\u2029\u202f\u205f\u3000")
 # Python's \d on str is Unicode category Nd; Java needs (?U) for the same class.
 UNICODE_DIGIT = r"(?U)\d"
 
@@ -46,6 +47,7 @@ class _Accents:
     by: str
     gone: str                         # characters to delete
     long: str                         # characters that need the long way
+    latin: int                        # the first code point that is deleted or needs the long way
     several: dict[str, str]           # decompositions that keep more than one character, in full
     marks: dict[int, str]             # combining characters that are not Mn, by combining class
     combining: str                    # regex class of the characters that begin with a combining one
@@ -84,7 +86,8 @@ def _accents() -> _Accents:
         elif kept[0] != c:
             one[c] = kept[0]
     long = [*several, *"".join(marks.values()), *map(chr, _HANGUL)]
-    return _Accents("".join(one), "".join(one.values()), "".join(gone), "".join(long), several, marks, _ranges(combining))
+    latin = min(map(ord, [*gone, *long]))
+    return _Accents("".join(one), "".join(one.values()), "".join(gone), "".join(long), latin, several, marks, _ranges(combining))
 
 
 def _decomposed(c: Column) -> Column:
@@ -122,8 +125,9 @@ def strip_accents(c: str | Column) -> Column:
     """Unicode NFD, then delete every code point of category Mn; stays decomposed; NULL passes.
 
     A deterministic expression of one ``translate`` over tables made from the Unicode data, so filters
-    pass through it and it may stand in a join condition. ASCII text is returned as it is. Only a
-    text with a character that decomposes into several, a Hangul syllable or a combining character
+    pass through it and it may stand in a join condition. ASCII text is returned as it is, and text of
+    code points before the first combining one takes a table of these only: Spark compares the
+    tables' texts again for every row. Only a text with a character that decomposes into several, a Hangul syllable or a combining character
     that is not Mn (NFD sorts adjacent ones by combining class) goes character by character.
     """
     col = _col(c).cast("string")
@@ -136,19 +140,21 @@ def strip_accents(c: str | Column) -> Column:
     def chosen(plain: Column) -> Column:
         return F.when(F.contains(plain, F.lit(_MARKER)), long_way(col)).otherwise(plain)
 
-    return F.when(F.length(col) == F.octet_length(col), col).otherwise(
+    near = [c for c in acc.one if ord(c) < acc.latin]
+    short = F.translate(col, "".join(near), acc.by[:len(near)])          # ``one`` is in code-point order
+    return F.when(F.length(col) == F.octet_length(col), col).when(~col.rlike(f"[^\\x{{0}}-\\x{{{acc.latin - 1:x}}}]"), short).otherwise(
         once(F.translate(col, acc.one + acc.long + acc.gone, acc.by + _MARKER * len(acc.long)), chosen))
 
 
 def py_strip(c: str | Column) -> Column:
     """``str.strip()``: remove leading and trailing Python whitespace."""
-    ws = PY_WHITESPACE_CLASS
-    return F.regexp_replace(_col(c), f"^{ws}+|{ws}+$", "")
+    return F.btrim(_col(c).cast("string"), F.lit(PY_WHITESPACE))
 
 
 def word_count(c: str | Column) -> Column:
     """``len(str.split())``: whitespace-separated tokens; '' -> 0, NULL -> NULL."""
-    return F.regexp_count(_col(c), F.lit(f"{PY_NON_WHITESPACE}+"))
+    parts = F.split(F.translate(_col(c).cast("string"), PY_WHITESPACE, " " * len(PY_WHITESPACE)), " ")
+    return F.array_size(F.array_remove(parts, ""))
 
 
 def has_match(c: str | Column, pattern: str = UNICODE_DIGIT) -> Column:

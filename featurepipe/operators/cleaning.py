@@ -36,27 +36,25 @@ def repair_swap(df: DataFrame, a: str, b: str, lo: float, hi: float) -> DataFram
     if a not in df.columns or b not in df.columns:
         return df
     types = dict(df.dtypes)
-    na = to_number(a, df.schema[a].dataType)
-    nb = to_number(b, df.schema[b].dataType)
-    mask = na.isNull() & F.coalesce(nb.between(float(lo), float(hi)), F.lit(False))
-    return df.withColumns({
+    # the two numbers get a projection of their own: each is parsed once for all its uses
+    out = df.withColumns({"_fp_na": to_number(a, df.schema[a].dataType), "_fp_nb": to_number(b, df.schema[b].dataType)})
+    mask = F.col("_fp_na").isNull() & F.coalesce(F.col("_fp_nb").between(float(lo), float(hi)), F.lit(False))
+    return out.withColumns({
         a: F.when(mask, F.col(b).cast(types[a])).otherwise(F.col(a)),
         b: F.when(mask, F.lit(None).cast(types[b])).otherwise(F.col(b)),
-    })
+    }).drop("_fp_na", "_fp_nb")
 
 
 def cast_range(df: DataFrame, col: str, lo: float | None = None, hi: float | None = None) -> DataFrame:
     """Lenient double cast; unparseable, NaN and out-of-range values become NULL."""
-    if col not in df.columns:
-        return df
-    return df.withColumn(col, null_outside(to_number(col, df.schema[col].dataType), lo, hi))
+    return cast_ranges(df, {col: (lo, hi)})
 
 
 def cast_ranges(df: DataFrame, bounds: dict[str, tuple[float | None, float | None]]) -> DataFrame:
-    """B5 for several columns in one projection."""
-    exprs = {c: null_outside(to_number(c, df.schema[c].dataType), lo, hi)
-             for c, (lo, hi) in bounds.items() if c in df.columns}
-    return df.withColumns(exprs)
+    """B5 for several columns: all are parsed in one projection, once each, and compared in the next."""
+    bounds = {c: b for c, b in bounds.items() if c in df.columns}
+    out = df.withColumns({c: to_number(c, df.schema[c].dataType) for c in bounds})
+    return out.withColumns({c: null_outside(F.col(c), lo, hi) for c, (lo, hi) in bounds.items()})
 
 
 # The label spellings the reference maps, as text (booleans arrive as text too).

@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,15 +50,38 @@ def ordered_bits(x: Column) -> Column:
     that none leaves the range. -0.0 counts as 0.0; NaN and null give null.
     """
     size = F.abs(x)
-    near = F.least(F.greatest(F.floor(F.log2(size)), F.lit(-1022)), F.lit(1023)).cast("int")     # may be one off
+    power = once(_near_power(size), lambda e: _power(size, e))
+    return _bits(x, once(power, lambda e: _normal_bits(size, e)))
 
-    def scaled(e: Column) -> Column:                             # size / 2**e, exactly
-        half = F.floor(e / 2).cast("int")
-        return size * F.pow(F.lit(2.0), (-half).cast("double")) * F.pow(F.lit(2.0), (half - e).cast("double"))
 
-    power = once(near, lambda e: F.when(scaled(e) < 1.0, F.greatest(e - 1, F.lit(-1022))).when(scaled(e) >= 2.0, e + 1).otherwise(e))
+def with_ordered_bits(df: DataFrame, src: str, dst: str) -> DataFrame:
+    """``ordered_bits`` of a double column, its steps in projections of their own (compiled, which a
+    lambda is not)."""
+    x, size = F.col(src), F.abs(F.col(src))
+    out = df.withColumn("_fp_near", _near_power(size)).withColumn("_fp_power", _power(size, F.col("_fp_near")))
+    return out.withColumn(dst, _bits(x, _normal_bits(size, F.col("_fp_power")))).drop("_fp_near", "_fp_power")
+
+
+def _near_power(size: Column) -> Column:
+    return F.least(F.greatest(F.floor(F.log2(size)), F.lit(-1022)), F.lit(1023)).cast("int")     # may be one off
+
+
+def _scaled(size: Column, e: Column) -> Column:                  # size / 2**e, exactly
+    half = F.floor(e / 2).cast("int")
+    return size * F.pow(F.lit(2.0), (-half).cast("double")) * F.pow(F.lit(2.0), (half - e).cast("double"))
+
+
+def _power(size: Column, e: Column) -> Column:
+    return F.when(_scaled(size, e) < 1.0, F.greatest(e - 1, F.lit(-1022))).when(_scaled(size, e) >= 2.0, e + 1).otherwise(e)
+
+
+def _normal_bits(size: Column, e: Column) -> Column:
     two52 = float(1 << 52)
-    normal = once(power, lambda e: (e + 1023).cast("long") * (1 << 52) + (scaled(e) * two52 - two52).cast("long"))
+    return (e + 1023).cast("long") * (1 << 52) + (_scaled(size, e) * two52 - two52).cast("long")
+
+
+def _bits(x: Column, normal: Column) -> Column:
+    size = F.abs(x)
     low = (size * float(2 ** 537) * float(2 ** 537)).cast("long")
     bits = (F.when(x.isNull() | F.isnan(x), None).when(size == 0.0, F.lit(0).cast("long")).when(size == float("inf"), F.lit(0x7FF << 52))
             .when(size < 2.2250738585072014e-308, low).otherwise(normal))
@@ -74,7 +98,10 @@ def radix_select(values: DataFrame, ranks: DataFrame, by: Sequence[str], value:
     by = list(by)
     spark = values.sparkSession
     rows = values.select(*by, F.col(value).cast("double").alias("_v"), *([F.col(weight).alias("_w")] if weight else []))
-    rows = rows.withColumn("_key", ordered_bits(F.col("_v"))).where("_key IS NOT NULL")
+    # valid values first: a filter on the key would compute it a second time. The rounds share one copy
+    # of the keys, and a lost block is computed again to the same keys.
+    rows = rows.where(_valid(F.col("_v")))
+    rows = with_ordered_bits(rows, "_v", "_key").persist(StorageLevel.MEMORY_AND_DISK)
     found, folder = materialized(ranks.select(*by, "fit", "rank", F.col("rank").alias("_left"), F.lit(0).cast("long").alias("_known")), "radix")
     for shift in range(64 - _DIGIT, -1, -_DIGIT):
         known = F.lit(0).cast("long") if shift + _DIGIT == 64 else F.shiftright("_key", shift + _DIGIT)
@@ -95,6 +122,7 @@ def radix_select(values: DataFrame, ranks: DataFrame, by: Sequence[str], value:
             *by, "fit", "rank", (F.col("_left") - F.col("_upto") + F.col("_n")).alias("_left"), F.col("_next").alias("_known"), "_v")
         last, (found, folder) = folder, materialized(found, "radix")
         release(spark, last)
+    rows.unpersist()
     return found.select(*by, "fit", "rank", F.col("_v").alias("value"))
 
 

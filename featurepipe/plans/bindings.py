@@ -109,8 +109,9 @@ def entity_bronze_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                               "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-         .join(c, o.o_custkey == c.c_custkey, "inner"))
+    # the two smaller tables first: joined last, customers would be met by every line, not every order
+    oc = o.join(c, o.o_custkey == c.c_custkey, "inner")
+    j = li.join(oc, li.l_orderkey == oc.o_orderkey, "inner")
     return j.select(*[F.col(c).alias(a) for a, c in ENTITY_ORDER.items()],
                     F.expr(ENTITY_SPLIT).alias("split"),
                     *[F.expr(e).alias(n) for n, e in ENTITY_COLS.items()])

@@ -46,7 +46,7 @@ def build_frames(bronze_raw: DataFrame, relations: Mapping[str, DataFrame], orde
     to a raw (key, member) frame."""
     split_col = split_col if split_col and split_col in bronze_raw.columns else None
     bronze = bronze_clean(bronze_raw, cfg)
-    silver = silver_clean(bronze, order, cfg, split_col)
+    silver = silver_clean(bronze_raw, order, cfg, split_col, raw=True)
     registry = hooks if hooks is not None else default_hooks(cfg)
     hooked = registry.apply(silver, split=split_col or "all")
     if materialize_cleaned:

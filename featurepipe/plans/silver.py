@@ -36,11 +36,17 @@ def clean_values(df: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
 
 
 def silver_clean(df: DataFrame, order: Sequence[str], cfg: PipelineConfig = DEFAULT,
-                 split_col: str | None = None, keep_order: bool = False) -> DataFrame:
+                 split_col: str | None = None, keep_order: bool = False, raw: bool = False) -> DataFrame:
     """``order`` names unique row-order columns (file position or a natural key); they are
-    dropped after the row id is assigned unless ``keep_order``."""
+    dropped after the row id is assigned unless ``keep_order``. With ``raw`` the frame has not been
+    through ``bronze_clean``: the columns that dedup looks at are cleaned first, the others on the
+    kept rows only, with the same result."""
     parts = [split_col] if split_col else []
-    out = clean_values(dedup_first(df, [*parts, cfg.key], order), cfg)
+    if raw:
+        needed = {*parts, cfg.key, *order}
+        df = null_sentinels(df, [c for c in cfg.bronze_cols if c in needed], cfg.sentinels, trim=True)
+    out = dedup_first(df, [*parts, cfg.key], order)
+    out = clean_values(bronze_clean(out, cfg) if raw else out, cfg)
     out = with_row_id(out, order, cfg.row_id, partition_by=parts)
     if not keep_order:
         out = out.drop(*order)
