@@ -45,7 +45,8 @@ def silver_clean(df: DataFrame, order: Sequence[str], cfg: PipelineConfig = DEFA
     if raw:
         needed = {*parts, cfg.key, *order}
         df = null_sentinels(df, [c for c in cfg.bronze_cols if c in needed], cfg.sentinels, trim=True)
-    out = dedup_first(df, [*parts, cfg.key], order)
+    # the key leads: rows are sorted by it, and by the few splits only among equal keys
+    out = dedup_first(df, [cfg.key, *parts], order)
     out = clean_values(bronze_clean(out, cfg) if raw else out, cfg)
     out = with_row_id(out, order, cfg.row_id, partition_by=parts)
     if not keep_order:

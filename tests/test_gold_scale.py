@@ -36,6 +36,8 @@ def test_duplicates_go_before_the_other_columns_are_cleaned(spark):
     whole = silver_clean(bronze_clean(raw), ["pos"], DEFAULT, "split")
     kept = silver_clean(raw, ["pos"], DEFAULT, "split", raw=True)
     assert kept.schema == whole.schema
+    grouped = dedup_first(raw, ["tconst", "split"], ["pos"])
+    assert sorted(map(str, grouped.collect())) == sorted(map(str, dedup_first(raw, ["split", "tconst"], ["pos"]).collect()))
     assert sorted(map(str, kept.collect())) == sorted(map(str, whole.collect()))
     assert kept.count() == 3 and kept.where("tconst = 'tt1' AND split = 'train'").first()["primaryTitle"] == "Ca x"
 
